@@ -35,7 +35,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes df to the shared folder and reads it back."""
     spark = df.sparkSession
-    df.write.option("compression", "zstd").parquet(path := fresh_path(spark, name))
+    df.write.parquet(path := fresh_path(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 
