@@ -7,6 +7,8 @@ per shard in document order, with its base, the prefix sum of the tokens of all
 
 from __future__ import annotations
 
+import itertools
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -20,52 +22,92 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import fresh_path, sliced, table
 
 #: Words whose ids a worker remembers at most.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
+_ENCODERS: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Ids of whole texts by the tokenizers library, one call for each distinct word of a slice.
+    """Ids of whole texts by the tokenizers library, which sees each distinct word of a slice once.
 
-    For tokenizers that drop white space and never look across it (word_bpe_49k: every normaliser and splitter step is
-    bounded by ASCII white space), encoding a text is encoding its words."""
+    For tokenizers that lower case, drop white space and never look across it (word_bpe_49k: every normaliser and
+    splitter step is bounded by ASCII white space), encoding a text is encoding its words. Words of ASCII letters are one
+    unit after lower-casing, so they go straight to the library's model, and so does what stands before a last comma or
+    full stop, which is a unit of its own; all others go through the library's whole chain."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.last = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ",."}
+        self._forget()
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        """This worker's encoder; its words stay known from task to task."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
+
+    def _forget(self) -> None:
+        self.known, self.flat, self.off = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, names: list[str]) -> None:
+        ids, rest, tokenize = [None] * len(names), [], self.model.tokenize
+        for i, w in enumerate(names):
+            core, last = (w[:-1], self.last[w[-1]]) if w[-1:] in self.last else (w, [])
+            if core.isascii() and core.isalpha():
+                ids[i] = [t.id for t in tokenize(core.lower())] + last
+            else:
+                rest.append(i)
+        for at in range(0, len(rest), 8192):
+            part = rest[at : at + 8192]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([names[i] for i in part], add_special_tokens=False), strict=True):
+                ids[i] = e.ids
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(names, range(len(self.off) - 1, len(self.off) - 1 + len(names)), strict=True))
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(n.sum()))])
+        self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(n)])
 
     def __call__(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (n + 1) and ids of the texts, each with end_id after it."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         word = lists.flatten().dictionary_encode()
+        code = word.indices.to_numpy(zero_copy_only=False)
         names = word.dictionary.to_pylist()
-        ids = list(map(self.known.get, names))
-        if new := [i for i, x in enumerate(ids) if x is None]:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known.clear()
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                for i, e in zip(part, self.tokenizer.encode_batch_fast([names[i] for i in part], add_special_tokens=False), strict=True):
-                    ids[i] = self.known[names[i]] = e.ids
-        if end_id is not None:
-            ids.append([end_id])
-        return gathered(np.diff(lists.offsets.to_numpy()), word.indices.to_numpy(zero_copy_only=False), ids, end_id is not None)
-
-
-def gathered(counts: np.ndarray, code: np.ndarray, ids: list[list[int]], ended: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Lays the ids of each text's words end to end; with `ended` the last entry of ids follows every text."""
-    if ended:
-        code = np.insert(code, np.cumsum(counts), len(ids) - 1)
-        counts = counts + 1
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
-    begin = np.cumsum(size) - size
-    n = size[code]
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
+        at = list(map(self.known.get, names))
+        if None in at:
+            self._learn([w for w, i in zip(names, at, strict=True) if i is None])
+            at = list(map(self.known.__getitem__, names))
+        begin, size = self.off[at], self.off[1:][at] - self.off[at]
+        flat, counts = self.flat, np.diff(lists.offsets.to_numpy())
+        if len(self.known) > CACHE_WORDS:  # the next slice knows only what this one has more than twice
+            often = np.flatnonzero(np.bincount(code, minlength=len(names)) > 2)
+            kept = [names[i] for i in often]
+            n = size[often]
+            self._forget()
+            self.known = dict(zip(kept, range(len(kept)), strict=True))
+            self.flat, self.off = _laid(flat, begin[often], n), np.concatenate([[0], np.cumsum(n)])
+        if end_id is not None:  # one more word, after every text
+            code = np.insert(code, np.cumsum(counts), len(names))
+            counts, begin, size = counts + 1, np.append(begin, len(flat)), np.append(size, 1)
+            flat = np.append(flat, np.uint32(end_id))
+        n = size[code]
+        off = np.zeros(len(counts) + 1, np.int64)
+        off[1:] = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)]
+        return off, _laid(flat, begin[code], n)
+
+
+def _laid(flat: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Stretches of flat end to end."""
     upto = np.cumsum(n)
-    out = flat[np.repeat(begin[code] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
-    off = np.zeros(len(counts) + 1, np.int64)
-    off[1:] = np.concatenate([[0], upto])[np.cumsum(counts)]
-    return off, out
+    at = np.repeat((begin - (upto - n)).astype(np.int32), n)
+    at += np.arange(len(at), dtype=np.int32)
+    return flat[at]
 
 
 def opened(where: str) -> tuple[fs.FileSystem, str]:
@@ -89,10 +131,11 @@ def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int, end_id:
         name = f"{place:06d}-{uuid.uuid4().hex}"
         there, folder = opened(where)
         there.create_dir(folder, recursive=True)
-        encode, n, tokens, nulls = WordEncoder(tokenizer), 0, 0, 0
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        encode, n, tokens, nulls = WordEncoder.of(tokenizer), 0, 0, 0
         with there.open_output_stream(f"{folder}/{name}.ids") as ids, there.open_output_stream(f"{folder}/{name}.off") as off, there.open_output_stream(f"{folder}/{name}.doc") as doc:
             for batch in batches:
-                for part in sliced(batch, "text"):
+                for part in sliced(batch, "text", 4 << 20):
                     at, found = encode(part.column("text"), end_id)
                     ids.write(found.astype(kind).tobytes())
                     off.write((at[:-1] + tokens).astype("<u8").tobytes())
