@@ -22,7 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import fresh_path, sliced, table
 
 #: Words whose ids a worker remembers at most.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 400_000
+#: Latin letters whose normal form is themselves and whose lower case is one letter.
+LATIN = frozenset(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130")
+#: The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = dict.fromkeys(range(256)) | {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -30,9 +35,10 @@ class WordEncoder:
     """Ids of whole texts by the tokenizers library, which sees each distinct word of a slice once.
 
     For tokenizers that lower case, drop white space and never look across it (word_bpe_49k: every normaliser and
-    splitter step is bounded by ASCII white space), encoding a text is encoding its words. Words of ASCII letters are one
-    unit after lower-casing, so they go straight to the library's model, and so does what stands before a last comma or
-    full stop, which is a unit of its own; all others go through the library's whole chain."""
+    splitter step is bounded by ASCII white space), encoding a text is encoding its words. Words of Latin letters are one
+    unit after lower-casing, which their composed form doesn't change, so they go straight to the library's model, and so
+    does what stands before a last comma or full stop, which is a unit of its own; all others go through the library's
+    whole chain."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -58,8 +64,9 @@ class WordEncoder:
         ids, rest, tokenize = [None] * len(names), [], self.model.tokenize
         for i, w in enumerate(names):
             core, last = (w[:-1], self.last[w[-1]]) if w[-1:] in self.last else (w, [])
-            if core.isascii() and core.isalpha():
-                ids[i] = [t.id for t in tokenize(core.lower())] + last
+            if core.isalpha() and (core.isascii() or LATIN.issuperset(core)):
+                core = core.lower()
+                ids[i] = [t.id for t in tokenize(core if core.isascii() else core.encode().decode("latin-1").translate(BYTES))] + last
             else:
                 rest.append(i)
         for at in range(0, len(rest), 8192):
@@ -135,7 +142,7 @@ def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int, end_id:
         encode, n, tokens, nulls = WordEncoder.of(tokenizer), 0, 0, 0
         with there.open_output_stream(f"{folder}/{name}.ids") as ids, there.open_output_stream(f"{folder}/{name}.off") as off, there.open_output_stream(f"{folder}/{name}.doc") as doc:
             for batch in batches:
-                for part in sliced(batch, "text", 4 << 20):
+                for part in sliced(batch, "text", 10 << 20):
                     at, found = encode(part.column("text"), end_id)
                     ids.write(found.astype(kind).tobytes())
                     off.write((at[:-1] + tokens).astype("<u8").tobytes())
