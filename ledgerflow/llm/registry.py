@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, forest, mixing, token_files, urls
+from . import ann, bpe, forest, mixing, substrings, token_files, toxicity, urls
 
-QUERIES = {"op1_token_files": token_files.op1_token_files, "op4_url_filter": urls.op4_url_filter, "op6_embedding_dedup": forest.op6_embedding_dedup, "op8_mixing": mixing.op8_mixing, "op9_bpe": bpe.op9_bpe, "op10_nearest_neighbours": ann.op10_nearest_neighbours}
-ORACLE_SQL = {"op4_url_filter": urls.OP4_SQL, "op8_mixing": mixing.OP8_SQL}
+QUERIES = {"op1_token_files": token_files.op1_token_files, "op2_substring_dedup": substrings.op2_substring_dedup, "op4_url_filter": urls.op4_url_filter, "op6_embedding_dedup": forest.op6_embedding_dedup, "op7_toxicity": toxicity.op7_toxicity, "op8_mixing": mixing.op8_mixing, "op9_bpe": bpe.op9_bpe, "op10_nearest_neighbours": ann.op10_nearest_neighbours}
+ORACLE_SQL = {"op2_substring_dedup": substrings.op2_substring_dedup, "op4_url_filter": urls.OP4_SQL, "op8_mixing": mixing.OP8_SQL}
