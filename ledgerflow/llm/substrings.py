@@ -19,6 +19,8 @@ GEAR_BITS, LONG, LONG_BITS = 2, 64, 6
 LEAST_WORDS, LEAST_BYTES = 15, 120
 #: And if its chunks have this many words beyond their first two: chunks of one or two words are equal by chance.
 LEAST_TELLING = 8
+#: Bytes of text that are chunked at a time; the arrays take some 40 bytes for each.
+SLICE = 1 << 20
 _rng = np.random.default_rng(0x6EA2)
 _GEAR = _rng.integers(0, 1 << 16, 256, dtype=np.uint16)
 _VALUE = _rng.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -70,13 +72,12 @@ def chunks(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     white = _WHITE[data]
     cut = white & (h >> np.uint16(16 - GEAR_BITS) == 0)
     cut[:-1] &= ~white[1:]  # the whole of a stretch of white space belongs to the chunk before
-    at = np.arange(n)
-    since = at - np.maximum.accumulate(np.where(white, at, -1))
-    first = off[:-1][own]
-    begin = np.zeros(n, np.int64)
-    begin[first] = first
-    since = np.minimum(since, at - np.maximum.accumulate(begin))
-    if (since >= LONG).any():
+    space = np.flatnonzero(white)
+    if n >= LONG and np.diff(np.concatenate([[-1], space, [n]])).max() > LONG:
+        last = np.full(n, -1, np.int32)
+        last[space] = space
+        last[off[:-1][own]] = off[:-1][own]
+        since = np.arange(n, dtype=np.int32) - np.maximum.accumulate(last)
         inside = np.ones(n, bool)
         inside[:-1] = (data[1:] & 0xC0) != 0x80  # the next byte begins a character
         cut |= (since >= LONG) & inside & (h >> np.uint16(16 - LONG_BITS) == 0)
@@ -100,7 +101,7 @@ def _emitted(docs: DataFrame, first: bool) -> DataFrame:
             ids = batch.column("id").to_numpy(zero_copy_only=False) if not batch.column("id").null_count else None
             key = batch.column("id")
             parts, base = [], 0
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", SLICE):
                 start, _, row, digest = chunks(*utf8_bytes(part.column("text")))
                 nth = np.arange(len(row)) - np.searchsorted(row, row, side="left")
                 parts.append((digest, row + base, nth.astype(np.int32)))
@@ -147,7 +148,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, text):
+            for part in sliced(batch, text, SLICE):
                 texts, removed = part.column(text), np.zeros(len(part), np.int64)
                 marked = np.flatnonzero(part.column("marks").is_valid().to_numpy(zero_copy_only=False))
                 if len(marked):
