@@ -18,7 +18,7 @@ GEAR_BITS, LONG, LONG_BITS = 2, 64, 6
 #: A run of duplicate chunks is removed if it has this many words, or bytes where it has no white space.
 LEAST_WORDS, LEAST_BYTES = 15, 120
 #: And if its chunks have this many words beyond their first two: chunks of one or two words are equal by chance.
-LEAST_TELLING = 8
+LEAST_TELLING = 5
 #: Bytes of text that are chunked at a time; the arrays take some 40 bytes for each.
 SLICE = 1 << 20
 _rng = np.random.default_rng(0x6EA2)
