@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are handled in slices of about this many bytes, so that memory doesn't follow the Arrow batch.
@@ -42,7 +43,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cuts a batch to slices whose texts have about limit bytes; a longer text is a slice of its own."""
     col = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     at = 0
     while at < len(sizes):
         total = np.cumsum(sizes[at : at + (1 << 16)])
@@ -54,7 +55,7 @@ def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
 def utf8_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (n + 1, from 0) and bytes of a string column without copying them; null counts as empty."""
     if col.null_count:
-        col = pa.compute.fill_null(col, "")
+        col = pc.fill_null(col, "")
     wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
     off = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64) if len(col) else np.zeros(1, np.int64)
     data = np.frombuffer(col.buffers()[2], np.uint8) if col.buffers()[2] is not None and len(col) else np.zeros(0, np.uint8)

@@ -144,12 +144,12 @@ class Index:
             raw[order[r]] = self.vote(*self.nearest(term[a:z], self.vector(term[a:z], count[a:z]), but=order[r]))
         x, y = np.log(np.clip(raw, 1e-3, 1 - 1e-3) / (1 - np.clip(raw, 1e-3, 1 - 1e-3))), self.labels
         w = np.array([1.0, 0.0])
-        for _ in range(50):  # Newton steps; a small pull to the unchanged vote keeps them finite
-            p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
+        for _ in range(200):  # Newton steps of bounded length; a small pull to the unchanged vote keeps the line finite
+            p = 1 / (1 + np.exp(-np.clip(w[0] * x + w[1], -30, 30)))
             g = np.array([((p - y) * x).sum() + (w[0] - 1), (p - y).sum() + w[1]])
             d = p * (1 - p)
             h = np.array([[(d * x * x).sum() + 1, (d * x).sum()], [(d * x).sum(), d.sum() + 1]])
-            step = np.linalg.solve(h, g)
+            step = np.clip(np.linalg.solve(h, g), -0.5, 0.5)
             w = w - step
             if np.abs(step).max() < 1e-9:
                 break
@@ -158,7 +158,7 @@ class Index:
 
     def score(self, raw: float) -> float:
         raw = min(max(raw, 1e-3), 1 - 1e-3)
-        return float(1 / (1 + np.exp(-(self.line[0] * np.log(raw / (1 - raw)) + self.line[1]))))
+        return float(1 / (1 + np.exp(-np.clip(self.line[0] * np.log(raw / (1 - raw)) + self.line[1], -30, 30))))
 
 
 def _rows(row: np.ndarray) -> Iterator[tuple[int, tuple[int, int]]]:
