@@ -205,9 +205,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     class: they're dropped from comparison and return their own null. Rows with one key are one document. An empty table
     gives no rows. Other columns are ignored."""
     plain = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    same = stored(plain.filter("id IS NOT NULL").select("id", F.md5(F.col("text").cast("binary")).alias("digest")), "digests")
+    same = stored(plain.filter("id IS NOT NULL").select("id", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
     groups = same.groupBy("digest").agg(F.min("id").alias("rep"))
-    copies = stored(same.join(groups, "digest").select("id", "rep").distinct(), "copies")
+    copies = stored(same.join(groups, "digest").select("id", "rep"), "copies")
     firsts = copies.filter("id = rep").select("id")
     own = plain.join(firsts, "id", "left_semi")
     frequencies = word_frequencies(plain)
