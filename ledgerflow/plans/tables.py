@@ -18,7 +18,8 @@ FEEDS = ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS", "METADATA")
 _built: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make):
+def once(spark: SparkSession, sf_dir: str, name: str, make):
+    """What make(path) builds at a path in the shared folder, built at most once for each session and sf_dir."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _built:
         _built[key] = make(f"{shared_dir(spark)}/ledgerflow-tables/{name}-{uuid.uuid4().hex}")
@@ -33,7 +34,7 @@ def feed_folders(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             df.write.text(f"{path}/{name}")
         return {name: f"{path}/{name}" for name in FEEDS}
 
-    return _once(spark, sf_dir, "feeds", make)
+    return once(spark, sf_dir, "feeds", make)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,7 @@ def history_table(spark: SparkSession, sf_dir: str) -> Table:
         rows.unpersist()
         return table
 
-    return _once(spark, sf_dir, "history", make)
+    return once(spark, sf_dir, "history", make)
 
 
 def current_table(spark: SparkSession, sf_dir: str) -> Table:
@@ -71,4 +72,4 @@ def current_table(spark: SparkSession, sf_dir: str) -> Table:
             table.merge(upserted(table.read(), batch) if table.commit_at().folders else bootstrapped(batch), batch_id=v)
         return table
 
-    return _once(spark, sf_dir, "current", make)
+    return once(spark, sf_dir, "current", make)
