@@ -32,7 +32,7 @@ def _wave(h: DataFrame, wave: int) -> DataFrame:
 @query
 def parse_events(s: SparkSession, d: str) -> DataFrame:
     e = events(s, d)
-    return e.groupBy("event_type").agg(count.alias("rows"), F.count("xid").alias("with_xid"), F.count("before").alias("with_before"), F.count("after").alias("with_after"))
+    return e.groupBy("event_type").agg(count().alias("rows"), F.count("xid").alias("with_xid"), F.count("before").alias("with_before"), F.count("after").alias("with_after"))
 
 
 @query
@@ -43,12 +43,12 @@ def op_predicates(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def table_normalise(s: SparkSession, d: str) -> DataFrame:
-    return events(s, d).filter("table IS NOT NULL").groupBy("table", normalised(F.col("table")).alias("entity")).agg(count.alias("n"))
+    return events(s, d).filter("table IS NOT NULL").groupBy("table", normalised(F.col("table")).alias("entity")).agg(count().alias("n"))
 
 
 @query
 def union_event_counts(s: SparkSession, d: str) -> DataFrame:
-    return with_transaction(events(s, d)).groupBy("event_type").agg(count.alias("n"), F.count_distinct("xid", "csn").alias("transactions"))
+    return with_transaction(events(s, d)).groupBy("event_type").agg(count().alias("n"), F.count_distinct("xid", "csn").alias("transactions"))
 
 
 @query
@@ -65,7 +65,7 @@ def tx_expected_counts(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def tx_completion(s: SparkSession, d: str) -> DataFrame:
-    return transactions(events(s, d)).groupBy("announced", "complete").agg(count.alias("n"), F.sum("have_ORDER_LINE_ITEMS").alias("item_events"))
+    return transactions(events(s, d)).groupBy("announced", "complete").agg(count().alias("n"), F.sum("have_ORDER_LINE_ITEMS").alias("item_events"))
 
 
 @query
@@ -80,13 +80,13 @@ def tx_emitted_orders(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def tx_order_array_sizes(s: SparkSession, d: str) -> DataFrame:
-    return _h(s, d).groupBy(F.size("orders").alias("orders"), F.size("orderDetails").alias("details"), F.size("lineItems").alias("items")).agg(count.alias("n"))
+    return _h(s, d).groupBy(F.size("orders").alias("orders"), F.size("orderDetails").alias("details"), F.size("lineItems").alias("items")).agg(count().alias("n"))
 
 
 @query
 def before_images(s: SparkSession, d: str) -> DataFrame:
     each = [_h(s, d).select(F.explode(e.array).alias("r")).select(F.lit(e.array).alias("entity"), F.col("r.version").alias("version"), F.col("r.before.version").alias("old_version")) for e in ENTITIES]
-    return each[0].union(each[1]).union(each[2]).groupBy("entity", "version", "old_version").agg(count.alias("n"))
+    return each[0].union(each[1]).union(each[2]).groupBy("entity", "version", "old_version").agg(count().alias("n"))
 
 
 @query
@@ -172,7 +172,7 @@ def scd1_insert_guard(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def q1_07(s: SparkSession, d: str) -> DataFrame:
-    return _c(s, d).agg(F.lit("SCD1").alias("kind"), count.alias("n")).unionAll(_h(s, d).agg(F.lit("SCD2").alias("kind"), count.alias("n")))
+    return _c(s, d).agg(F.lit("SCD1").alias("kind"), count().alias("n")).unionAll(_h(s, d).agg(F.lit("SCD2").alias("kind"), count().alias("n")))
 
 
 QUERIES["scd_counts_union"], QUERIES["duplicate_check"] = q1_07, QUERIES["q1_02"]
@@ -182,18 +182,18 @@ QUERIES["scd_counts_union"], QUERIES["duplicate_check"] = q1_07, QUERIES["q1_02"
 def time_travel_count(s: SparkSession, d: str) -> DataFrame:
     """q2_14: rows by version of the history; version 1 holds wave 1."""
     t = history_table(s, d)
-    return t.read(version=1).agg(F.lit(1).cast("long").alias("version"), count.alias("n")).unionAll(t.read().agg(F.lit(-1).cast("long"), count))
+    return t.read(version=1).agg(F.lit(1).cast("long").alias("version"), count().alias("n")).unionAll(t.read().agg(F.lit(-1).cast("long"), count()))
 
 
 @query
 def change_feed(s: SparkSession, d: str) -> DataFrame:
     """What the second merge changed, by kind."""
-    return current_table(s, d).changes("orderId", 1, 2).groupBy("_change_type").agg(count.alias("n"))
+    return current_table(s, d).changes("orderId", 1, 2).groupBy("_change_type").agg(count().alias("n"))
 
 
 @query
 def table_history(s: SparkSession, d: str) -> DataFrame:
-    return history_table(s, d).history().groupBy("operation").agg(count.alias("n"))
+    return history_table(s, d).history().groupBy("operation").agg(count().alias("n"))
 
 
 @query
@@ -206,7 +206,7 @@ def decimal_profile(s: SparkSession, d: str) -> DataFrame:
 def detail_items_cross(s: SparkSession, d: str) -> DataFrame:
     """Items by carrier: two explodes of one row."""
     x = _h(s, d).select(F.explode("orderDetails").alias("d"), "lineItems").select("d", F.explode("lineItems").alias("i"))
-    return x.groupBy(F.col("d.carrier").alias("carrier")).agg(count.alias("n"), F.sum("i.itemQty").alias("qty"))
+    return x.groupBy(F.col("d.carrier").alias("carrier")).agg(count().alias("n"), F.sum("i.itemQty").alias("qty"))
 
 
 def _streamed_history(s: SparkSession, d: str) -> Table:

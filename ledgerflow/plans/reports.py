@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 money = lambda c: F.sum(F.col(c).cast("decimal(20,4)")).cast("double")  # noqa: E731  exact, so that no order of summing shows
-count = F.count(F.lit(1))
+count = lambda: F.count(F.lit(1))
 
 
 def mean(c: str) -> Column:
@@ -51,19 +51,19 @@ def _orders(h: DataFrame) -> DataFrame:
 
 
 HISTORY = {
-    "q2_01": lambda h: h.agg(count.alias("total_records")),
+    "q2_01": lambda h: h.agg(count().alias("total_records")),
     "q2_02": lambda h: head(h).orderBy(F.col("orderId").desc(), F.col("csn").desc()).limit(10).select("orderId", "csn", F.col("o.orderRef").alias("order_ref"), F.col("o.orderStatus").alias("status"), F.col("o.totalAmount").alias("amount"), F.size("orderDetails").alias("details"), F.size("lineItems").alias("items")),
-    "q2_03": lambda h: _orders(h).groupBy(F.col("o.orderStatus").alias("status")).agg(count.alias("order_count"), money("o.totalAmount").alias("total_amount"), mean("o.totalAmount").alias("avg_amount")).orderBy(F.col("order_count").desc(), "status"),
-    "q2_04": lambda h: _orders(h).groupBy(F.col("o.currency").alias("currency")).agg(count.alias("order_count"), money("o.totalAmount").alias("total_amount")).orderBy(F.col("order_count").desc(), "currency"),
+    "q2_03": lambda h: _orders(h).groupBy(F.col("o.orderStatus").alias("status")).agg(count().alias("order_count"), money("o.totalAmount").alias("total_amount"), mean("o.totalAmount").alias("avg_amount")).orderBy(F.col("order_count").desc(), "status"),
+    "q2_04": lambda h: _orders(h).groupBy(F.col("o.currency").alias("currency")).agg(count().alias("order_count"), money("o.totalAmount").alias("total_amount")).orderBy(F.col("order_count").desc(), "currency"),
     "q2_05": lambda h: _orders(h).select("csn", "o", F.explode("orderDetails").alias("d")).select("csn", F.col("o.orderId").alias("order_id"), F.col("o.orderStatus").alias("status"), F.col("d.carrier").alias("carrier"), F.col("d.deliveryStatus").alias("delivery_status"), F.col("d.version").alias("detail_version")),
     "q2_06": lambda h: head(h).select("csn", "orderId", F.col("o.orderRef").alias("order_ref"), F.explode("lineItems").alias("i")).select("csn", F.col("orderId").alias("order_id"), "order_ref", F.col("i.lineItemId").alias("line_item_id"), F.col("i.productId").alias("product_id"), F.col("i.itemQty").alias("qty"), F.col("i.itemPrice").alias("price"), F.col("i.itemAmount").alias("amount")),
-    "q2_07": lambda h: head(h).select("xid", "csn", F.col("o.totalAmount").alias("amount")).groupBy("xid", "csn").agg(count.alias("order_count"), money("amount").alias("total_amount")).orderBy(F.col("order_count").desc(), F.col("total_amount").desc_nulls_last(), "csn").limit(10),
-    "q2_08": lambda h: _orders(h).groupBy(F.col("o.customerId").alias("customer_id")).agg(count.alias("order_count"), money("o.totalAmount").alias("total_amount")).orderBy(F.col("order_count").desc(), "customer_id").limit(20),
+    "q2_07": lambda h: head(h).select("xid", "csn", F.col("o.totalAmount").alias("amount")).groupBy("xid", "csn").agg(count().alias("order_count"), money("amount").alias("total_amount")).orderBy(F.col("order_count").desc(), F.col("total_amount").desc_nulls_last(), "csn").limit(10),
+    "q2_08": lambda h: _orders(h).groupBy(F.col("o.customerId").alias("customer_id")).agg(count().alias("order_count"), money("o.totalAmount").alias("total_amount")).orderBy(F.col("order_count").desc(), "customer_id").limit(20),
     "q2_09": lambda h: h.select("csn", F.col("orderId").alias("order_id"), F.size("lineItems").alias("item_count"), F.aggregate("lineItems", F.lit(0.0), lambda n, i: n + i["itemQty"]).alias("total_item_qty")).orderBy(F.col("total_item_qty").desc_nulls_last(), "csn").limit(20),
     "q2_10": lambda h: _orders(h).filter("o.before IS NOT NULL").select("csn", F.col("o.orderId").alias("order_id"), F.col("o.before.orderStatus").alias("old_status"), F.col("o.orderStatus").alias("new_status"), F.col("o.before.totalAmount").alias("old_amount"), F.col("o.totalAmount").alias("new_amount")),
     "q2_11": lambda h: h.select("csn", F.explode("orderDetails").alias("d")).filter("d.before IS NOT NULL").select("csn", F.col("d.orderId").alias("order_id"), F.col("d.before.deliveryStatus").alias("old_status"), F.col("d.deliveryStatus").alias("new_status")),
     "q2_12": lambda h: h.select("csn", F.explode("lineItems").alias("i")).filter("i.before IS NOT NULL").select("csn", F.col("i.lineItemId").alias("line_item_id"), F.col("i.before.itemQty").alias("old_qty"), F.col("i.itemQty").alias("new_qty"), (F.col("i.itemQty") - F.col("i.before.itemQty")).alias("qty_change")),
-    "q2_13": lambda h: _orders(h).groupBy(F.col("o.version").alias("version")).agg(count.alias("order_count")).orderBy("version"),
+    "q2_13": lambda h: _orders(h).groupBy(F.col("o.version").alias("version")).agg(count().alias("order_count")).orderBy("version"),
     "view_order_stream_current": order_stream_current,
     "view_order_stream_changes": order_stream_changes,
 }
@@ -76,11 +76,11 @@ def _largest(c: str) -> Column:
 
 
 CURRENT = {
-    "q1_01": lambda c: c.agg(count.alias("total_orders")),
-    "q1_02": lambda c: c.groupBy(F.col("orderId").alias("order_id")).agg(count.alias("n")).filter("n > 1"),
+    "q1_01": lambda c: c.agg(count().alias("total_orders")),
+    "q1_02": lambda c: c.groupBy(F.col("orderId").alias("order_id")).agg(count().alias("n")).filter("n > 1"),
     "q1_03": lambda c: c.orderBy(F.col("orderId").desc()).limit(10).select(F.col("orderId").alias("order_id"), "orderRef", "version", "orderStatus", "totalAmount", F.col("orderDetails.carrier").alias("carrier"), F.size("lineItems").cast("double").alias("items")),
-    "q1_04": lambda c: c.groupBy(F.col("orderStatus").alias("status")).agg(count.alias("order_count"), money("totalAmount").alias("total_amount"), (F.sum("version") / F.count("version")).alias("avg_version")).orderBy(F.col("order_count").desc(), "status"),
-    "q1_05": lambda c: c.groupBy("currency").agg(count.alias("order_count"), mean("totalAmount").alias("avg_amount")),
+    "q1_04": lambda c: c.groupBy(F.col("orderStatus").alias("status")).agg(count().alias("order_count"), money("totalAmount").alias("total_amount"), (F.sum("version") / F.count("version")).alias("avg_version")).orderBy(F.col("order_count").desc(), "status"),
+    "q1_05": lambda c: c.groupBy("currency").agg(count().alias("order_count"), mean("totalAmount").alias("avg_amount")),
     "q1_06": lambda c: c.orderBy(F.col("version").desc(), "orderId").limit(20).select(F.col("orderId").alias("order_id"), "version", "orderStatus", F.col("orderDetails.version").alias("detail_version")),
     "q1_08": lambda c: c.filter("orderDetails IS NOT NULL").select(F.col("orderId").alias("order_id"), "orderStatus", F.col("orderDetails.shippingMethod").alias("method"), F.col("orderDetails.carrier").alias("carrier"), F.col("orderDetails.deliveryStatus").alias("delivery_status"), F.col("orderDetails.trackingNumber").alias("tracking")),
     "q1_09": lambda c: c.select("orderId", F.explode("lineItems").alias("i")).select(F.col("orderId").alias("order_id"), F.col("i.lineItemId").alias("line_item_id"), F.col("i.version").alias("version"), F.col("i.productId").alias("product_id"), F.col("i.itemQty").alias("qty"), F.col("i.itemPrice").alias("price")),
