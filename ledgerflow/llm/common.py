@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyarrow import compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Texts are handled in slices of about this many bytes, so that memory doesn't follow the Arrow batch.
 SLICE_BYTES = 8 << 20
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where the session has none
     (tests on one machine) a temporary folder is set."""

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from .common import stored, table
+from .common import quoted, stored, table
 
 #: A word: what lies between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -97,10 +97,12 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     rows, copies = mix(docs, **options)
     got = taken(rows, copies).filter("taken > 0").groupBy(F.col("key").alias("m_key"), F.col("source").alias("m_source"), F.col("size").alias("m_size")).agg(F.floor(F.sum("taken") / F.max("size") + 0.5).cast("int").alias("m_all"), F.count(F.lit(1)).cast("int").alias("m_rows"))
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")
-    d = docs.withColumn("m_own", size)
-    d = d.join(got, d.doc_id.eqNullSafe(got.m_key) & d.source.eqNullSafe(got.m_source) & (d.m_own == got.m_size))
+    # a row's columns travel in one, so that their names can't clash
+    d = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.col("doc_id").alias("key"), F.col("source").alias("source"), size.alias("size"))
+    d = d.join(got, d.key.eqNullSafe(got.m_key) & d.source.eqNullSafe(got.m_source) & (d.size == got.m_size))
     each = F.ceil(F.col("m_all") / F.col("m_rows")).cast("int")
-    return d.filter(each > 0).withColumn("m_copy", F.explode(F.sequence(F.lit(1), each))).select(*docs.columns)
+    d = d.filter(each > 0).select("row", F.explode(F.sequence(F.lit(1), each)).alias("copy"))
+    return d.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix64, sliced, table, utf8_bytes
+from .common import mix64, quoted, sliced, table, utf8_bytes
 
 #: A chunk ends after white space where GEAR_BITS bits of the rolling hash are 0; where there is none for LONG bytes,
 #: after any character where LONG_BITS bits are.
@@ -98,8 +98,8 @@ def _emitted(docs: DataFrame, first: bool) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False) if not batch.column("id").null_count else None
             key = batch.column("id")
+            ids = pc.fill_null(key, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             parts, base = [], 0
             for part in sliced(batch, "text", SLICE):
                 start, _, row, digest = chunks(*utf8_bytes(part.column("text")))
@@ -109,11 +109,12 @@ def _emitted(docs: DataFrame, first: bool) -> DataFrame:
             if not parts:
                 continue
             digest, row, nth = (np.concatenate(x) for x in zip(*parts, strict=True))
-            rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable") if ids is not None else np.arange(len(batch))
-            by = np.lexsort((nth, rank[row], digest))
+            by = np.lexsort((nth, ids[row], digest))
             head = np.ones(len(by), bool)
             head[1:] = digest[by][1:] != digest[by][:-1]
-            pick = np.sort(by[head if first else ~head])
+            first_of = by[np.maximum.accumulate(np.where(head, np.arange(len(by)), 0))]
+            same = (ids[row[by]] == ids[row[first_of]]) & (nth[by] == nth[first_of])  # the first itself, or a repeated row
+            pick = np.sort(by[head if first else ~same])
             yield pa.RecordBatch.from_arrays([pa.array(digest[pick]), key.take(pa.array(row[pick])), pa.array(nth[pick])], ["digest", "id", "nth"])
 
     schema = StructType([StructField("digest", LongType()), StructField("id", LongType()), *StructType.fromDDL("nth int").fields])
@@ -124,9 +125,9 @@ def duplicates(docs: DataFrame) -> DataFrame:
     """(id, marks): for every document with duplicate chunks (not the first of their digest by id and place) an array of
     (nth, digest). docs: id long, text string.
 
-    A digest's rows are one per batch of documents, which a window numbers; no task gathers a frequent chunk's copies."""
+    A digest's rows are one per batch of documents, which a window ranks (repeated rows of one id rank alike); no task gathers a frequent chunk's copies."""
     order = W.partitionBy("digest").orderBy("id", "nth")
-    later = _emitted(docs, True).withColumn("rank", F.row_number().over(order)).filter("rank > 1").select("id", "nth", "digest")
+    later = _emitted(docs, True).withColumn("rank", F.dense_rank().over(order)).filter("rank > 1").select("id", "nth", "digest")
     both = later.unionByName(_emitted(docs, False).select("id", "nth", "digest"))
     return both.groupBy("id").agg(F.collect_list(F.struct("nth", "digest")).alias("marks"))
 
@@ -140,16 +141,20 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
 
     Nulls: a null text stays null (0 removed); null keys sort first and are one document. Empty texts stay empty. Rows
     with one key are one document here: equal chunks at the same place of two of them both stay. Repeated passages within
-    one text count too. An empty table gives no rows. Other columns pass through. Texts are handled whole."""
+    one text count too. An empty table gives no rows. Other columns pass through, but
+    n_removed, which is replaced. Texts are handled whole."""
     plain = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    marks = duplicates(plain)
-    joined = docs.join(marks, F.col(key).cast("long").eqNullSafe(marks.id), "left").select(*docs.columns, "marks")
-    schema, names = StructType([*docs.schema.fields, StructField("n_removed", LongType())]), docs.columns
+    marks = duplicates(plain).withColumnRenamed("id", "m_id")
+    # the other columns travel in one, so that their names can't clash
+    rest = [c for c in docs.columns if c not in (text, "n_removed")]
+    rows = docs.select(F.struct(*map(quoted, rest)).alias("rest") if rest else F.lit(0).alias("rest"), F.col(text).alias("text"), F.col(key).cast("long").alias("id"))
+    joined = rows.join(marks, rows.id.eqNullSafe(F.col("m_id")), "left").select("rest", "text", "marks")
+    schema = StructType([joined.schema["rest"], joined.schema["text"], StructField("n_removed", LongType())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, text, SLICE):
-                texts, removed = part.column(text), np.zeros(len(part), np.int64)
+            for part in sliced(batch, "text", SLICE):
+                texts, removed = part.column("text"), np.zeros(len(part), np.int64)
                 marked = np.flatnonzero(part.column("marks").is_valid().to_numpy(zero_copy_only=False))
                 if len(marked):
                     own = texts.take(pa.array(marked))
@@ -176,10 +181,10 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
                         mask = np.zeros(len(part), bool)
                         mask[marked] = True
                         texts = pc.replace_with_mask(texts.cast(pa.string()), pa.array(mask), new)
-                columns = [texts if name == text else part.column(name) for name in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed)], [*names, "n_removed"])
+                yield pa.RecordBatch.from_arrays([part.column("rest"), texts, pa.array(removed)], schema.names)
 
-    return joined.mapInArrow(task, schema)
+    out = joined.mapInArrow(task, schema)
+    return out.select(*(F.col("text").alias(text) if c == text else F.col("rest")[c].alias(c) for c in docs.columns if c != "n_removed"), "n_removed")
 
 
 def _spread(start: np.ndarray, end: np.ndarray) -> np.ndarray:

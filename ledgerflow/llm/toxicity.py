@@ -12,7 +12,7 @@ from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import sliced, stored, table
+from .common import quoted, sliced, stored, table
 
 #: Labelled rows that a model is fitted on, at most; terms, at most; examples of a block; neighbours that vote.
 EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 8192, 512, 32, 15
@@ -163,7 +163,7 @@ class Index:
 
 def _rows(row: np.ndarray) -> Iterator[tuple[int, tuple[int, int]]]:
     ids, first = np.unique(row, return_index=True)
-    yield from zip(ids.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(row)], strict=True), strict=True)
+    yield from zip(ids.tolist(), zip(first.tolist(), np.append(first, len(row))[1:].tolist(), strict=True), strict=True)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -235,8 +235,12 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
 
     A text without any token, empty and null ones too, gets the calibrated prior and no evidence; without
     a model scores are 0. Repeated rows get equal scores; only text goes into a score. No rows give no rows. Texts are
-    read whole, in slices of some MB."""
-    schema = StructType([*docs.schema.fields, StructField("tox_score", DoubleType()), StructField("tox_predicted", IntegerType()), StructField("tox_evidence", EVIDENCE)])
+    read whole, in slices of some MB. Columns of these names are replaced, others pass through."""
+    own = ["tox_score", "tox_predicted", "tox_evidence"]
+    kept = [c for c in docs.columns if c not in own]
+    rest = [c for c in kept if c != "text"]  # these travel in one column, so that their names can't clash
+    rows = docs.select(F.struct(*map(quoted, rest)).alias("rest") if rest else F.lit(0).alias("rest"), "text")
+    schema = StructType([*rows.schema.fields, StructField("tox_score", DoubleType()), StructField("tox_predicted", IntegerType()), StructField("tox_evidence", EVIDENCE)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
@@ -259,7 +263,8 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
                         why[r] = [{"doc_id": int(model.ids[s]), "toxic": int(model.labels[s]), "cosine": float(c)} for s, c in zip(slots[:evidence], near[:evidence], strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(why, kind)], schema.names)
 
-    return docs.mapInArrow(task, schema)
+    out = rows.mapInArrow(task, schema)
+    return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in kept), *own)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
