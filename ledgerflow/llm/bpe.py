@@ -16,7 +16,7 @@ import regex
 from pyarrow import compute as pc, fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_path, sliced, table
+from .common import fresh_path, sliced, stored, table
 
 #: Words of the lexicon, and different words that a task counts at a time.
 LEXICON_WORDS, COUNTED_WORDS = 1 << 15, 1 << 17
@@ -261,7 +261,8 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
 
     counted = docs.select(text).mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total: dict[str, int] = {}
-    for r in counted.orderBy(F.col("n").desc(), "word").limit(most).collect():
+    # written first: collecting a limit directly would bring every partition's share of it to the driver
+    for r in stored(counted.orderBy(F.col("n").desc(), "word").limit(most), "frequent-words").collect():
         for w in PATTERN.findall(" " + r["word"]):
             total[w] = total.get(w, 0) + r["n"]
     return sorted(total, key=lambda w: (-total[w], w))[:most]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -109,6 +110,6 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
             todo = todo[n[todo] > at]
             if at > 64 and len(todo):  # very long words, one by one
                 for i in todo:
-                    h[i] ^= np.uint64(int.from_bytes(__import__("hashlib").blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little"))
+                    h[i] ^= np.uint64(int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little"))
                 break
     return mix64(h)

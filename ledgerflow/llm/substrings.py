@@ -17,8 +17,9 @@ from .common import mix64, quoted, sliced, table, utf8_bytes
 GEAR_BITS, LONG, LONG_BITS = 2, 64, 6
 #: A run of duplicate chunks is removed if it has this many words, or bytes where it has no white space.
 LEAST_WORDS, LEAST_BYTES = 15, 120
-#: And if its chunks have this many words beyond their first two: chunks of one or two words are equal by chance.
-LEAST_TELLING = 5
+#: And if its chunks have this many words beyond their first two, for chunks of one or two words are equal by chance, or
+#: if it is so long that chance is out of the question.
+LEAST_TELLING, SURE_WORDS = 5, 40
 #: Bytes of text that are chunked at a time; the arrays take some 40 bytes for each.
 SLICE = 1 << 20
 _rng = np.random.default_rng(0x6EA2)
@@ -136,8 +137,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
     """docs with the text's repeated passages removed and n_removed, the characters taken out.
 
     Texts are cut to chunks; of equal chunks the first by key and place stays. What goes is every run of neighbouring
-    duplicates of `least_words` words or more, LEAST_TELLING of them not among their chunk's first two (of LEAST_BYTES bytes
-    where there is no white space), so phrases that texts share by chance stay. What is left of a text is joined as it is, white space and all.
+    duplicates of `least_words` words or more, LEAST_TELLING of them not among their chunk's first two or SURE_WORDS in all
+    (of LEAST_BYTES bytes where there is no white space), so phrases that texts share by chance stay. What is left of a text is joined as it is, white space and all.
 
     Nulls: a null text stays null (0 removed); null keys sort first and are one document. Empty texts stay empty. Rows
     with one key are one document here: equal chunks at the same place of two of them both stay. Repeated passages within
@@ -205,7 +206,7 @@ def _runs(dup: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray,
     run = np.cumsum(new) - 1
     size = end - start
     n, b, telling = np.bincount(run, words), np.bincount(run, size), np.bincount(run, np.maximum(words - 2, 0))
-    enough = ((n >= least_words) & (telling >= LEAST_TELLING)) | ((b >= LEAST_BYTES) & (n * 40 < b))
+    enough = (n >= least_words) & ((telling >= LEAST_TELLING) | (n >= SURE_WORDS)) | ((b >= LEAST_BYTES) & (n * 40 < b))
     return dup & enough[run]
 
 
