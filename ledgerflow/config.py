@@ -16,6 +16,7 @@ DEFAULTS: dict = {
     "history_path": None,
     "current_path": None,
     "checkpoint": None,
+    "buckets": None,
 }
 
 

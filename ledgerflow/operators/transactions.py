@@ -39,10 +39,20 @@ def with_progress(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, de
     return out.withColumn("complete", F.coalesce(done, F.lit(False)))
 
 
-def transactions(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, **options) -> DataFrame:
-    """One row per transaction: its counts and whether it is complete."""
-    keep = [f"{p}_{e.table}" for e in entities for p in ("have", "want")]
-    return with_progress(events, entities, **options).groupBy(*KEY).agg(*(F.max(c).alias(c) for c in keep), F.max("announced").alias("announced"), F.max("complete").alias("complete"))
+def transactions(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, dedup: bool = False, count_deletes: bool = True) -> DataFrame:
+    """One row per transaction: its counts, whether its metadata is there and whether it is complete. Counted on the map
+    side first, so a transaction with a large part of all events is no task of its own."""
+    events = with_transaction(events)
+    if dedup:
+        events = _distinct_events(events)
+    change, name = F.col("event_type") != "METADATA", normalised(F.col("table"))
+    counted = change if count_deletes else change & (F.col("op_type") != "D")
+    told = F.max(F.when(~change, F.struct("op_ts", *(expected(F.col("data_collections"), e.table).alias(e.table) for e in entities))))
+    out = events.groupBy(*KEY).agg(*(F.count_if(counted & (name == e.table)).alias(f"have_{e.table}") for e in entities), told.alias("_told"))
+    done = F.col("_told").isNotNull()
+    for e in entities:
+        done = done & (F.col(f"have_{e.table}") >= F.col("_told")[e.table])
+    return out.select(*KEY, *(f"have_{e.table}" for e in entities), *(F.col("_told")[e.table].alias(f"want_{e.table}") for e in entities), F.col("_told").isNotNull().alias("announced"), F.col("_told.op_ts").alias("tx_ts"), F.coalesce(done, F.lit(False)).alias("complete"))
 
 
 def pending(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, **options) -> DataFrame:
@@ -66,6 +76,15 @@ def denormalised(changes: DataFrame, entities: tuple[Entity, ...] = ENTITIES, pr
     return grouped.select(*KEY, "dwhProcessedTs", root.name, *(e.array for e in entities))
 
 
-def history(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False, **options) -> DataFrame:
-    """Denormalised rows of all complete transactions: one shuffle, by (xid, csn)."""
-    return denormalised(with_progress(events, entities, **options).filter("complete"), entities, processed, exact)
+def history(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False, spread: bool = False, **options) -> DataFrame:
+    """Denormalised rows of all complete transactions: one shuffle, by (xid, csn).
+
+    spread: for feeds with bulk transactions, of which one may hold a large part of all events. Transactions are counted
+    by an aggregate, events join the complete ones (a join whose large keys Spark can split) and are dealt by order, so
+    no task holds a whole transaction; that takes three shuffles."""
+    if not spread:
+        return denormalised(with_progress(events, entities, **options).filter("complete"), entities, processed, exact)
+    done = transactions(events, entities, **options).filter("complete").select(*KEY, "tx_ts")
+    events = _distinct_events(events) if options.get("dedup") else events
+    changes = with_transaction(events).filter("event_type <> 'METADATA'").withColumn("entity", normalised(F.col("table")))
+    return denormalised(changes.join(done, list(KEY)), entities, processed, exact)

@@ -35,7 +35,7 @@ class TransactionBuffer(StatefulProcessor):
         self.events = handle.getListState("events", _EVENT)
         self.want = handle.getValueState("want", _WANT)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:  # noqa: N802  the interface's name
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803  the interface's names
         came, want = [], None
         for part in rows:
             for entity, event, tx_ts, counts in zip(part["entity"], part["event"], part["tx_ts"], part["counts"], strict=True):
@@ -68,9 +68,9 @@ class TransactionBuffer(StatefulProcessor):
         if want is not None:
             self.want.update(want)
         if self.expire_ms and not stored:
-            self.handle.registerTimer(timers.getCurrentProcessingTimeInMs() + self.expire_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.expire_ms)
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:  # noqa: N802
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         held = [tuple(e) for e in self.events.get()] if self.events.exists() else []
         want = self.want.get() if self.want.exists() else None
         self.events.clear()

@@ -44,25 +44,32 @@ def history_pipeline(spark: SparkSession, sources: dict[str, DataFrame], table:
     return _run(rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, once, interval)
 
 
-def merge_batch(table: Table, batch: DataFrame, batch_id: int | None = None, guard: bool = True) -> int | None:
-    """Merges a batch of history rows into the current state; an empty one changes nothing."""
+def merge_batch(table: Table, batch: DataFrame, batch_id: int | None = None, guard: bool = True, buckets: int | None = None) -> int | None:
+    """Merges a batch of history rows into the current state; an empty one changes nothing. With buckets only the parts
+    of the table that the batch's orders lie in are read and rewritten; without, the whole table."""
     if batch.isEmpty():
         return None
+    there = bool(table.exists() and table.commit_at().folders)
+    merged = lambda target, rows: upserted(target, rows) if there else bootstrapped(rows, guard)
     rows = combined(batch)
-    there = table.exists() and table.commit_at().folders
-    version = table.merge(upserted(table.read(), rows) if there else bootstrapped(rows, guard), batch_id)
+    if buckets:
+        rows = rows.persist()  # for the buckets that it touches, and for the merge
+        version = table.merge_by(rows, "orderId", merged, buckets, batch_id)
+        rows.unpersist()
+    else:
+        version = table.merge(merged(table.read() if there else None, rows), batch_id)
     log.info("current: batch %s is version %s", batch_id, version)
     return version
 
 
-def current_pipeline(spark: SparkSession, history: Table, table: Table, checkpoint: str, once: bool = False, interval: str | None = None, guard: bool = True, files_per_batch: int | None = None) -> StreamingQuery:
+def current_pipeline(spark: SparkSession, history: Table, table: Table, checkpoint: str, once: bool = False, interval: str | None = None, guard: bool = True, files_per_batch: int | None = None, buckets: int | None = None) -> StreamingQuery:
     """New rows of the history to the current state, by version."""
     table.create(current_type())
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # isEmpty and the merge read it
         try:
-            merge_batch(table, batch, batch_id, guard)
+            merge_batch(table, batch, batch_id, guard, buckets)
         finally:
             batch.unpersist()
 
@@ -78,7 +85,7 @@ def main(arguments: list[str]) -> None:
     if arguments[0] == "history":
         query = history_pipeline(spark, feeds(spark, config), history, config["checkpoint"])
     else:
-        query = current_pipeline(spark, history, Table(spark, config["current_path"]), config["checkpoint"])
+        query = current_pipeline(spark, history, Table(spark, config["current_path"]), config["checkpoint"], buckets=int(config["buckets"]) if config["buckets"] else None)
     query.awaitTermination()
 
 

@@ -65,3 +65,42 @@ def test_pipelines_restart_and_agree_with_batch(spark, tmp_path):
 def test_json_lines_is_a_stream(spark, tmp_path):
     put(f"{tmp_path}/f", 1, "{}")
     assert json_lines(spark, f"{tmp_path}/f").isStreaming
+
+
+def test_expiry(spark, tmp_path):
+    """A transaction that doesn't complete in time is emitted as expired and forgotten."""
+    import time
+
+    from ledgerflow.streaming.buffer import buffered
+
+    at = {n: f"{tmp_path}/{n}" for n in (ORDER, "METADATA")}
+    put(at[ORDER], 1, event("x1", ORDER, "1", ORDER_ID=1))
+    put(at["METADATA"], 1, meta("x9", orders=1))
+    out = []
+
+    def run():
+        src = {n: json_lines(spark, p) for n, p in at.items()}
+        df = buffered(unified([parse_events(src[ORDER], ORDER)], parse_metadata(src["METADATA"])), expire_ms=1)
+        df.writeStream.foreachBatch(lambda b, _: out.extend((r["xid"], r["status"], len(r["events"])) for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    time.sleep(0.1)
+    put(at[ORDER], 2, event("x2", ORDER, "1", ORDER_ID=2))
+    run()
+    assert ("x1", "EXPIRED", 1) in out and all(s == "EXPIRED" for _, s, _ in out)
+
+
+def test_dedup_and_before_complete(spark, tmp_path):
+    from ledgerflow.streaming.buffer import buffered
+
+    at = {n: f"{tmp_path}/{n}" for n in (ORDER, "METADATA")}
+    twice = event("x1", ORDER, "1", ORDER_ID=1)
+    put(at[ORDER], 1, twice, twice, event("x2", ORDER, "1", ORDER_ID=2), event("x2", ORDER, "2", ORDER_ID=3))
+    put(at["METADATA"], 1, meta("x1", orders=2), meta("x2", orders=2))
+    out = {}
+    for dedup in (False, True):
+        src = {n: json_lines(spark, p) for n, p in at.items()}
+        got = out[dedup] = set()
+        df = buffered(unified([parse_events(src[ORDER], ORDER)], parse_metadata(src["METADATA"])), dedup=dedup)
+        df.writeStream.foreachBatch(lambda b, _, got=got: got.update(r["xid"] for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c{dedup}").trigger(availableNow=True).start().awaitTermination()
+    assert out == {False: {"x1", "x2"}, True: {"x2"}}

@@ -53,3 +53,13 @@ def test_one_shuffle(spark):
 
 def test_no_events(spark):
     assert history(feed(spark, [], []).limit(0)).count() == 0
+
+
+def test_spread_history_is_the_same(spark):
+    from pyspark.sql import functions as F
+
+    text = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct(*df.columns))).collect())
+    for options in ({}, {"dedup": True}, {"count_deletes": False}):
+        a = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), **options)
+        b = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), spread=True, **options)
+        assert text(a) == text(b)
