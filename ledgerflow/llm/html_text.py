@@ -26,7 +26,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset("nav aside footer form menu dialog search button fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 # Fixed words in the first or last part of a class or id that mark what isn't the article.
-MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription teaser toolbar widget widgets".split())
+MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split())
 _SAFE = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 _TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$)|[^<]+|<", regex.S)
 _ATTRIBUTE = regex.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
@@ -37,10 +37,11 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
-def _marked(own: dict[str, str]) -> bool:
+def _marked(own: dict[str, str], in_article: bool) -> bool:
+    """Whether an element says that it isn't the article. What is called a header within an article holds its title."""
     for name in (own.get("class", "") + " " + own.get("id", "")).lower().split():
         parts = regex.split(r"[-_:]+", name)
-        if parts[0] not in ("no", "has", "with", "without") and (parts[0] in MARKS or parts[-1] in MARKS):
+        if parts[0] not in ("no", "has", "with", "without") and any(x in MARKS and not (in_article and x == "header") for x in (parts[0], parts[-1])):
             return True
     return own.get("role", "").lower() in ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
 
@@ -133,7 +134,8 @@ def parsed(text: str) -> Page:
                     pop(at)
         own = _attributes(m[3])
         landmark = 2 if name == "article" or own.get("itemprop") == "articleBody" else 1 if name == "main" or own.get("role") == "main" else 0
-        drop = name in DROPPED or (name == "header" and not any(x[2] == 2 for x in stack)) or (_marked(own) and (name not in _SAFE or name == "article"))
+        in_article = any(x[2] == 2 for x in stack)
+        drop = name in DROPPED or (name == "header" and not in_article) or (_marked(own, in_article) and (name not in _SAFE or name == "article"))
         if landmark and not drop and drops and not any(x[2] for x in stack):  # what was left open before it
             pop(next((i for i, x in enumerate(stack) if x[1]), len(stack)))
         stack.append((name, int(drop), landmark))
