@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import mix64, stored, table
+from .common import mix64, stored, table, tidy
 from .forest import matrix, usable
 
 #: Vectors that the index is fitted on, at most; lists at most; rows of a task's share of the index, at most.
@@ -150,7 +150,7 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
             raw = pa.Array.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes))]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), raw], ["id", "vector", "list", "code"])
 
-    inverted = stored(good.mapInArrow(coded, "id long, vector array<double>, list int, code binary"), "inverted-file")
+    inverted = stored(good.mapInArrow(tidy(coded), "id long, vector array<double>, list int, code binary"), "inverted-file")
     # the lists' shares: a list's first share and how many it has; the number of lists is bounded
     most = min(SHARE, max(256, n // 64))
     count = np.zeros(len(index.coarse), np.int64)
@@ -181,8 +181,8 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
             whole = batch.take(pa.array(np.repeat(np.arange(len(per)), n)))
             yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(np.concatenate(per))], [*whole.schema.names, "share"])
 
-    own = inverted.mapInArrow(shares, "id long, vector array<double>, list int, code binary, share long").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-    want = ask.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(deals)).cast("int")).mapInArrow(asked, "id long, vector array<double>, deal int, share long")
+    own = inverted.mapInArrow(tidy(shares), "id long, vector array<double>, list int, code binary, share long").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
+    want = ask.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(deals)).cast("int")).mapInArrow(tidy(asked), "id long, vector array<double>, deal int, share long")
 
     def compare(q: pa.Table, r: pa.Table) -> pa.Table:
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]

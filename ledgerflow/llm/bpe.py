@@ -16,7 +16,7 @@ import regex
 from pyarrow import compute as pc, fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_path, sliced, stored, table
+from .common import fresh_path, laid, sliced, stored, table, tidy
 
 #: Words of the lexicon, and different words that a task counts at a time.
 LEXICON_WORDS, COUNTED_WORDS = 1 << 15, 1 << 17
@@ -259,7 +259,7 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
         if len(held):
             yield pa.RecordBatch.from_arrays([held, pa.array(count)], ["word", "n"])
 
-    counted = docs.select(text).mapInArrow(task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select(text).mapInArrow(tidy(task), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total: dict[str, int] = {}
     # written first: collecting a limit directly would bring every partition's share of it to the driver
     for r in stored(counted.orderBy(F.col("n").desc(), "word").limit(most), "frequent-words").collect():
@@ -318,16 +318,14 @@ class Codec:
         code = np.concatenate(found) if found else np.zeros(0, np.int64)
         slot = np.where(code < 0, len(size) + code, place[np.maximum(code, 0)] if len(place) else 0)
         n = size[slot]
-        upto = np.cumsum(n)
-        ids = flat[np.repeat(begin[slot] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)]
-        return np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(np.array(count, np.int64))])], ids
+        ids = laid(flat, begin[slot], n)
+        return np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(np.array(count, np.int64))])], ids
 
     def decode(self, off: np.ndarray, ids: np.ndarray) -> list[bytes]:
         """Texts in UTF-8; bytes that aren't valid become U+FFFD."""
         n = self.piece_size[ids]
-        upto = np.cumsum(n)
-        data = self.pieces[np.repeat(self.piece_at[ids] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)].tobytes()
-        at = np.concatenate([[0], upto])[off].tolist()
+        data = laid(self.pieces, self.piece_at[ids], n).tobytes()
+        at = np.concatenate([[0], np.cumsum(n)])[off].tolist()
         out = (data[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
         try:
             data.decode()
@@ -336,6 +334,17 @@ class Codec:
             return [x.decode(errors="replace").encode() for x in out]
 
 
+_codecs: dict[tuple, Codec] = {}
+
+
+def codec_of(path: str, lexicon: str) -> Codec:
+    """This worker's codec, kept from task to task; the last one only."""
+    if (path, lexicon) not in _codecs:
+        _codecs.clear()
+        _codecs[path, lexicon] = Codec(path, lexicon)
+    return _codecs[path, lexicon]
+
+
 def fit_lexicon(docs: DataFrame, path: str, where: str, most: int = LEXICON_WORDS) -> str:
     words = [w.encode() for w in frequent_words(docs, most=most)]
     Transducer.compile(dict(zip(words, Merges(path).merge(words), strict=True))).save(where)
@@ -351,9 +360,9 @@ def encode_column(docs: DataFrame, path: str, lexicon: str, key: str = "doc_id",
     out = f"key {docs.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ("ids" in keep) + ", decoded string" * ("decoded" in keep)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, lexicon)
+        codec = codec_of(path, lexicon)
         for batch in batches:
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", 4 << 20):
                 off, ids = codec.encode(pc.fill_null(part.column("text"), "").to_pylist())
                 decoded = codec.decode(off, ids)
                 raw, at = memoryview(ids.astype("<u4")).cast("B"), off.tolist()
@@ -368,7 +377,7 @@ def encode_column(docs: DataFrame, path: str, lexicon: str, key: str = "doc_id",
                     names.append("decoded")
                 yield pa.RecordBatch.from_arrays(found, names)
 
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(task, out).withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(tidy(task), out).withColumnRenamed("key", key)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task that gives freed memory back when it ends: workers wait for their next task, several to an executor."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
+def laid(flat: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Stretches of flat (begin, length) end to end. Positions take 32 bits where that is enough."""
+    upto = np.cumsum(n)
+    kind = np.int32 if max(len(flat), upto[-1] if len(upto) else 0) < 1 << 31 else np.int64
+    at = np.repeat((begin - (upto - n)).astype(kind), n)
+    at += np.arange(len(at), dtype=kind)
+    return flat[at]
+
+
 def sliced(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Cuts a batch to slices whose texts have about limit bytes; a longer text is a slice of its own."""
     col = batch.column(column)

@@ -11,7 +11,7 @@ from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import stored, table
+from .common import stored, table, tidy
 from .components import components
 
 #: Vectors that the splits are fitted on, at most; a leaf's aim; rows of a side of a comparison, at most.
@@ -172,7 +172,7 @@ def _linked(classes: DataFrame, size: int, least: float, trees: int, seed: int,
             yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("weight"), batch.column("vector"), lists], ["id", "weight", "vector", "leaves"])
 
     schema = StructType([StructField("id", LongType()), StructField("weight", LongType()), StructField("vector", classes.schema["vector"].dataType), StructField("leaves", ArrayType(LongType()))])
-    places = stored(classes.select(F.col("rep").cast("long"), "weight", "vector").mapInArrow(placed, schema), "places")
+    places = stored(classes.select(F.col("rep").cast("long"), "weight", "vector").mapInArrow(tidy(placed), schema), "places")
     each = places.withColumn("leaf", F.explode("leaves"))
     # leaves beyond a block are cut to blocks; a row goes to every pair of blocks that has its own
     large = each.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)

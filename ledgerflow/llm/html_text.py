@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import mix64, sliced, stored, table
+from .common import mix64, sliced, stored, table, tidy
 from .urls import host_of
 
 #: Tokens of the shortest repeated stretch; pages of one host whose streams a task sorts together, at most.
@@ -244,7 +244,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("text", pa.string()), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("linked", pa.list_(pa.float64())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
 
     read = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(text).alias("html"))
-    found = stored(read.mapInArrow(task, out).withColumn("host", host_of(F.col("url"))), "pages")
+    found = stored(read.mapInArrow(tidy(task), out).withColumn("host", host_of(F.col("url"))), "pages")
     # the host suffix arrays
     streams = found.filter(F.size("stream") >= STRETCH).select("host", "print", "stream").dropDuplicates(["host", "print"])
     hosts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"))
@@ -261,7 +261,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                 if len(names):
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column("host")[r].as_py()] * len(names), pa.string()), pa.array([batch.column("row")[r].as_py()] * len(names), pa.int64()), pa.array(np.arange(len(names), dtype=np.int32)), pa.array(names)], ["host", "row", "place", "name"])
 
-    places = waiting.select("host", "row", "stream").dropDuplicates(["row"]).mapInArrow(placed, "host string, row long, place int, name long")
+    places = waiting.select("host", "row", "stream").dropDuplicates(["row"]).mapInArrow(tidy(placed), "host string, row long, place int, name long")
     covered = places.join(repeated, ["host", "name"]).groupBy("row").agg(F.collect_list("place").alias("places"))
     judged = waiting.join(covered, "row", "left")
 
@@ -282,7 +282,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                 texts.append("\n\n".join(kept))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"])
 
-    late = judged.select("key", "url", "blocks", "linked", "block_of", "places").mapInArrow(decide, StructType(out.fields[:3]))
+    late = judged.select("key", "url", "blocks", "linked", "block_of", "places").mapInArrow(tidy(decide), StructType(out.fields[:3]))
     both = found.filter("text IS NOT NULL").select("key", "url", "text").union(late)
     return both.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
 

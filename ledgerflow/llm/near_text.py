@@ -11,7 +11,7 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix64, sliced, stored, table, utf8_bytes, word_hashes, words
+from .common import mix64, sliced, stored, table, tidy, utf8_bytes, word_hashes, words
 from .components import components
 
 #: Words of a shingle; least weighted Jaccard similarity; bands and rows of a band.
@@ -48,7 +48,7 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["bucket", "n"])
 
     out = np.zeros(BUCKETS, np.int64)
-    for r in docs.select(text).mapInArrow(task, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+    for r in docs.select(text).mapInArrow(tidy(task), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         out[r["bucket"]] = r["n"]
     return out
 
@@ -155,7 +155,7 @@ def _samples(docs: DataFrame, idf: np.ndarray) -> DataFrame:
                 kept = pa.Array.from_buffers(pa.binary(raw.shape[1] * 4), len(at), [None, pa.py_buffer(raw)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("id").take(at), pa.ListArray.from_arrays(off, pa.array(banded(raw).ravel())), kept], ["id", "bands", "sign"])
 
-    return docs.mapInArrow(task, "id long, bands array<long>, sign binary")
+    return docs.mapInArrow(tidy(task), "id long, bands array<long>, sign binary")
 
 
 def _agreeing(pairs: DataFrame, samples: DataFrame, least: float) -> DataFrame:
@@ -168,7 +168,7 @@ def _agreeing(pairs: DataFrame, samples: DataFrame, least: float) -> DataFrame:
 
     s = samples.select("id", "sign")
     both = pairs.join(s.select(F.col("id").alias("a"), F.col("sign").alias("sign_a")), "a").join(s.select(F.col("id").alias("b"), F.col("sign").alias("sign_b")), "b")
-    return both.mapInArrow(task, "a long, b long")
+    return both.mapInArrow(tidy(task), "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
@@ -180,7 +180,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, least: float)
                     yield own.select(["a", "b"]).filter(pa.array(ok))
 
     both = pairs.join(docs.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(docs.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.mapInArrow(task, "a long, b long")
+    return both.mapInArrow(tidy(task), "a long, b long")
 
 
 def _stars(places: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix64, quoted, sliced, table, utf8_bytes
+from .common import mix64, quoted, sliced, table, tidy, utf8_bytes
 
 #: A chunk ends after white space where GEAR_BITS bits of the rolling hash are 0; where there is none for LONG bytes,
 #: after any character where LONG_BITS bits are.
@@ -119,7 +119,7 @@ def _emitted(docs: DataFrame, first: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(digest[pick]), key.take(pa.array(row[pick])), pa.array(nth[pick])], ["digest", "id", "nth"])
 
     schema = StructType([StructField("digest", LongType()), StructField("id", LongType()), *StructType.fromDDL("nth int").fields])
-    return docs.mapInArrow(task, schema)
+    return docs.mapInArrow(tidy(task), schema)
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", least
                         texts = pc.replace_with_mask(texts.cast(pa.string()), pa.array(mask), new)
                 yield pa.RecordBatch.from_arrays([part.column("rest"), texts, pa.array(removed)], schema.names)
 
-    out = joined.mapInArrow(task, schema)
+    out = joined.mapInArrow(tidy(task), schema)
     return out.select(*(F.col("text").alias(text) if c == text else F.col("rest")[c].alias(c) for c in docs.columns if c != "n_removed"), "n_removed")
 
 

@@ -19,7 +19,7 @@ from pyarrow import compute as pc, fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_path, sliced, table
+from .common import fresh_path, laid, sliced, table, tidy
 
 #: Words whose ids a worker remembers at most.
 CACHE_WORDS = 400_000
@@ -98,7 +98,7 @@ class WordEncoder:
             n = size[often]
             self._forget()
             self.known = dict(zip(kept, range(len(kept)), strict=True))
-            self.flat, self.off = _laid(flat, begin[often], n), np.concatenate([[0], np.cumsum(n)])
+            self.flat, self.off = laid(flat, begin[often], n), np.concatenate([[0], np.cumsum(n)])
         if end_id is not None:  # one more word, after every text
             code = np.insert(code, np.cumsum(counts), len(names))
             counts, begin, size = counts + 1, np.append(begin, len(flat)), np.append(size, 1)
@@ -106,15 +106,7 @@ class WordEncoder:
         n = size[code]
         off = np.zeros(len(counts) + 1, np.int64)
         off[1:] = np.concatenate([[0], np.cumsum(n)])[np.cumsum(counts)]
-        return off, _laid(flat, begin[code], n)
-
-
-def _laid(flat: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Stretches of flat end to end."""
-    upto = np.cumsum(n)
-    at = np.repeat((begin - (upto - n)).astype(np.int32), n)
-    at += np.arange(len(at), dtype=np.int32)
-    return flat[at]
+        return off, laid(flat, begin[code], n)
 
 
 def opened(where: str) -> tuple[fs.FileSystem, str]:
@@ -152,7 +144,7 @@ def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int, end_id:
         if n:
             yield pa.RecordBatch.from_pylist([{"place": place, "name": name, "n_docs": n, "n_tokens": tokens, "n_null": nulls}])
 
-    found = rows.mapInArrow(task, "place long, name string, n_docs long, n_tokens long, n_null long").collect()
+    found = rows.mapInArrow(tidy(task), "place long, name string, n_docs long, n_tokens long, n_null long").collect()
     base, out = 0, []
     for r in sorted(found, key=lambda r: r["place"]):
         out.append({"name": r["name"], "n_docs": r["n_docs"], "n_null": r["n_null"], "n_tokens": r["n_tokens"], "base": base, "width": kind().itemsize})
@@ -200,7 +192,7 @@ def read(spark: SparkSession, where: str, manifest: list[dict]) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64(), mask=null), pa.array(off[:-1] + start + shard["base"]), pa.array(np.diff(off)), pa.array(sums, pa.int64())], ["key", "start", "n_tokens", "ids_crc32"])
                     done, start = done + len(doc), start + int(off[-1])
 
-    return shards.repartition(max(1, len(manifest)), "place").mapInArrow(task, out)
+    return shards.repartition(max(1, len(manifest)), "place").mapInArrow(tidy(task), out)
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

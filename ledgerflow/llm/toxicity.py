@@ -12,7 +12,7 @@ from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import quoted, sliced, stored, table
+from .common import quoted, sliced, stored, table, tidy
 
 #: Labelled rows that a model is fitted on, at most; terms, at most; examples of a block; neighbours that vote.
 EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 8192, 512, 32, 15
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", 4 << 20):
                 number: dict[str, int] = {}
                 row, term, _ = counted(part.column("text"), {}, lambda own: [number.setdefault(t, len(number)) for t in own])
                 toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -196,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     if not total:
         return None
     share = toxic / total
-    found = sample.mapInArrow(count_terms, "term string, n long, p long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).filter(F.col("n") >= LEAST)
+    found = sample.mapInArrow(tidy(count_terms), "term string, n long, p long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).filter(F.col("n") >= LEAST)
     e1, e0 = F.col("n") * F.lit(share), F.col("n") * F.lit(1 - share)
     gap = F.col("p") - e1
     rest1, rest0 = F.lit(float(toxic)) - e1, F.lit(float(total - toxic)) - e0
@@ -209,12 +209,12 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         for batch in batches:
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", 4 << 20):
                 row, term, count = with_length(part.column("text"), known, number)
                 off = pa.array(np.searchsorted(row, np.arange(len(part) + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int64()), pa.ListArray.from_arrays(off, pa.array(term)), pa.ListArray.from_arrays(off, pa.array(count))], ["id", "toxic", "term", "count"])
 
-    got = sorted(sample.mapInArrow(vectors, "id long, toxic long, term array<long>, count array<long>").collect(), key=lambda r: (r["id"], r["term"], r["count"]))
+    got = sorted(sample.mapInArrow(tidy(vectors), "id long, toxic long, term array<long>, count array<long>").collect(), key=lambda r: (r["id"], r["term"], r["count"]))
     row = np.repeat(np.arange(len(got)), [len(r["term"]) for r in got])
     term = np.array([t for r in got for t in r["term"]], np.int64)
     count = np.array([c for r in got for c in r["count"]], np.int64)
@@ -247,7 +247,7 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
         single: dict[int, tuple] = {}
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
-            for part in sliced(batch, "text"):
+            for part in sliced(batch, "text", 4 << 20):
                 score = np.full(len(part), model.score(model.prior) if model else 0.0)
                 why: list[list[dict]] = [[] for _ in range(len(part))]
                 if model:
@@ -263,7 +263,7 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
                         why[r] = [{"doc_id": int(model.ids[s]), "toxic": int(model.labels[s]), "cosine": float(c)} for s, c in zip(slots[:evidence], near[:evidence], strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(why, kind)], schema.names)
 
-    out = rows.mapInArrow(task, schema)
+    out = rows.mapInArrow(tidy(task), schema)
     return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in kept), *own)
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import table
+from .common import table, tidy
 
 #: The rules of op4: (host, path) and what becomes of a url that the rule fits.
 RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
@@ -83,7 +83,7 @@ def fit_cascades(universe: DataFrame, lists: dict[str, set[str]], most_levels: i
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(wrong), pa.string()), pa.array(wrong, pa.string())], ["list", "key"])
 
     wrong = {name: [] for name in lists}
-    for name, k in universe.mapInArrow(passing, "list string, key string").distinct().collect():
+    for name, k in universe.mapInArrow(tidy(passing), "list string, key string").distinct().collect():
         wrong[name].append(k)
     out = {}
     for name, listed in lists.items():
@@ -156,7 +156,7 @@ def judge(pages: DataFrame, rules: dict[tuple[str, str], str] = RULES, default:
     from pyspark.sql.types import StringType, StructField, StructType
 
     schema = StructType([StructField("key", out), *(StructField(c, StringType()) for c in ("host", "path", "rule", "verdict"))])
-    return base.mapInArrow(verdicts, schema).withColumnRenamed("key", key)
+    return base.mapInArrow(tidy(verdicts), schema).withColumnRenamed("key", key)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
