@@ -78,16 +78,17 @@ def test_expiry(spark, tmp_path):
     put(at["METADATA"], 1, meta("x9", orders=1))
     out = []
 
-    def run():
-        src = {n: json_lines(spark, p) for n, p in at.items()}
-        df = buffered(unified([parse_events(src[ORDER], ORDER)], parse_metadata(src["METADATA"])), expire_ms=1)
-        df.writeStream.foreachBatch(lambda b, _: out.extend((r["xid"], r["status"], len(r["events"])) for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
-
-    run()
-    time.sleep(0.1)
-    put(at[ORDER], 2, event("x2", ORDER, "1", ORDER_ID=2))
-    run()
-    assert ("x1", "EXPIRED", 1) in out and all(s == "EXPIRED" for _, s, _ in out)
+    src = {n: json_lines(spark, p) for n, p in at.items()}
+    df = buffered(unified([parse_events(src[ORDER], ORDER)], parse_metadata(src["METADATA"])), expire_ms=1)
+    query = df.writeStream.foreachBatch(lambda b, _: out.extend((r["xid"], r["status"], len(r["events"])) for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="100 milliseconds").start()
+    try:
+        put(at[ORDER], 2, event("x2", ORDER, "1", ORDER_ID=2))
+        until = time.time() + 90
+        while len(out) < 3 and time.time() < until and query.isActive:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert sorted(out) == [("x1", "EXPIRED", 1), ("x2", "EXPIRED", 1), ("x9", "EXPIRED", 0)]
 
 
 def test_dedup_and_before_complete(spark, tmp_path):
