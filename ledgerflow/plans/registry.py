@@ -185,6 +185,55 @@ def time_travel_count(s: SparkSession, d: str) -> DataFrame:
     return t.read(version=1).agg(F.lit(1).cast("long").alias("version"), count().alias("n")).unionAll(t.read().agg(F.lit(-1).cast("long"), count()))
 
 
+@query
+def q2_14(s: SparkSession, d: str) -> DataFrame:
+    return history_table(s, d).read(version=1).agg(count().alias("n"))
+
+
+@query
+def q2_15(s: SparkSession, d: str) -> DataFrame:
+    """As of the time of the second batch."""
+    t = history_table(s, d)
+    return t.read(timestamp=t.commit_at(2).timestamp).agg(count().alias("n"))
+
+
+@query
+def q2_16(s: SparkSession, d: str) -> DataFrame:
+    """The last ten commits, with what the table says of itself."""
+    t = history_table(s, d)
+    return t.history(10).crossJoin(t.detail().select(F.col("version").alias("current_version"))).select("version", "operation", "current_version")
+
+
+@query
+def q1_14(s: SparkSession, d: str) -> DataFrame:
+    """The change feed of the second merge, row by row."""
+    return current_table(s, d).changes("orderId", 1, 2).select("orderId", "_change_type", "version", F.col("orderDetails.version").alias("detail_version"))
+
+
+@query
+def q1_15(s: SparkSession, d: str) -> DataFrame:
+    return current_table(s, d).history().groupBy("operation").agg(count().alias("n"))
+
+
+@query
+def qm_01(s: SparkSession, d: str) -> DataFrame:
+    """A scan by path: the data folder of the first batch."""
+    t = history_table(s, d)
+    return s.read.parquet(t._at(t.commit_at(1).folders[0])).agg(count().alias("n"))
+
+
+@query
+def qm_03(s: SparkSession, d: str) -> DataFrame:
+    return history_table(s, d).history().agg(count().alias("versions"))
+
+
+@query
+def qm_04(s: SparkSession, d: str) -> DataFrame:
+    """The columns, from the table's detail."""
+    schema = F.from_json("schema", "fields array<struct<name:string>>")
+    return history_table(s, d).detail().select(F.posexplode(schema["fields"]).alias("place", "f")).select(F.col("place").cast("long").alias("place"), "f.name")
+
+
 @query
 def change_feed(s: SparkSession, d: str) -> DataFrame:
     """What the second merge changed, by kind."""
@@ -341,6 +390,14 @@ SQL = {
     "merge_out_of_order": "SELECT co.o::DOUBLE AS \"orderId\", '1.' || co.o || '.1' AS xid, co.v::DOUBLE AS version, cd.v::DOUBLE AS detail_version, (SELECT nullif(count(DISTINCT ln), 0) FROM hi WHERE hi.o = co.o AND hi.v <= 2)::DOUBLE AS items FROM co LEFT JOIN cd ON cd.o = co.o",
     "scd1_insert_guard": 'SELECT o::DOUBLE AS "orderId", v::DOUBLE AS version FROM ho WHERE v = 2',
     "time_travel_count": "SELECT 1::BIGINT AS version, count(*) AS n FROM h WHERE w = 1 UNION ALL SELECT -1, count(*) FROM h",
+    "q2_14": "SELECT count(*) AS n FROM h WHERE w = 1",
+    "q2_15": "SELECT count(*) AS n FROM h WHERE w <= 2",
+    "q2_16": "SELECT v AS version, CASE v WHEN 0 THEN 'CREATE' ELSE 'APPEND' END AS operation, (SELECT max(w) FROM h) AS current_version FROM (SELECT unnest(range((SELECT max(w) FROM h) + 1)) AS v) ORDER BY v DESC LIMIT 10",
+    "q1_14": 'SELECT h.o::DOUBLE AS "orderId", t._change_type, CASE WHEN t._change_type = \'update_postimage\' AND h.o % 3 = 0 THEN 2 ELSE 1 END::DOUBLE AS version, CASE WHEN t._change_type = \'update_postimage\' AND h.o % 5 = 0 THEN 2 ELSE 1 END::DOUBLE AS detail_version FROM h, (VALUES (\'update_preimage\'), (\'update_postimage\')) t(_change_type) WHERE w = 2',
+    "q1_15": "SELECT 'CREATE' AS operation, 1::BIGINT AS n UNION ALL SELECT 'MERGE', (SELECT max(w) FROM h)",
+    "qm_01": "SELECT count(*) AS n FROM h WHERE w = 1",
+    "qm_03": "SELECT max(w) + 1 AS versions FROM h",
+    "qm_04": "SELECT * FROM (VALUES (0::BIGINT, 'xid'), (1, 'csn'), (2, 'dwhProcessedTs'), (3, 'orderId'), (4, 'orders'), (5, 'orderDetails'), (6, 'lineItems')) t(place, name)",
     "change_feed": "SELECT _change_type, count(*) AS n FROM (SELECT unnest(['update_preimage', 'update_postimage']) AS _change_type FROM h WHERE w = 2) GROUP BY ALL",
     "table_history": "SELECT 'CREATE' AS operation, 1::BIGINT AS n UNION ALL SELECT 'APPEND', (SELECT max(w) FROM h)",
     "decimal_profile": f"SELECT currency, {_M.format('amount')} AS total_amount, max(o) AS max_order_id FROM ho GROUP BY currency",
