@@ -63,3 +63,24 @@ def test_spread_history_is_the_same(spark):
         a = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), **options)
         b = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), spread=True, **options)
         assert text(a) == text(b)
+
+
+def test_bulk_transaction(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerflow.sources.fixtures import bulk
+
+    feeds = bulk(spark)
+    names = [ORDER, DETAIL, ITEM]
+    events = unified([parse_events(feeds[n], n) for n in names], parse_metadata(feeds["METADATA"]))
+    t = transactions(events).collect()
+    assert len(t) == 1 and t[0]["complete"] and t[0]["have_ORDER_LINE_ITEMS"] == 350
+    for spread in (False, True):
+        h = history(events, spread=spread)
+        sums = h.select("orderId", F.get("orders", 0).alias("o"), F.size("orderDetails").alias("d"), F.size("lineItems").alias("n"), F.aggregate("lineItems", F.lit(0.0), lambda a, i: a + i["itemAmount"]).alias("amount"), F.aggregate("lineItems", F.lit(0.0), lambda a, i: a + i["itemQty"]).alias("qty")).collect()
+        assert len(sums) == 100
+        for r in sums:
+            i = int(r["orderId"])
+            assert (r["d"], r["n"], r["qty"]) == (1, 2 + i % 4, 1000 + 10 * i) and r["amount"] == r["o"]["totalAmount"] == (1000 + 10 * i) * (25 + i / 2)
+    short = unified([parse_events(feeds[n], n) for n in names[:2]], parse_metadata(feeds["METADATA"]))
+    assert history(short).count() == 0
