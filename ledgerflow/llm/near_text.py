@@ -72,7 +72,7 @@ def shingles(texts: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = len(h)
     with np.errstate(over="ignore"):
         code, total, length = h.copy(), weight.astype(np.float64), np.ones(n)
-        for j in range(1, WORDS):
+        for j in range(1, min(WORDS, n)):
             inside = np.zeros(n, bool)
             inside[: n - j] = row[j:] == row[: n - j]
             nxt, w = np.zeros(n, np.uint64), np.zeros(n)
