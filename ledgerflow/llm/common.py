@@ -42,10 +42,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerflow/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes df to the shared folder and reads it back."""
+#: Rows of a file of a table that is known to be narrow.
+NARROW = 100_000
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Cuts the lineage: writes df to the shared folder and reads it back. `rows`, a bound of the rows of a narrow table,
+    keeps it to few files (every file is some calls to the file system, whatever it holds)."""
     spark = df.sparkSession
-    df.write.parquet(path := fresh_path(spark, name))
+    out = df if rows is None else df.coalesce(rows // NARROW + 1)
+    out.write.parquet(path := fresh_path(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 

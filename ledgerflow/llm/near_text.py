@@ -207,22 +207,23 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     plain = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     same = stored(plain.filter("id IS NOT NULL").select("id", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
     groups = same.groupBy("digest").agg(F.min("id").alias("rep"))
-    copies = stored(same.join(groups, "digest").select("id", "rep"), "copies")
+    n = max(1, same.count())
+    copies = stored(same.join(groups, "digest").select("id", "rep"), "copies", n)
     firsts = copies.filter("id = rep").select("id")
     own = plain.join(firsts, "id", "left_semi")
     frequencies = word_frequencies(plain)
-    idf = idf_of(frequencies, max(1, same.count()))
+    idf = idf_of(frequencies, n)
     samples = stored(_samples(own, idf), "samples")
 
     each = samples.select("id", F.posexplode("bands").alias("band", "value"))
     bucket = F.xxhash64("band", "value")
     places = each.select(bucket.alias("bucket"), "id")
     full = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    places = stored(places.join(full, "bucket"), "buckets")
+    places = stored(places.join(full, "bucket"), "buckets", BANDS * n)
     centre = places.groupBy("id").agg(F.sum("n").alias("centre"))
-    places = stored(places.select("bucket", "id").join(centre, "id"), "places")
+    places = stored(places.select("bucket", "id").join(centre, "id"), "places", BANDS * n)
     first = stored(_verified(_stars(places).distinct(), own, idf, least), "links")
-    parts = stored(components(first), "parts")
+    parts = stored(components(first), "parts", n)
 
     near = samples.join(centre, "id").select("id", "centre", "bands")
     pairs_of = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.lit("two"), i, F.get("bands", i), F.get("bands", (i + 1) % BANDS)))
