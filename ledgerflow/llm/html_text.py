@@ -61,7 +61,8 @@ def parsed(text: str) -> Page:
     """Scans the page once. Elements that a page leaves open end with their parent; an article or main element ends all
     that should have ended before it."""
     out, stack = Page(), []  # stack: (name, drops, in article or main)
-    drops, inside = 0, 0
+    drops = inside = articles = 0
+    opened: dict[str, int] = {}  # how many of each name are in the stack, so that it is searched only for what is there
     piece: list[str] = []
     link = links = 0
     raw = ""
@@ -72,19 +73,36 @@ def parsed(text: str) -> Page:
             joined = _WHITE.sub(" ", html.unescape("".join(piece)).replace("\0", "")).strip()
             if joined:
                 out.texts.append(joined)
-                out.inside.append(2 if any(x[2] == 2 for x in stack) else 1 if inside else 0)
+                out.inside.append(2 if articles else 1 if inside else 0)
                 out.dropped.append(drops > 0)
                 out.linked.append(min(1.0, links / len(joined)))
         piece, links = [], 0
 
     def pop(to: int) -> None:
-        nonlocal drops, inside, link
+        nonlocal drops, inside, articles, link
         while len(stack) > to:
             name, drop, landmark = stack.pop()
+            opened[name] -= 1
+            articles -= landmark == 2
             drops -= drop
             inside -= landmark > 0
             link -= name == "a"
 
+    def last(*names: str) -> int:
+        """The place of the innermost open element of these names, or -1. What lies above it mostly ends with it."""
+        if not any(opened.get(n) for n in names):
+            return -1
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in names)
+
+    def push(name: str, drop: int, landmark: int) -> None:
+        nonlocal drops, inside, articles, link
+        stack.append((name, drop, landmark))
+        opened[name] = opened.get(name, 0) + 1
+        drops += drop
+        inside += landmark > 0
+        articles += landmark == 2
+        link += name == "a"
+
     for m in _TOKEN.finditer(text):
         name = m[2]
         if name is None:
@@ -102,7 +120,7 @@ def parsed(text: str) -> Page:
         if closing:
             if name in BLOCKS or name in DROPPED:
                 flush()
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
+            at = last(name)
             if at >= 0:
                 flush() if any(x[0] in BLOCKS for x in stack[at:]) else None
                 pop(at)
@@ -110,8 +128,7 @@ def parsed(text: str) -> Page:
         if name in RAW:
             if name == "head":  # what a head holds is raw, one by one; it ends with its tag or the body
                 flush()
-                stack.append(("head", 1, 0))
-                drops += 1
+                push("head", 1, 0)
             elif not m[3].rstrip().endswith("/"):
                 flush() if name == "title" else None
                 raw = name
@@ -125,23 +142,20 @@ def parsed(text: str) -> Page:
             flush()
             if name == "body" and stack and stack[-1][0] == "head":
                 pop(len(stack) - 1)
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), -1)
+            at = last("p")
             if at >= 0 and name != "span" and not any(x[0] in ("button", "table") for x in stack[at:]):
                 pop(at)
             if name == "li":
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("li", "ul", "ol")), -1)
+                at = last("li", "ul", "ol")
                 if at >= 0 and stack[at][0] == "li":
                     pop(at)
         own = _attributes(m[3])
         landmark = 2 if name == "article" or own.get("itemprop") == "articleBody" else 1 if name == "main" or own.get("role") == "main" else 0
-        in_article = any(x[2] == 2 for x in stack)
+        in_article = articles > 0
         drop = name in DROPPED or (name == "header" and not in_article) or (_marked(own, in_article) and (name not in _SAFE or name == "article"))
-        if landmark and not drop and drops and not any(x[2] for x in stack):  # what was left open before it
+        if landmark and not drop and drops and not inside:  # what was left open before it
             pop(next((i for i, x in enumerate(stack) if x[1]), len(stack)))
-        stack.append((name, int(drop), landmark))
-        drops += drop
-        inside += landmark > 0
-        link += name == "a"
+        push(name, int(drop), landmark)
         if m[3].rstrip().endswith("/") and name not in BLOCKS:
             pop(len(stack) - 1)
     flush()

@@ -64,3 +64,12 @@ def test_host_suffix_array_removes_boilerplate(spark, monkeypatch):
     assert got[200] == f"{prose(7, 40)} 0"  # copies don't erase each other
     monkeypatch.setattr(html_text, "SHARD", 7)  # in many shards: the same
     assert {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()} == got
+
+
+def test_odd_markup_is_scanned_in_one_pass():
+    import time
+
+    began = time.time()
+    for page in ("<b>x" * 50_000, "<div>x" * 50_000, "<ul>" + "<li>x" * 50_000, "<" * 100_000, "</b>" * 50_000, "<a b='" * 20_000, "<!--" * 20_000, "<article>" * 20_000 + "z"):
+        html_text.parsed(page)
+    assert time.time() - began < 30
