@@ -46,12 +46,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 NARROW = 100_000
 
 
-def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None, codec: str | None = None) -> DataFrame:
     """Cuts the lineage: writes df to the shared folder and reads it back. `rows`, a bound of the rows of a narrow table,
-    keeps it to few files (every file is some calls to the file system, whatever it holds)."""
+    keeps it to few files (every file is some calls to the file system, whatever it holds). codec: where whole texts are
+    stored, gzip makes them smaller than the default does."""
     spark = df.sparkSession
     out = df if rows is None else df.coalesce(rows // NARROW + 1)
-    out.write.parquet(path := fresh_path(spark, name))
+    writer = out.write.option("compression", codec) if codec else out.write
+    writer.parquet(path := fresh_path(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -258,7 +258,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("text", pa.string()), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("linked", pa.list_(pa.float64())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
 
     read = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(text).alias("html"))
-    found = stored(read.mapInArrow(tidy(task), out).withColumn("host", host_of(F.col("url"))), "pages")
+    found = stored(read.mapInArrow(tidy(task), out).withColumn("host", host_of(F.col("url"))), "pages", codec="gzip")
     # the host suffix arrays
     streams = found.filter(F.size("stream") >= STRETCH).select("host", "print", "stream").dropDuplicates(["host", "print"])
     hosts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"))
