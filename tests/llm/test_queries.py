@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLE_SQL) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLE_SQL) == {"op4_url_filter", "op8_mixing"} and all(isinstance(s, str) for s in ORACLE_SQL.values())
 
 
 def test_bpe(spark):
