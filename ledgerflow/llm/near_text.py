@@ -18,6 +18,8 @@ from .components import components
 WORDS, LEAST, BANDS, ROWS = 5, 0.8, 16, 4
 #: Buckets of the document frequencies of words: a table of fixed size, whatever the vocabulary.
 BUCKETS = 1 << 16
+#: Members of a block, where a bucket's members are compared with each other.
+BLOCK = 512
 _N = 4096
 _rng = np.random.default_rng(0x1C35)
 #: Quantiles of the Gamma(2, 1) and uniform variables that the sampling draws, looked up by bits of a hash.
@@ -189,17 +191,65 @@ def _stars(places: DataFrame) -> DataFrame:
     return places.join(top.select("bucket", F.col("top.star").alias("star")), "bucket").filter("id != star").select(F.least("id", "star").alias("a"), F.greatest("id", "star").alias("b"))
 
 
+def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, least: float) -> DataFrame:
+    """All pairs (a, b) of places (band, bucket, id) that share a bucket but no component of parts (node, component), and
+    whose samples agree in at least `least` of their places; each pair once, in the first band it shares.
+
+    In a bucket the members outside its largest component are dealt to blocks, and all members are; a block of the one
+    meets every block of the other in a group of its own, so neither a task's rows nor the rows dealt out follow the pairs."""
+    at = places.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("part", F.coalesce("component", "id")).select("band", "bucket", "id", "part")
+    sizes = at.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n")).filter("n > top.n")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.select("bucket", F.col("top.part").alias("main"), blocks(F.col("n") - F.col("top.n")).alias("few"), blocks(F.col("n")).alias("all"))
+    own = at.join(mixed, "bucket").join(samples.select("id", "sign"), "id")
+    deal = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    columns = ["band", "bucket", "id", "part", (F.col("part") == F.col("main")).alias("big"), "sign"]
+    right = own.select(*columns, F.lit(False).alias("left"), deal(F.col("all")).alias("j"), each(F.col("few")).alias("i"))
+    left = own.filter("part != main").select(*columns, F.lit(True).alias("left"), deal(F.col("few")).alias("i"), each(F.col("all")).alias("j"))
+
+    def task(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        x, y = group.filter(group["left"]), group.filter(pc.invert(group["left"]))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        if len(x) and len(y):
+            sx, sy = (np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(len(t), -1) for t in (x, y))
+            ix, px, iy, py, big = (c.to_numpy() for c in (x["id"], x["part"], y["id"], y["part"], y["big"]))
+            band = group["band"][0].as_py()
+            for k in range(0, len(x), 64):
+                own = slice(k, k + 64)
+                agree, before = np.zeros((len(ix[own]), len(y)), np.uint8), np.zeros((len(ix[own]), len(y)), bool)
+                for b in range(BANDS):
+                    all_ = np.ones(agree.shape, bool)
+                    for r in range(b * ROWS, (b + 1) * ROWS):
+                        same = sx[own, r, None] == sy[None, :, r]
+                        agree += same
+                        all_ &= same
+                    if b < band:
+                        before |= all_
+                ok = (agree >= least * BANDS * ROWS) & ~before & (px[own, None] != py[None]) & (big[None] | (ix[own, None] < iy[None]))
+                m, n = np.nonzero(ok)
+                out.append((ix[own][m], iy[n]))
+        a, b = (np.concatenate(z) for z in zip(*out, strict=True))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return right.unionByName(left).groupBy("bucket", "i", "j").applyInArrow(task, "a long, b long")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """(id, class_id) for every document; class_id is the smallest key of those that exact copies and links of a weighted
     Jaccard similarity of `least` or more reach.
 
     1. Equal texts are one, under their smallest key. 2. Weights: a shingle's count times the mean idf of its words, over
     all texts. 3. Each text's samples go to BANDS buckets of ROWS samples each; at a similarity of 0.8 a pair has none in
-    common with a chance of about 0.0002. 4. No bucket is compared pair by pair: its members are compared with its most
+    common with a chance of about 0.0002. 4. First, a bucket's members are compared with its most
     central one (that shares the most buckets with others), which copies of one original have in common. 5. Then, for
     links that don't go through it: stars in the buckets of two neighbouring bands (closer texts) and stars around a
     random member of each bucket; of these pairs those that the first round hasn't connected, and whose samples agree
-    enough (0.62 of 64: three deviations below 0.8), are compared too. 6. Every link is verified on whole texts.
+    enough (0.62 of 64: three deviations below 0.8), are compared too. 6. Then every bucket is finished: all pairs of its
+    members that are in different components by now, and whose samples agree in 0.5 of 64 (six deviations below 0.8, a
+    chance of about 1e-8), are compared. 7. Every link is verified on whole texts.
 
     Nulls: a null text is an empty one; texts without words link only with equal texts; null keys get no row of their own
     class: they're dropped from comparison and return their own null. Rows with one key are one document. An empty table
@@ -217,12 +267,12 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
 
     each = samples.select("id", F.posexplode("bands").alias("band", "value"))
     bucket = F.xxhash64("band", "value")
-    places = each.select(bucket.alias("bucket"), "id")
+    places = each.select("band", bucket.alias("bucket"), "id")
     full = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     places = stored(places.join(full, "bucket"), "buckets", BANDS * n)
     centre = places.groupBy("id").agg(F.sum("n").alias("centre"))
-    places = stored(places.select("bucket", "id").join(centre, "id"), "places", BANDS * n)
-    first = stored(_verified(_stars(places).distinct(), own, idf, least), "links")
+    places = stored(places.select("band", "bucket", "id").join(centre, "id"), "places", BANDS * n)
+    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least), "links")
     parts = stored(components(first), "parts", n)
 
     near = samples.join(centre, "id").select("id", "centre", "bands")
@@ -235,8 +285,12 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     more = more.filter(~F.coalesce(F.col("part_a") == F.col("part_b"), F.lit(False))).select("a", "b")
     more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs")
     second = _verified(more, own, idf, least)
-    links = first.union(parts.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))).union(second)
-    whole = components(links)
+    hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    parts = stored(components(first.union(hung(parts)).union(second)), "parts", n)
+
+    rest = stored(_rest(places, parts, samples, least - 6 * math.sqrt(least * (1 - least) / (BANDS * ROWS))), "rest-pairs")
+    third = stored(_verified(rest, own, idf, least), "links")
+    whole = parts if third.isEmpty() else components(hung(parts).union(third))
     return copies.join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", F.coalesce("component", "rep").alias("class_id"))
 
 

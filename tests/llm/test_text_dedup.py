@@ -117,6 +117,28 @@ def test_near_copies_share_a_class(spark, documents, clashing):
     assert near_text.classes(documents((None, "a"), (None, None))).count() == 0
 
 
+def template_family(pairs, seed=70):
+    """Texts over one template, below 0.8 with it and with each other, but for the pairs of two copies."""
+    template, rows = prose(seed, 300), []
+    for i in range(pairs):
+        x = near(template, 0.033, seed * 1000 + i)
+        rows += [(2 * i + 1, x), (2 * i + 2, near(x, 0.017, seed * 2000 + i))]
+    return [(0, template), *rows]
+
+
+def test_pairs_over_a_template_are_found(spark, documents, monkeypatch):
+    rows = template_family(150)
+    label = {i: i for i, _ in rows}
+    links = sorted((rows[b][0], rows[a][0]) for a, b in weighted(spark, rows))
+    assert len(links) > 100
+    for _ in rows:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    monkeypatch.setattr(near_text, "BLOCK", 32)  # many blocks to a bucket
+    got = {r["id"]: r["class_id"] for r in near_text.classes(documents(*rows)).collect()}
+    assert len(set(label.values())) > 50 and got == label
+
+
 def test_similarity_is_weighted_jaccard():
     idf = np.linspace(1, 2, near_text.BUCKETS).astype(np.float32)
     a, b = "a b c d e f g a b c d e", "a b c d e f x"
