@@ -18,6 +18,10 @@ from .urls import host_of
 
 #: Tokens of the shortest repeated stretch; pages of one host whose streams a task sorts together, at most.
 STRETCH, SHARD = 6, 2000
+#: A stretch is common on a host if so many pages, and this share of all its pages, have it.
+COMMON, SHARE = 3, 0.5
+#: Tokens of running text: of a block, and of a text that outweighs what is left of a page.
+RUNNING, LONG_TEXT = 10, 25
 
 # Fixed values of HTML: elements by what they mean for text.
 RAW = frozenset("script style noscript template svg math iframe object embed canvas audio video textarea select option datalist title head".split())
@@ -27,6 +31,7 @@ DROPPED = frozenset("nav aside footer form menu dialog search button fieldset".s
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 # Fixed words in the first or last part of a class or id that mark what isn't the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+_PROSE = tuple("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _SAFE = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 _TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$)|[^<]+|<", regex.S)
 _ATTRIBUTE = regex.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
@@ -48,13 +53,14 @@ def _marked(own: dict[str, str], in_article: bool) -> bool:
 
 @dataclass
 class Page:
-    """A page's blocks in order, each with whether it lies in an article or main element, in something to be dropped, and
-    how much of it is links."""
+    """A page's blocks in order, each with whether it lies in an article or main element, in something to be dropped, how
+    much of it is links, and whether it is a heading or paragraph."""
 
     texts: list[str] = field(default_factory=list)
     inside: list[int] = field(default_factory=list)  # 2 in an article, 1 in main, else 0
     dropped: list[bool] = field(default_factory=list)
     linked: list[float] = field(default_factory=list)
+    prose: list[bool] = field(default_factory=list)  # in a heading or paragraph
 
 
 def parsed(text: str) -> Page:
@@ -76,6 +82,7 @@ def parsed(text: str) -> Page:
                 out.inside.append(2 if articles else 1 if inside else 0)
                 out.dropped.append(drops > 0)
                 out.linked.append(min(1.0, links / len(joined)))
+                out.prose.append(any(opened.get(x) for x in _PROSE))
         piece, links = [], 0
 
     def pop(to: int) -> None:
@@ -196,7 +203,7 @@ def stretches(stream: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
 
 def _sorted_shard(group: pa.Table) -> pa.Table:
     """A shard's suffix array: the streams end to end with separators of their own between them; every class of suffixes
-    that share their first tokens is one stretch, with how many different pages have it (2 stands for more)."""
+    that share their first tokens is one stretch, with how many different pages have it."""
     streams = [np.array(s, np.int64).view(np.uint64) for s in group.column("stream").to_pylist()]
     prints = group.column("print").to_numpy()
     size = np.array([len(s) + 1 for s in streams])
@@ -215,7 +222,42 @@ def _sorted_shard(group: pa.Table) -> pa.Table:
     other[1:] = new[1:] | (who[1:] != who[:-1])
     pages = np.add.reduceat(other, np.flatnonzero(new)) if len(r) else np.zeros(0, np.int64)
     first = np.flatnonzero(new)
-    return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(first), pa.string()), "name": pa.array(names[at[first]] if len(first) else np.zeros(0, np.int64)), "pages": pa.array(np.minimum(pages, 2).astype(np.int64)), "one": pa.array(who[first] if len(first) else np.zeros(0, np.int64))})
+    return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(first), pa.string()), "name": pa.array(names[at[first]] if len(first) else np.zeros(0, np.int64)), "pages": pa.array(pages.astype(np.int64)), "of": pa.array(np.full(len(first), group.column("of")[0].as_py(), np.int64)), "one": pa.array(who[first] if len(first) else np.zeros(0, np.int64))})
+
+
+def judged_blocks(blocks: list[str | None], linked: list[float], prose: list[bool], where: np.ndarray, places: np.ndarray, pages: np.ndarray, of: int) -> list[str]:
+    """The blocks of a page without landmarks that stay (None: dropped already). where: each token's block; places, pages:
+    where stretches begin that other pages have, and how many pages have them; of: pages of the host."""
+    n = len(blocks)
+    size = np.bincount(where, minlength=n)
+    begin = np.zeros(len(where) + STRETCH, np.int64)
+    begin[places] = pages
+    level = np.zeros(len(where), np.int64)  # pages that have a token in a stretch
+    for j in range(STRETCH):
+        level[j:] = np.maximum(level[j:], begin[: max(0, len(where) - j)])
+    half = lambda least: 2 * np.bincount(where, level >= least, n) >= np.maximum(size, 1)
+    links = np.array(linked) >= 0.5
+    there = np.array([b is not None for b in blocks], bool)
+    gone = there & (half(max(COMMON, SHARE * of)) | (links & half(2)))
+    keep = there & ~gone
+    running = there & (size >= RUNNING) & ~links
+    lost = np.flatnonzero(running & gone)
+    if len(lost):
+        own = np.array([np.median(level[where == i]) if size[i] else 0 for i in range(n)])
+        most = (own[lost[np.argmax(size[lost])]] + of) / 2  # what more pages have isn't of this text
+        run = lost[own[lost] <= most]
+        if not keep.any() or (size[run].sum() >= LONG_TEXT and 2 * size[running & keep].sum() < size[run].sum()):
+            part = there & ~links & (own <= most)
+            back = np.zeros(n, bool)
+            back[run[0] : run[-1] + 1] = True
+            for i, step in ((run[0] - 1, -1), (run[-1] + 1, 1)):  # headings and short paragraphs before and after
+                while 0 <= i < n and (not there[i] or keep[i] or (part[i] and (prose[i] or own[i] < of))):
+                    back[i] = True
+                    i += step
+            keep |= back & part
+    if not keep.any():
+        keep = there & ~links
+    return [b for b, k in zip(blocks, keep, strict=True) if k]
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: str = "html") -> DataFrame:
@@ -226,9 +268,13 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     class, id or role names a notice, an advert, reader comments or the like go. Where the page has article elements, the
     article is what lies in them; else what lies in its main element. Where it has neither, the host suffix array
     decides: the token streams of all pages of a host (what lies outside articles) are concatenated and their suffixes
-    sorted; stretches of STRETCH tokens or more that different pages share are boilerplate, and blocks of which they
-    cover half or more go. If that leaves nothing (a host of copies), the blocks of at least 10 tokens that aren't mostly
-    links stay.
+    sorted; stretches of STRETCH tokens or more that at least COMMON pages and SHARE of the host's pages have are
+    boilerplate, and blocks of which they cover half or more go; so do blocks that are mostly links if they cover it that
+    any other page has. A text that fewer pages share is a copied article and stays on each. Where most of a host's
+    pages are copies, their text stays too: if what would go holds running text (blocks of RUNNING tokens that aren't
+    mostly links) of LONG_TEXT tokens and more than twice that of what is left, or if nothing is left, the longest such
+    text stays with what lies between its blocks and the headings and paragraphs next to it, but without what clearly
+    more pages have. If there is none, all blocks that aren't mostly links stay.
 
     Within articles the suffix array has no say: copies of an article on one host would erase each other there.
 
@@ -239,7 +285,7 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     Nulls: null html is empty, text ''; null urls have the host ''. Repeated rows stay; an empty table gives none; other
     columns are ignored. Pages are parsed whole."""
     kind = pages.schema[key].dataType
-    out = StructType([StructField("key", kind), StructField("url", StringType()), StructField("text", StringType()), StructField("row", LongType()), StructField("print", LongType()), *StructType.fromDDL("blocks array<string>, linked array<double>, stream array<long>, block_of array<int>").fields])
+    out = StructType([StructField("key", kind), StructField("url", StringType()), StructField("text", StringType()), StructField("row", LongType()), StructField("print", LongType()), *StructType.fromDDL("blocks array<string>, linked array<double>, prose array<boolean>, stream array<long>, block_of array<int>").fields])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,18 +299,18 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                     stream, where = _token_hashes([page.texts[j] for j in outside])
                     row = {"key": k, "url": u, "text": "\n\n".join(own) if level else None, "row": xxhash.xxh3_64_intdigest(f"{k}|{u}|{h}") - (1 << 63), "print": xxhash.xxh3_64_intdigest(stream.tobytes()) - (1 << 63), "stream": stream.view(np.int64).tolist()}
                     if not level:  # nothing settled: the blocks that aren't dropped wait for the host's stretches
-                        row |= {"blocks": [page.texts[j] if not page.dropped[j] else None for j in outside], "linked": [page.linked[j] for j in outside], "block_of": where.tolist()}
+                        row |= {"blocks": [page.texts[j] if not page.dropped[j] else None for j in outside], "linked": [page.linked[j] for j in outside], "prose": [page.prose[j] for j in outside], "block_of": where.tolist()}
                     rows.append(row)
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("text", pa.string()), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("linked", pa.list_(pa.float64())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("text", pa.string()), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("linked", pa.list_(pa.float64())), ("prose", pa.list_(pa.bool_())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
 
     read = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(text).alias("html"))
     found = stored(read.mapInArrow(tidy(task), out).withColumn("host", host_of(F.col("url"))), "pages", codec="gzip")
     # the host suffix arrays
     streams = found.filter(F.size("stream") >= STRETCH).select("host", "print", "stream").dropDuplicates(["host", "print"])
-    hosts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"))
+    hosts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"), F.count(F.lit(1)).alias("of"))
     dealt = streams.join(hosts, "host").withColumn("shard", F.pmod(F.col("print"), F.col("shards")))
-    classes = dealt.groupBy("host", "shard").applyInArrow(_sorted_shard, "host string, name long, pages long, one long")
-    repeated = classes.groupBy("host", "name").agg(F.sum("pages").alias("pages")).filter("pages > 1").select("host", "name")
+    classes = dealt.groupBy("host", "shard").applyInArrow(_sorted_shard, "host string, name long, pages long, of long, one long")
+    repeated = classes.groupBy("host", "name").agg(F.sum("pages").alias("pages"), F.max("of").alias("of")).filter("pages > 1")
     # pages that wait for them
     waiting = found.filter("text IS NULL")
 
@@ -276,27 +322,19 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column("host")[r].as_py()] * len(names), pa.string()), pa.array([batch.column("row")[r].as_py()] * len(names), pa.int64()), pa.array(np.arange(len(names), dtype=np.int32)), pa.array(names)], ["host", "row", "place", "name"])
 
     places = waiting.select("host", "row", "stream").dropDuplicates(["row"]).mapInArrow(tidy(placed), "host string, row long, place int, name long")
-    covered = places.join(repeated, ["host", "name"]).groupBy("row").agg(F.collect_list("place").alias("places"))
+    covered = places.join(repeated, ["host", "name"]).groupBy("row").agg(F.collect_list(F.struct("place", "pages")).alias("places"), F.max("of").alias("of"))
     judged = waiting.join(covered, "row", "left")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for r in batch.select(["blocks", "linked", "block_of", "places"]).to_pylist():
-                where = np.array(r["block_of"], np.int64)
-                gone = np.zeros(len(where) + 1, np.int64)
-                for p in r["places"] or []:
-                    gone[p] += 1
-                    gone[p + STRETCH] -= 1
-                size = np.bincount(where, minlength=len(r["blocks"]))
-                hit = np.bincount(where, np.cumsum(gone)[:-1] > 0, len(r["blocks"]))
-                kept = [b for b, n, h in zip(r["blocks"], size, hit, strict=True) if b is not None and 2 * h < n]
-                if not kept:
-                    kept = [b for b, n, x in zip(r["blocks"], size, r["linked"], strict=True) if b is not None and n >= 10 and x < 0.5]
-                texts.append("\n\n".join(kept))
+            for i, r in enumerate(batch.select(["blocks", "linked", "prose", "block_of", "of"]).to_pylist()):
+                at = batch.column("places")[i].values
+                place, count = (at.field(c).to_numpy() for c in ("place", "pages")) if at is not None else (np.zeros(0, np.int64),) * 2
+                texts.append("\n\n".join(judged_blocks(r["blocks"], r["linked"], r["prose"], np.array(r["block_of"], np.int64), place, count, r["of"] or 1)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"])
 
-    late = judged.select("key", "url", "blocks", "linked", "block_of", "places").mapInArrow(tidy(decide), StructType(out.fields[:3]))
+    late = judged.select("key", "url", "blocks", "linked", "prose", "block_of", "places", "of").mapInArrow(tidy(decide), StructType(out.fields[:3]))
     both = found.filter("text IS NOT NULL").select("key", "url", "text").union(late)
     return both.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
 

@@ -66,6 +66,32 @@ def test_host_suffix_array_removes_boilerplate(spark, monkeypatch):
     assert {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()} == got
 
 
+def test_copied_articles_stay_on_every_page(spark):
+    menu, end = "<div>Home</div><div>About us</div><div>Contact and imprint</div><div>Latest news today</div>", "<div>All rights reserved by the owners of this fine site since 1999</div>"
+
+    def copy(seed, i):
+        blocks = [f"Title {seed} of it", f"By author{i}", prose(seed, 40), "A heading", prose(seed + 1, 60), "Short.", prose(seed + 2, 30), "The end."]
+        tags = ["h1", "div", "p", "h2", "p", "p", "p", "p"]
+        return "".join(f"<{t}>{b}</{t}>" for t, b in zip(tags, blocks, strict=True)), "\n\n".join(blocks)
+
+    want, rows = {}, []
+
+    def add(host, body, text, end=end):
+        want[len(rows)] = text
+        rows.append((len(rows), f"http://{host}/{len(rows)}", f"<body>{menu}{body}{end}</body>"))
+
+    for i in range(20):
+        add("some.org", f"<p>{prose(1000 + i, 40)}</p>", prose(1000 + i, 40))
+        add("most.org", *copy(5000, i))
+        add("all.org", *copy(6000, i), end="")  # every page a copy
+    for i in range(2):
+        add("some.org", *copy(7000, i))
+    for i in range(8):
+        add("most.org", f"<p>{prose(2000 + i, 40)}</p>", prose(2000 + i, 40))
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 def test_odd_markup_is_scanned_in_one_pass():
     import time
 
