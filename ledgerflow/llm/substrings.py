@@ -13,8 +13,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .common import mix64, quoted, sliced, table, tidy, utf8_bytes
 
 #: A chunk ends after white space where GEAR_BITS bits of the rolling hash are 0; where there is none for LONG bytes,
-#: after any character where LONG_BITS bits are.
-GEAR_BITS, LONG, LONG_BITS = 2, 64, 6
+#: after any character where LONG_BITS bits are (8 characters, as fine as 4 words), and after MOST bytes at the latest.
+GEAR_BITS, LONG, LONG_BITS, MOST = 2, 64, 3, 256
 #: A run of duplicate chunks is removed if it has this many words, or bytes where it has no white space.
 LEAST_WORDS, LEAST_BYTES = 15, 120
 #: And if its chunks have this many words beyond their first two, for chunks of one or two words are equal by chance, or
@@ -54,7 +54,8 @@ def _gear(data: np.ndarray) -> np.ndarray:
 
 def chunks(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row, digest) of the chunks of texts laid end to end. Every text is covered by its chunks; where they
-    end depends on the last 64 bytes at most, so chunks find step again after an insertion."""
+    end depends on the last 64 bytes at most (or, MOST bytes after the last such end, on that), so chunks find step again
+    after an insertion."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
@@ -73,7 +74,7 @@ def chunks(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     white = _WHITE[data]
     cut = white & (h >> np.uint16(16 - GEAR_BITS) == 0)
     cut[:-1] &= ~white[1:]  # the whole of a stretch of white space belongs to the chunk before
-    space = np.flatnonzero(white)
+    space, unspaced = np.flatnonzero(white), None
     if n >= LONG and np.diff(np.concatenate([[-1], space, [n]])).max() > LONG:
         last = np.full(n, -1, np.int32)
         last[space] = space
@@ -81,8 +82,19 @@ def chunks(off: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         since = np.arange(n, dtype=np.int32) - np.maximum.accumulate(last)
         inside = np.ones(n, bool)
         inside[:-1] = (data[1:] & 0xC0) != 0x80  # the next byte begins a character
-        cut |= (since >= LONG) & inside & (h >> np.uint16(16 - LONG_BITS) == 0)
+        unspaced = (since >= LONG) & inside
+        cut |= unspaced & (h >> np.uint16(16 - LONG_BITS) == 0)
     cut[off[1:][own] - 1] = True
+    if unspaced is not None:
+        end = np.flatnonzero(cut) + 1
+        start = np.concatenate([[0], end[:-1]])
+        at = np.flatnonzero(end - start > MOST)
+        steps = (end[at] - start[at] - 1) // MOST
+        k = np.arange(steps.sum()) - np.repeat(np.cumsum(steps) - steps, steps) + 1
+        ends, want = np.repeat(end[at], steps), np.repeat(start[at], steps) + k * MOST - 1
+        places = np.flatnonzero(unspaced)
+        nxt = np.append(places, n)[np.searchsorted(places, want)]
+        cut[nxt[nxt < ends]] = True
     end = np.flatnonzero(cut) + 1
     start = np.concatenate([[0], end[:-1]])
     power, back = _tables(n + 1)

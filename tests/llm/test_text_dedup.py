@@ -58,6 +58,29 @@ def test_passages_go_from_all_but_one(spark, documents, clashing):
     assert empty.count() == 0 and empty.columns[-1] == "n_removed"
 
 
+def test_passages_without_white_space_go(spark, documents):
+    rnd = random.Random(8)
+    script = lambda n: "".join(map(chr, rnd.choices(range(0x4E00, 0x5E00), k=n)))
+    rows, lengths = [], {}
+    for i in range(160):
+        passage, n = script(size := (60, 80, 100, 150)[i % 4]), rnd.randint(40, 400)
+        rows += [(2 * i, script(n) + passage + script(100)), (2 * i + 1, script(rnd.randint(40, 400)) + passage + script(80))]
+        lengths[2 * i + 1] = size
+    rows.append((1000, script(300)))
+    got = {r["doc_id"]: r["n_removed"] for r in substrings.deduplicated(documents(*rows).repartition(3)).collect()}
+    assert all(n == 0 for i, n in got.items() if i not in lengths)
+    found = {size: [got[i] for i in lengths if lengths[i] == size] for size in (60, 80, 100, 150)}
+    caught = {size: sum(n > 0 for n in found[size]) / len(found[size]) for size in found}
+    assert caught[100] >= 0.95 and caught[150] == 1 and caught[80] >= 0.8 and caught[60] >= 0.4, caught
+    assert all(n <= size for size in found for n in found[size]) and sum(found[150]) / 40 > 120
+
+
+def test_unspaced_chunks_have_a_longest():
+    for text in ("x" * 10_000, "字" * 5000, "word " * 50 + "字" * 5000):
+        start, end, _, _ = substrings.chunks(*utf8_bytes(pa.array([text])))
+        assert (end - start).max() <= substrings.MOST + 66
+
+
 def test_repeated_rows_are_one_document(spark, documents):
     d = documents((1, prose(1, 100)), (1, prose(1, 100)), (1, prose(2, 100)), (2, prose(2, 100)))
     got = sorted((r["doc_id"], r["n_removed"] > 0) for r in substrings.deduplicated(d).collect())
