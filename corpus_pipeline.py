@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerflow.llm import bpe, mixing, near_text, substrings, toxicity
-from ledgerflow.llm.common import fresh_path, stored, table
+from ledgerflow.llm.common import fresh_path, quoted, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,12 +19,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class the document with the smallest doc_id stays, once; rows without a doc_id stay."""
-    kept = near_text.classes(docs).filter("id = class_id").select(F.col("id").alias("doc_id"))
+    """Of each class the document with the smallest doc_id stays, once; rows without a doc_id stay. Where rows share a
+    doc_id but not their text, each text is a document of its own."""
     named = docs.filter("doc_id IS NOT NULL")
     n, distinct = named.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    named = named.dropDuplicates(["doc_id"]) if n > distinct else named
-    return named.join(kept, "doc_id", "left_semi").select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    if n > distinct:
+        # a row's columns travel in one, so that their names can't clash
+        keyed = named.select(F.xxhash64("doc_id", "text", F.col("text").isNull()).alias("key"), F.struct(*map(quoted, docs.columns)).alias("row"))
+        keyed = stored(keyed.dropDuplicates(["key"]), "keyed")
+        found = near_text.classes(keyed.select("key", "row.text"), key="key")
+        least = found.join(keyed.select(F.col("key").alias("id"), "row.doc_id"), "id").groupBy("class_id").agg(F.min(F.struct("doc_id", "id")).alias("least"))
+        kept = keyed.join(least.select(F.col("least.id").alias("key")), "key", "left_semi").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    else:
+        kept = named.join(near_text.classes(docs).filter("id = class_id").select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+    return kept.union(docs.filter("doc_id IS NULL"))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

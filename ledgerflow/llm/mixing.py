@@ -93,7 +93,8 @@ def taken(rows: DataFrame, copies: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """docs as the mix has them: each row as many times as it is taken (a last part of half a copy or more counts as a
-    copy). Columns are those of docs."""
+    copy). Columns are those of docs. Rows without words (null and empty texts, or white space only) are never taken and
+    aren't in the mix."""
     rows, copies = mix(docs, **options)
     got = taken(rows, copies).filter("taken > 0").groupBy(F.col("key").alias("m_key"), F.col("source").alias("m_source"), F.col("size").alias("m_size")).agg(F.floor(F.sum("taken") / F.max("size") + 0.5).cast("int").alias("m_all"), F.count(F.lit(1)).cast("int").alias("m_rows"))
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD)).cast("long")

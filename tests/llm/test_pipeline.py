@@ -43,3 +43,9 @@ def test_stages_take_odd_tables(spark, documents):
         for name, stage in pipeline.STAGES:
             docs = stored(stage(spark, docs, SF), name)
     assert pipeline.ORACLE_SQL is None
+
+
+def test_texts_that_share_an_id_stay(spark, documents):
+    rows = [(1, prose(1, 80)), (1, prose(2, 80)), (1, prose(1, 80)), (2, prose(2, 80)), (3, prose(3, 80)), (4, prose(1, 80)), (5, None), (None, prose(3, 80))]
+    out = pipeline.drop_near_duplicates(spark, documents(*rows), SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, prose(1, 80)), (1, prose(2, 80)), (3, prose(3, 80)), (5, None), (None, prose(3, 80))], key=str)
