@@ -108,7 +108,8 @@ def test_targets_and_words(spark, documents, clashing):
         assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
         assert 0 <= r["taken"] <= 3 * r["size"]
     for s in sizes:
-        assert abs(sum(r["taken"] for r in out if r["source"] == s) - want[s]) <= 3
+        assert abs(sum(r["taken"] for r in out if r["source"] == s) - want[s]) <= mixing.PACKET
+    assert sum(r["taken"] for r in out) == sum(sizes.values())
     assert sum(want.values()) == pytest.approx(sum(sizes.values()))
     assert {r["key"]: r["size"] for r in out}[903] == 1 and {r["key"]: r["size"] for r in out}[902] == 0
     again = mixing.taken(*mixing.mix(docs.repartition(3))).collect()
@@ -117,25 +118,71 @@ def test_targets_and_words(spark, documents, clashing):
 
 
 def test_order_of_the_mix(spark, documents):
-    rows, copies = mixing.mix(documents(*mixture(200, 1)[:-1]))
-    got = mixing.ordered(copies).join(rows.select("row_id", "source"), "row_id").orderBy("place", "copy").collect()
+    rows, packets = mixing.mix(documents(*mixture(200, 1)[:-1]))
+    got = mixing.ordered(packets).join(rows.select("row_id", "source"), "row_id").orderBy("place").collect()
     place = 0
     for r in got:  # the places are prefix sums of the words, in the order of virtual finish times
-        assert r["place"] == place
+        assert r["place"] == place and 0 < r["words"] <= mixing.PACKET
         place += r["words"]
+    assert place == sum(r["size"] for r in rows.collect())
     assert [r["virtual_finish"] for r in got] == sorted(r["virtual_finish"] for r in got)
     half = [r for r in got if r["place"] < place / 2]
     for s in {r["source"] for r in got}:  # every stretch of the mix has every source in proportion
         whole, first = (sum(r["words"] for r in x if r["source"] == s) for x in (got, half))
-        assert abs(first - whole / 2) <= max(r["words"] for r in got if r["source"] == s) + 1
+        assert abs(first - whole / 2) <= 2 * mixing.PACKET
+
+
+def test_served_by_brute_force(spark, documents):
+    """The budget's cut of all sources' packets in the order of virtual finish times, over plain lists."""
+    docs = documents(*mixture(150, 3))
+    rows, packets = mixing.mix(docs, share=0.4)
+    rows = rows.collect()
+    budget, want = int(sum(r["size"] for r in rows) * 0.4), {}
+    queue = []
+    for s in {r["source"] for r in rows}:
+        at = 0
+        for copy in range(3):
+            for r in sorted((r for r in rows if r["source"] == s), key=lambda r: (r["row_id"]["range"], r["row_id"]["nth"], r["row_id"]["again"])):
+                for k in range(0, r["size"], mixing.PACKET):
+                    n = min(mixing.PACKET, r["size"] - k)
+                    if at < r["target"]:
+                        queue.append(((at + n) / r["target"], s is None, s or "", copy, r["row_id"]["range"], r["row_id"]["nth"], r["row_id"]["again"], k, n, r["row_id"]))
+                    at += n
+    for *_, n, row in sorted(queue, key=lambda q: q[:3]):
+        n = min(n, budget)
+        want[row], budget = want.get(row, 0) + n, budget - n
+    assert {r["row_id"]: r["taken"] for r in mixing.taken(mixing.mix(docs, share=0.4)[0], packets).collect() if r["taken"]} == {r: n for r, n in want.items() if n}
+
+
+def test_equal_rows_and_null_keys(spark, documents):
+    """A third of all rows are one row, another third have no key."""
+    rows = [(None, prose(i, 30), "s") for i in range(60)] + [(7, "one row of five words", "t")] * 60 + [(i, prose(i, 40), "u") for i in range(100, 160)]
+    docs = documents(*rows)
+    out = mixing.taken(*mixing.mix(docs)).collect()
+    assert len(out) == 180 and sum(r["taken"] for r in out) == sum(r["size"] for r in out)
+    got = mixing.mixed(docs)
+    words = lambda df: df.agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    assert words(got) == words(docs)
+    assert got.filter("source = 't'").count() >= 60
 
 
 def test_mixed_rows(spark, documents, clashing):
-    docs = clashing(documents(*mixture()).drop("n_chars"))
+    docs = clashing(documents(*mixture()))
     out = mixing.mixed(docs)
     assert out.columns == docs.columns
-    n = out.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0]
-    assert 1 <= n <= 6
+    served = {}
+    for r in mixing.taken(*mixing.mix(docs)).collect():
+        served[r["key"], r["source"]] = served.get((r["key"], r["source"]), 0) + r["taken"]
+    got, rows = {}, out.collect()
+    for r in rows:  # the words returned are those served
+        n = len([w for w in (r["text"] or "").translate(dict.fromkeys((9, 10, 11, 12, 13), " ")).split(" ") if w])
+        got[r["doc_id"], r["source"]] = got.get((r["doc_id"], r["source"]), 0) + n
+        assert r["n_chars"] == (len(r["text"]) if r["text"] is not None else None)
+    assert got == {k: n for k, n in served.items() if n or k[0] in (900, 901, 902) or k in got}
+    assert sum(r["doc_id"] in (900, 901, 902) for r in rows) == 3
+    small = mixing.mixed(docs, share=0.3)
+    words = F.sum(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)))
+    assert small.agg(words).first()[0] == int(docs.agg(words).first()[0] * 0.3)
     assert mixing.mixed(docs.limit(0)).count() == 0
     r, c = mixing.mix(docs.limit(0))
     assert r.count() == c.count() == 0
