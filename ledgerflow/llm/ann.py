@@ -8,14 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import mix64, stored, table, tidy
-from .forest import matrix, usable
+from .common import integral, mix64, stored, table, tidy
+from .forest import matrix, sampled, usable
 
-#: Vectors that the index is fitted on, at most; lists at most; rows of a task's share of the index, at most.
-SAMPLE, LISTS, SHARE = 16_384, 1024, 4096
+#: Vectors that the index is fitted on, at most; lists at most (they grow with the root of the vectors until there); rows of
+#: a task's share of the index and queries that meet it at once, at most; rows of the sample that codebooks are fitted on.
+SAMPLE, LISTS, SHARE, ASKED, CODED = 65_536, 4096, 4096, 2048, 16_384
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -38,32 +38,29 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Coarse centroids, codebooks (part, code, components) of the residuals and how many lists a query looks in."""
+    """Coarse centroids, codebooks (part, code, components) of the residuals and how many lists a query looks in at least."""
 
     coarse: np.ndarray
     books: np.ndarray
     probes: int
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, parts: int = 16, codes: int = 256, recall: float = 0.97, k: int = 20, seed: int = 10) -> Index:
-        """The fewest lists that hold `recall` of the exact k nearest of 256 of the sample's vectors within the sample,
-        and a tenth of the lists more. A sample is sparser than the table, so its neighbours are farther and need more
-        lists than the table's."""
+    def fit(cls, sample: np.ndarray, lists: int, parts: int = 16, codes: int = 256, recall: float = 0.985, k: int = 20, seed: int = 10) -> Index:
+        """The fewest lists that hold `recall` of the exact k nearest of 512 of the sample's distinct vectors within the
+        sample. A sample is sparser than the table, so its neighbours are farther and need more lists than the table's."""
         rng = np.random.default_rng(seed)
         coarse = kmeans(sample, lists, rng)
-        at = nearest(sample, coarse)
         size = sample.shape[1]
         parts = max(p for p in range(1, min(parts, size) + 1) if size % p == 0)
-        rest = (sample - coarse[at]).reshape(len(sample), parts, -1)
+        some = sample[:CODED]
+        rest = (some - coarse[nearest(some, coarse)]).reshape(len(some), parts, -1)
         books = [kmeans(rest[:, p], codes, rng, 6) for p in range(parts)]
         books = np.stack([np.concatenate([b, np.repeat(b[:1], codes - len(b), axis=0)]) for b in books])
-        queries = sample[rng.choice(len(sample), min(256, len(sample)), replace=False)]
-        score = queries @ sample.T
-        best = np.argpartition(-score, min(k, len(sample) - 1), axis=1)[:, : k + 1]
+        queries, at = sample[rng.choice(len(sample), min(512, len(sample)), replace=False)], nearest(sample, coarse)
+        best = np.concatenate([np.argpartition(-(q @ sample.T), min(k, len(sample) - 1), axis=1)[:, : k + 1] for q in np.array_split(queries, 8) if len(q)])
         order = np.argsort(np.argsort(-(queries @ coarse.T), axis=1), axis=1)
         rank = np.sort(np.take_along_axis(order, at[best], 1).ravel())
-        probes = int(rank[min(len(rank) - 1, math.ceil(recall * len(rank)))]) + 1
-        return cls(coarse, books, min(len(coarse), probes + math.ceil(len(coarse) / 10)))
+        return cls(coarse, books, int(rank[min(len(rank) - 1, math.ceil(recall * len(rank)))]) + 1)
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = nearest(x, self.coarse)
@@ -74,125 +71,152 @@ class Index:
         """Inner products of the queries' parts with every code; for inner products they don't depend on the list."""
         return np.einsum("qpd,pcd->qpc", q.reshape(len(q), len(self.books), -1), self.books).astype(np.float32)
 
-    def probed(self, q: np.ndarray) -> np.ndarray:
-        return np.argpartition(-(q @ self.coarse.T), min(self.probes, len(self.coarse)) - 1, axis=1)[:, : self.probes]
+    def probed(self, q: np.ndarray, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+        """The lists of each query: `probes` of them, and more, nearest first, until they hold `least` vectors (all lists
+        where there aren't so many)."""
+        order = np.argsort(-(q @ self.coarse.T), axis=1, kind="stable")
+        n = np.maximum(self.probes, (np.cumsum(sizes[order], axis=1) < least).sum(axis=1) + 1)
+        return [o[:m] for o, m in zip(order, n, strict=True)]
 
 
-def best_of(index: Index, q: np.ndarray, q_id: np.ndarray, ids: np.ndarray, x: np.ndarray, at: np.ndarray, codes: np.ndarray, k: int, deep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vec, score): the k best of each query among these rows, its own left out, as far as its lists go.
-
-    Equal vectors are one here, with their k + 1 smallest ids (more can't be among the k best), so copies don't crowd
-    out others. The asymmetric distance tables pick `deep` of the distinct vectors, which exact products rank."""
-    order = np.argsort(ids, kind="stable")
-    ids, x, at, codes = ids[order], x[order], at[order], codes[order]
-    _, first, group = np.unique(x, axis=0, return_index=True, return_inverse=True)
-    group = group.ravel()
-    by = np.argsort(group, kind="stable")
-    begin = np.searchsorted(group[by], np.arange(len(first)))
-    size = np.minimum(np.bincount(group), k + 1)
-    dx, dat, dcodes = x[first], at[first], codes[first]
+def scanned(index: Index, q: np.ndarray, lists: list[np.ndarray], at: np.ndarray, codes: np.ndarray, deep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) by the asymmetric distance tables: of the rows in each query's lists the `deep` best."""
     out: tuple[list, list, list] = ([], [], [])
     for lo in range(0, len(q), 256):
-        part = q[lo : lo + 256]
+        part, own = q[lo : lo + 256], lists[lo : lo + 256]
         probed = np.zeros((len(part), len(index.coarse)), bool)
-        np.put_along_axis(probed, index.probed(part), True, 1)
-        score = (part @ index.coarse.T).astype(np.float32)[:, dat]
+        probed[np.repeat(np.arange(len(part)), [len(x) for x in own]), np.concatenate(own)] = True
+        score = (part @ index.coarse.T).astype(np.float32)[:, at]
         lut = index.tables(part)
-        for p in range(dcodes.shape[1]):
-            score += lut[:, p][:, dcodes[:, p]]
-        score[~probed[:, dat]] = -np.inf
-        if deep < score.shape[1]:
-            pick = np.argpartition(-score, deep - 1, axis=1)[:, :deep]
-        else:
-            pick = np.broadcast_to(np.arange(score.shape[1]), score.shape)
-        for i, rows in enumerate(pick):
-            rows = rows[score[i, rows] > -np.inf]
-            exact = (dx[rows] * part[i]).sum(axis=1)
-            n = size[rows]
-            who = ids[by[np.repeat(begin[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]]
-            exact = np.repeat(exact, n)
-            other = who != q_id[lo + i]
-            who, exact = who[other], exact[other]
-            top = np.lexsort((who, -exact))[:k]
-            out[0].append(np.full(len(top), q_id[lo + i]))
-            out[1].append(who[top])
-            out[2].append(exact[top])
-    none = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        for p in range(codes.shape[1]):
+            score += lut[:, p][:, codes[:, p]]
+        score[~probed[:, at]] = -np.inf
+        pick = np.argpartition(-score, deep - 1, axis=1)[:, :deep] if deep < score.shape[1] else np.broadcast_to(np.arange(score.shape[1]), score.shape)
+        best = np.take_along_axis(score, pick, 1)
+        i, j = np.nonzero(best > -np.inf)
+        out[0].append(i + lo)
+        out[1].append(pick[i, j])
+        out[2].append(best[i, j])
+    none = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]
     return tuple(np.concatenate(o) if o else z for o, z in zip(out, none, strict=True))
 
 
-def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, deep: int = 128, sample: int = SAMPLE, seed: int = 10) -> DataFrame:
+def _packed(index: Index, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list's first share and how many it has. Lists that are near each other share shares, so a query meets few."""
+    groups = kmeans(index.coarse, math.isqrt(len(index.coarse)), np.random.default_rng(0))
+    first, over, at, free = np.zeros(len(sizes), np.int64), np.ones(len(sizes), np.int64), 0, most
+    for i in np.argsort(nearest(index.coarse, groups), kind="stable"):
+        n = sizes[i]
+        if n > most:
+            first[i], over[i] = at + 1, -(-n // most)
+            at, free = at + over[i], 0
+        else:
+            if n > free:
+                at, free = at + 1, most
+            first[i], free = at, free - n
+    return first, over
+
+
+def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, deep: int = 64, sample: int = SAMPLE, seed: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest of `rows` by inner product in double precision, nearest
     first, ties to the smaller id; a row with the query's id is not its neighbour.
 
-    The index is fitted on a bounded sample (the first `sample` usable vectors by a hash of their ids); every row is in
-    it. The lists are packed to shares of at most SHARE rows, a longer list over several, and the queries are dealt in
-    parts of about 1024; a task compares one share with one part, and only the k best of each query leave it. `deep`
-    distinct vectors of each share are ranked exactly.
-
-    Vectors that are null, zero, hold null or non-finite components or have another length than most take no part.
-    Repeated rows are rows; empty tables give no rows; other columns are ignored. A query with fewer candidates in its
-    lists than k gets those."""
+    Equal vectors are one in the index, with their k + 1 smallest ids (no other can be among the k best), and equal
+    queries are asked once. The index is fitted on a bounded sample (16,384 vectors, or 16 a list up to `sample`, by a hash
+    of their ids); every vector is in it. There are as many lists as the root of the number of vectors, LISTS at most. A
+    query looks in as many lists as the sample needs for its recall, and in more until they hold 4 (k + 1) vectors, so it
+    gets k neighbours wherever the table has them. Lists go to shares of at most SHARE rows, a longer list to several; a
+    share's codes meet the queries that look in it, ASKED at a time. Only codes move there, and of each share and query
+    the `deep` best; of all shares the `deep` best get their vectors, and exact products rank them.
+
+    Keys are integers. Vectors that are null, zero, hold null or non-finite components or have another length than most take
+    no part. Rows that agree in key and vector are one; empty tables give no rows; other columns are ignored. A query with
+    fewer candidates in the whole table than k gets those (rows with its own key and other vectors may take their places)."""
     spark = rows.sparkSession
-    good = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).filter(usable(F.col("vector")) & F.col("id").isNotNull())
-    ask = queries.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).filter(usable(F.col("vector")) & F.col("id").isNotNull())
+    deep = max(deep, 2 * (k + 1))
+    clean = lambda df: F.transform(F.col("vector"), lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
+    name = [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2")]
+
+    def told(df: DataFrame) -> DataFrame:
+        df = df.select(integral(df, key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+        return df.filter(usable(F.col("vector")) & F.col("id").isNotNull()).withColumn("vector", clean(df)).select("id", "vector", *name)
+
+    good, ask = told(rows), told(queries)
     sizes = good.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "size").first()
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size, n = sizes
-    good, ask = good.filter(F.size("vector") == size), ask.filter(F.size("vector") == size)
-    fit = np.array([r["vector"] for r in good.orderBy(F.xxhash64("id"), "id").limit(sample).select("vector").collect()], np.float64)
-    index = Index.fit(fit, max(1, min(LISTS, int(math.sqrt(n)))), seed=seed, k=k)
+    good, ask = good.filter(F.size("vector") == sizes["size"]), ask.filter(F.size("vector") == sizes["size"])
+    by_id = W.partitionBy("h1", "h2").orderBy("id")
+    few = good.dropDuplicates(["id", "h1", "h2"]).withColumn("nth", F.row_number().over(by_id)).filter(F.col("nth") <= k + 1)
+    vectors = stored(few.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector")), "vectors")
+    n = vectors.count()
+    lists = max(1, min(LISTS, math.isqrt(n), sample // 16))
+    fit = sampled(vectors, "rep", n, min(sample, max(16_384, 16 * lists)))
+    index = Index.fit(fit, lists, seed=seed, k=k)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, codes = index.encode(matrix(batch.column("vector")))
             raw = pa.Array.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), raw], ["id", "vector", "list", "code"])
-
-    inverted = stored(good.mapInArrow(tidy(coded), "id long, vector array<double>, list int, code binary"), "inverted-file")
-    # the lists' shares: a list's first share and how many it has; the number of lists is bounded
-    most = min(SHARE, max(256, n // 64))
-    count = np.zeros(len(index.coarse), np.int64)
-    for r in inverted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
-        count[r["list"]] = r["n"]
-    first, over, at, free = np.zeros(len(count), np.int64), np.ones(len(count), np.int64), 0, most
-    for i, c in enumerate(count):
-        if c > most:
-            first[i], over[i] = at + 1, -(-c // most)
-            at, free = at + over[i], 0
-        else:
-            if c > free:
-                at, free = at + 1, most
-            first[i], free = at, free - c
-    deals = max(1, -(-ask.count() // 1024))
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(at.astype(np.int32)), raw], ["rep", "list", "code"])
+
+    inverted = stored(vectors.select("rep", "vector").mapInArrow(tidy(coded), "rep long, list int, code binary"), "inverted-file")
+    size = np.zeros(len(index.coarse), np.int64)
+    for r in inverted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # LISTS rows at most
+        size[r["list"]] = r["n"]
+    first, over = _packed(index, size, min(SHARE, max(256, n // 64)))
+    least = 4 * (k + 1)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             where = batch.column("list").to_numpy()
-            own = first[where] + (mix64(batch.column("id").to_numpy()) % over[where].astype(np.uint64)).astype(np.int64)
+            own = first[where] + (mix64(batch.column("rep").to_numpy()) % over[where].astype(np.uint64)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "share"])
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = index.probed(matrix(batch.column("vector")))
-            per = [np.unique(np.concatenate([np.arange(first[i], first[i] + over[i]) for i in p])) for p in lists]
-            n = np.array(list(map(len, per)))
-            whole = batch.take(pa.array(np.repeat(np.arange(len(per)), n)))
-            yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(np.concatenate(per))], [*whole.schema.names, "share"])
-
-    own = inverted.mapInArrow(tidy(shares), "id long, vector array<double>, list int, code binary, share long").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deals - 1))))
-    want = ask.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(deals)).cast("int")).mapInArrow(tidy(asked), "id long, vector array<double>, deal int, share long")
+            row, share, own = [], [], []
+            for i, found in enumerate(index.probed(matrix(batch.column("vector")), size, least)):
+                to = np.repeat(first[found] - (np.cumsum(over[found]) - over[found]), over[found]) + np.arange(over[found].sum())
+                of = np.repeat(found, over[found])
+                by = np.argsort(to, kind="stable")
+                names, begin = np.unique(to[by], return_index=True)
+                row += [i] * len(names)
+                share += names.tolist()
+                own += np.split(of[by].astype(np.int32), begin[1:])
+            whole = batch.take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(share, pa.int64()), pa.array(own, pa.list_(pa.int32()))], [*whole.schema.names, "share", "lists"])
+
+    once = stored(ask.groupBy("h1", "h2").agg(F.min("id").alias("q"), F.first("vector").alias("vector")), "queries")
+    want = stored(once.select("q", "vector").mapInArrow(tidy(asked), "q long, vector array<double>, share long, lists array<int>"), "asked")
+    deals = want.groupBy("share").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("deals"))
+    own = inverted.mapInArrow(tidy(shares), "rep long, list int, code binary, share long").join(deals, "share").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    want = want.join(deals, "share").withColumn("deal", F.pmod(F.xxhash64("q"), F.col("deals")).cast("int"))
 
     def compare(q: pa.Table, r: pa.Table) -> pa.Table:
-        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]
         if len(q) and len(r):
             codes = np.frombuffer(b"".join(r.column("code").to_pylist()), np.uint8).reshape(len(r), -1)
-            found = best_of(index, matrix(q.column("vector").combine_chunks()), q.column("id").to_numpy(), r.column("id").to_numpy(), matrix(r.column("vector").combine_chunks()), r.column("list").to_numpy(), codes, k, deep)
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, found), strict=True)))
+            found = scanned(index, matrix(q.column("vector").combine_chunks()), [np.array(x) for x in q.column("lists").to_pylist()], r.column("list").to_numpy(), codes, deep)
+            found = q.column("q").to_numpy()[found[0]], r.column("rep").to_numpy()[found[1]], found[2]
+        return pa.table(dict(zip(("q", "rep", "near"), map(pa.array, found), strict=True)))
 
-    found = want.groupBy("share", "deal").cogroup(own.groupBy("share", "deal")).applyInArrow(compare, "query_id long, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    near = want.select("q", "vector", "lists", "share", "deal").groupBy("share", "deal").cogroup(own.select("rep", "list", "code", "share", "deal").groupBy("share", "deal")).applyInArrow(compare, "q long, rep long, near float")
+    best = near.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("near").desc(), "rep"))).filter(F.col("nth") <= deep).select("q", "rep")
+    pairs = best.join(once.select("q", F.col("vector").alias("asks")), "q").join(vectors.select("rep", "ids", "vector"), "rep")
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = (matrix(batch.column("asks")) * matrix(batch.column("vector"))).sum(axis=1) if len(batch) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("ids"), pa.array(score)], ["q", "ids", "score"])
+
+    scores = pairs.select("q", "ids", "asks", "vector").mapInArrow(tidy(exact), "q long, ids array<long>, score double")
+    ranked = scores.select("q", F.explode("ids").alias("vec_id"), "score")
+    ranked = ranked.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id"))).filter(F.col("nth") <= k + 1)
+    # every query of the same vector gets these, but itself
+    each = ask.select(F.col("id").alias("query_id"), "h1", "h2").distinct().join(once.select("q", "h1", "h2"), ["h1", "h2"]).select("query_id", "q")
+    found = each.join(ranked.drop("nth"), "q").filter("vec_id != query_id")
+    order = W.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -27,12 +27,21 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name.replace('`', '``')}`")
 
 
+def integral(df: DataFrame, name: str) -> Column:
+    """An integer key as long. A key of another type is an error: a cast would make nulls of its values."""
+    if df.schema[name].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"the key {name} is {df.schema[name].dataType.simpleString()}; integers are needed")
+    return quoted(name).cast("long")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Only where the session has none
-    (tests on one machine) a temporary folder is set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where the session has none and runs on one
+    machine (tests) a temporary folder is set."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_ledgerflow_shared", None)
     if not where:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir isn't set: driver and executors share no folder")
         where = sc._ledgerflow_shared = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
         sc.setCheckpointDir(where)
     return where.rstrip("/")

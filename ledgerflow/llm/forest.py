@@ -11,7 +11,7 @@ from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import stored, table, tidy
+from .common import integral, stored, table, tidy
 from .components import components
 
 #: Vectors that the splits are fitted on, at most; a leaf's aim; rows of a side of a comparison, at most.
@@ -34,6 +34,17 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def sampled(vectors: DataFrame, key: str, n: int, most: int) -> np.ndarray:
+    """About `most` of the n vectors (column vector), at most so many: those whose key hashes below a threshold, in the
+    order of the hashes. What reaches the driver is bounded, however many partitions there are."""
+    h = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 40))
+    took = vectors.filter(h < math.ceil(min(1.0, 1.1 * most / max(1, n)) * (1 << 40))).select(h.alias("h"), F.col("vector").cast("array<double>").alias("vector")).toArrow().combine_chunks()
+    if not len(took):
+        return np.zeros((0, 1))
+    x = matrix(took.column("vector").combine_chunks())
+    return x[np.lexsort((x[:, 0], took.column("h").to_numpy()))[:most]]
+
+
 class Tree:
     """Recursive splits by random directions (one a level) at the median of the sample's vectors in the node, or, where
     a node has few of them, of the level. Vectors within `spill` of the median go to both sides."""
@@ -121,12 +132,14 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     Equal vectors are one, with a weight, so copies need no comparison and n_links counts them all. A pair that meets in
     several leaves is counted in the one with the smallest number; only counts and the edges of local spanning trees
     leave a task. A leaf with more than `block` vectors is compared block by block, every block with every other, so no
-    task holds a large leaf and none is cut short.
+    task holds a large leaf and none is cut short. Exact counts of links need as many comparisons as a dense group of
+    different vectors has pairs; only equal vectors are spared them.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing: n_links 0, a component of
-    their own. Vectors of different lengths don't link. Keys are distinct; rows with one key and vector count as copies
+    their own. Vectors of different lengths don't link. Keys are distinct integers; rows with one key and vector count as copies
     of each other. An empty table gives no rows; other columns are ignored."""
     spark = rows.sparkSession
+    integral(rows, key)
     rows = rows.select(F.col(key).alias("id"), F.col(vector).alias("vector"))
     good = rows.filter(usable(F.col("vector"))).select("id", F.transform("vector", lambda x: F.when(x == 0, F.lit(0).cast(rows.schema["vector"].dataType.elementType)).otherwise(x)).alias("vector"))
     classes = stored(good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight")), "classes")
@@ -151,8 +164,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
 def _linked(classes: DataFrame, size: int, least: float, trees: int, seed: int, sample: int, leaf: int, block: int) -> tuple[DataFrame, DataFrame]:
     n = classes.count()
-    taken = classes.select("rep", "vector").orderBy(F.xxhash64("rep"), "rep").limit(sample)
-    fit = unit(np.array([r["vector"] for r in taken.select("vector").collect()], np.float64))
+    fit = unit(sampled(classes, "rep", n, sample))
     depth = max(0, math.ceil(math.log2(max(1, n / leaf))))
     spill = math.sqrt(max(0.0, 2 - 2 * least)) / math.sqrt(size) / 2
     forest = [Tree(fit, depth, spill, np.random.default_rng([seed, t])) for t in range(trees)]

@@ -12,6 +12,8 @@ BAD = [None, [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 1
 def cloud(n=900, d=16, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, d))
+    if n < 520:
+        return x.astype(np.float32)
     x[200:260] = x[200] + rng.standard_normal((60, d)) * 0.1 * np.linalg.norm(x[200]) / 4  # a dense group
     x[300:340] = x[300]  # copies
     x[400:410] = x[410:420] * 3  # parallel
@@ -89,3 +91,60 @@ def test_recall_on_the_table(spark):
         s[ids == q] = -np.inf
         hit += len({r["vec_id"] for r in rows if r["query_id"] == q} & set(ids[np.lexsort((ids, -s))[:20]].tolist()))
     assert hit / (20 * (ids % 20 == 0).sum()) >= 0.9
+
+
+def brute(x, ids, k=20):
+    exact = x.astype(np.float64) @ x.astype(np.float64).T
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = np.where(ids == ids[i], -np.inf, exact[i])
+        yield ids[i], score, np.lexsort((ids, -np.round(score, 9)))[:k]
+
+
+def test_search_among_copies(spark):
+    """6000 copies of one vector and 50 others: every query gets its 20 nearest."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((6050, 16)).astype(np.float32)
+    x[50:] = x[50]
+    ids = np.concatenate([np.arange(50) * 20, 10_000 + np.arange(6000) * 20])
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, x, strict=True)], "vec_id long, embedding array<float>").repartition(6)
+    rows, asked = ann.search(df, df.filter("vec_id < 11000")).collect(), 100
+    by = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        by.setdefault(r["query_id"], []).append(r)
+    assert len(by) == asked and all(len(own) == 20 for own in by.values())
+    hit = 0
+    for q, score, best in brute(x, ids):
+        if q < 11000:
+            assert q not in [r["vec_id"] for r in by[q]]
+            hit += np.sum(np.array([r["score"] for r in by[q]]) >= score[best[-1]] - 1e-9)
+    assert hit >= 0.95 * 20 * asked
+
+
+def test_search_in_skewed_groups(spark):
+    """A third of all vectors lie in one tight group, and long lists are split."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((6000, 32)).astype(np.float32)
+    x[:2000] = x[0] + 0.02 * rng.standard_normal((2000, 32))
+    ids = np.arange(6000)
+    df = spark.createDataFrame([(int(i), [float(v) for v in r]) for i, r in zip(ids, x, strict=True)], "vec_id long, embedding array<float>").repartition(6)
+    by = {}
+    for r in ann.search(df, df.filter("vec_id % 20 = 0")).collect():
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert len(by) == 300 and all(len(v) == 20 for v in by.values())
+    assert np.mean([len(by[q] & set(ids[best].tolist())) / 20 for q, _, best in brute(x, ids)]) >= 0.9
+
+
+def test_repeated_keys_and_lengths(spark):
+    """Rows that agree in key and vector are one; vectors of other lengths take no part, or link among themselves."""
+    x = cloud(60, 8)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame([*rows, *rows[:10], *[(0, rows[0][1])] * 30, (900, [1.0, 2.0]), (920, [1.0, 2.0]), (940, [2.0, 4.0])], "vec_id long, embedding array<float>")
+    out = ann.search(df, df.filter("vec_id % 20 = 0")).collect()
+    assert {r["query_id"]: sum(o["query_id"] == r["query_id"] for o in out) for r in out} == {0: 20, 20: 20, 40: 20}
+    assert len({(r["query_id"], r["vec_id"]) for r in out}) == 60
+    got = {r["vec_id"]: r for r in forest.near_duplicates(df).collect()}
+    assert {got[i]["component_id"] for i in (900, 920, 940)} == {900} and got[940]["n_links"] == 2
+    text = df.select(df.vec_id.cast("string"), "embedding")
+    for call in (lambda: ann.search(text, text), lambda: forest.near_duplicates(text)):
+        with pytest.raises(TypeError):
+            call()
