@@ -16,6 +16,8 @@ from .forest import matrix, sampled, usable
 #: Vectors that the index is fitted on, at most; lists at most (they grow with the root of the vectors until there); rows of
 #: a task's share of the index and queries that meet it at once, at most; rows of the sample that codebooks are fitted on.
 SAMPLE, LISTS, SHARE, ASKED, CODED = 65_536, 4096, 4096, 2048, 16_384
+#: How many vectors may be ranked exactly for a query.
+DEEP = (128, 256, 512, 1024)
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -38,20 +40,24 @@ def nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Coarse centroids, codebooks (part, code, components) of the residuals and how many lists a query looks in at least."""
+    """Coarse centroids, codebooks (part, code, components) of the residuals, how many lists a query looks in at least and
+    how many vectors are ranked exactly for it."""
 
     coarse: np.ndarray
     books: np.ndarray
     probes: int
+    deep: int
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, parts: int = 16, codes: int = 256, recall: float = 0.985, k: int = 20, seed: int = 10) -> Index:
+    def fit(cls, sample: np.ndarray, lists: int, parts: int = 64, codes: int = 256, recall: float = 0.985, k: int = 20, seed: int = 10) -> Index:
         """The fewest lists that hold `recall` of the exact k nearest of 512 of the sample's distinct vectors within the
-        sample. A sample is sparser than the table, so its neighbours are farther and need more lists than the table's."""
+        sample; of DEEP the first number of vectors by whose exact ranking 0.03 less of them are found (tight groups, which
+        codes hardly tell apart, need many). A sample is sparser than the table, so its neighbours are farther and need more
+        lists than the table's. Parts have two components or more."""
         rng = np.random.default_rng(seed)
         coarse = kmeans(sample, lists, rng)
         size = sample.shape[1]
-        parts = max(p for p in range(1, min(parts, size) + 1) if size % p == 0)
+        parts = max(p for p in range(1, min(parts, max(1, size // 2)) + 1) if size % p == 0)
         some = sample[:CODED]
         rest = (some - coarse[nearest(some, coarse)]).reshape(len(some), parts, -1)
         books = [kmeans(rest[:, p], codes, rng, 6) for p in range(parts)]
@@ -60,7 +66,20 @@ class Index:
         best = np.concatenate([np.argpartition(-(q @ sample.T), min(k, len(sample) - 1), axis=1)[:, : k + 1] for q in np.array_split(queries, 8) if len(q)])
         order = np.argsort(np.argsort(-(queries @ coarse.T), axis=1), axis=1)
         rank = np.sort(np.take_along_axis(order, at[best], 1).ravel())
-        return cls(coarse, books, int(rank[min(len(rank) - 1, math.ceil(recall * len(rank)))]) + 1)
+        out = cls(coarse, books, int(rank[min(len(rank) - 1, math.ceil(recall * len(rank)))]) + 1, max(DEEP[0], 2 * (k + 1)))
+        tried = [np.zeros(0)] * len(DEEP)
+        codes = out.encode(sample)[1]
+        for q, b in zip(np.array_split(queries, 8), np.array_split(best, 8), strict=True):
+            if len(q):
+                i, j, near = scanned(out, q, out.probed(q, np.bincount(at, minlength=len(coarse)), 0), at, codes, len(sample))
+                order = np.lexsort((-near, i))
+                i, j = i[order], j[order]
+                nth = np.arange(len(i)) - np.searchsorted(i, i)
+                found = np.zeros((len(q), len(sample)), np.int32) + len(sample)
+                found[i, j] = nth
+                tried = [np.append(t, (np.take_along_axis(found, b, 1) < d).mean(axis=1)) for t, d in zip(tried, DEEP, strict=True)]
+        out.deep = max(out.deep, next((d for d, t in zip(DEEP, tried, strict=True) if t.mean() >= recall - 0.03), DEEP[-1]))
+        return out
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = nearest(x, self.coarse)
@@ -117,7 +136,7 @@ def _packed(index: Index, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.
     return first, over
 
 
-def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, deep: int = 64, sample: int = SAMPLE, seed: int = 10) -> DataFrame:
+def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 20, sample: int = SAMPLE, seed: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest of `rows` by inner product in double precision, nearest
     first, ties to the smaller id; a row with the query's id is not its neighbour.
 
@@ -127,13 +146,12 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     query looks in as many lists as the sample needs for its recall, and in more until they hold 4 (k + 1) vectors, so it
     gets k neighbours wherever the table has them. Lists go to shares of at most SHARE rows, a longer list to several; a
     share's codes meet the queries that look in it, ASKED at a time. Only codes move there, and of each share and query
-    the `deep` best; of all shares the `deep` best get their vectors, and exact products rank them.
+    the index's `deep` best; of all shares the `deep` best get their vectors, and exact products rank them.
 
     Keys are integers. Vectors that are null, zero, hold null or non-finite components or have another length than most take
     no part. Rows that agree in key and vector are one; empty tables give no rows; other columns are ignored. A query with
     fewer candidates in the whole table than k gets those (rows with its own key and other vectors may take their places)."""
     spark = rows.sparkSession
-    deep = max(deep, 2 * (k + 1))
     clean = lambda df: F.transform(F.col("vector"), lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
     name = [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2")]
 
@@ -197,12 +215,12 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
         found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)]
         if len(q) and len(r):
             codes = np.frombuffer(b"".join(r.column("code").to_pylist()), np.uint8).reshape(len(r), -1)
-            found = scanned(index, matrix(q.column("vector").combine_chunks()), [np.array(x) for x in q.column("lists").to_pylist()], r.column("list").to_numpy(), codes, deep)
+            found = scanned(index, matrix(q.column("vector").combine_chunks()), [np.array(x) for x in q.column("lists").to_pylist()], r.column("list").to_numpy(), codes, index.deep)
             found = q.column("q").to_numpy()[found[0]], r.column("rep").to_numpy()[found[1]], found[2]
         return pa.table(dict(zip(("q", "rep", "near"), map(pa.array, found), strict=True)))
 
     near = want.select("q", "vector", "lists", "share", "deal").groupBy("share", "deal").cogroup(own.select("rep", "list", "code", "share", "deal").groupBy("share", "deal")).applyInArrow(compare, "q long, rep long, near float")
-    best = near.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("near").desc(), "rep"))).filter(F.col("nth") <= deep).select("q", "rep")
+    best = near.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("near").desc(), "rep"))).filter(F.col("nth") <= index.deep).select("q", "rep")
     pairs = best.join(once.select("q", F.col("vector").alias("asks")), "q").join(vectors.select("rep", "ids", "vector"), "rep")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
