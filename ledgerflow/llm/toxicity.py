@@ -2,35 +2,35 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import quoted, sliced, stored, table, tidy
-
-#: Labelled rows that a model is fitted on, at most; terms, at most; examples of a block; neighbours that vote.
-EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 8192, 512, 32, 15
-#: What the term that stands for a text's length weighs: chosen terms count for less in a long text.
-LENGTH = 2.0
-#: The least chi-square of a term and the fewest examples that have it.
-CHI, LEAST = 24.0, 4
+from .ann import kmeans, nearest as closest
+from .common import laid, quoted, sliced, table, tidy
+
+#: Labelled rows that a model is fitted on, at most; examples of a block; neighbours that vote.
+EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
+#: Examples that the calibration scores, each without itself, at most.
+CALIBRATED = 2048
+#: How many examples, shared out by the labels' shares, a term is taken to have been in besides those it is in.
+SMOOTH = 60.0
+#: Terms of more than one example of so many are frequent: their postings are opened block by block.
+FREQUENT = 16
 _LETTERS = regex.compile(r"\p{L}+")
 
 
-def terms_of(token: str) -> list[str]:
-    """A token's terms: its runs of letters, lower-cased, and of each longer one the first 4 to 7 letters with *,
-    which inflected forms of one stem share."""
-    out = []
-    for w in _LETTERS.findall(token.lower()):
-        out.append(w)
-        out += [w[:k] + "*" for k in (4, 5, 6, 7) if len(w) > k]
-    return out
+def terms_of(token: str) -> list[int]:
+    """Hashes of a token's terms: its runs of letters, lower-cased."""
+    return [xxhash.xxh3_64_intdigest(w) for w in _LETTERS.findall(token.lower())]
 
 
 def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,97 +52,136 @@ def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[
     some = n[code] > 0
     code, row = code[some], row[some]
     k = n[code]
-    upto = np.cumsum(k)
-    term = flat[np.repeat(begin[code] - (upto - k), k) + np.arange(upto[-1] if len(upto) else 0)]
+    term = laid(flat, begin[code], k)
     key, count = np.unique(np.repeat(row, k) << 32 | term, return_counts=True)
     return key >> 32, key & 0xFFFFFFFF, count
 
 
-def with_length(texts: pa.Array, numbers: dict[str, list[int]], terms: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of the chosen terms and, for texts with any token, of a last term: the number of tokens."""
-    row, term, count = counted(texts, numbers, lambda own: [terms[t] for t in own if t in terms])
-    n = pc.list_value_length(pc.ascii_split_whitespace(pc.fill_null(pc.ascii_trim_whitespace(texts), ""))).to_numpy(zero_copy_only=False)
-    n = np.where(pc.binary_length(pc.fill_null(pc.ascii_trim_whitespace(texts), "")).to_numpy(zero_copy_only=False) > 0, n, 0)
-    some = np.flatnonzero(n)
-    row, term, count = np.concatenate([row, some]), np.concatenate([term, np.full(len(some), len(terms))]), np.concatenate([count, n[some]])
-    by = np.lexsort((term, row))
-    return row[by], term[by], count[by]
-
-
 @dataclass
 class Index:
-    """Examples as TF-IDF vectors in blocks. Postings go by term and block; peak has the largest weight of each term in
-    each block, so sum(query weight * peak) bounds the cosine of every example of the block."""
+    """Examples as TF-IDF vectors in blocks.
+
+    A rare term's postings (slots and weights) are opened whenever a text has it. A frequent term's lie in a matrix, terms
+    by slots, of which a block is opened only for texts for which it may matter: peak has the largest weight of each
+    frequent term in each block, so what a block's examples have from rare terms and sum(query weight * peak) bound every
+    cosine in it."""
 
-    terms: dict[str, int]
+    names: np.ndarray  # hashes of the terms, sorted
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    at: np.ndarray  # (terms, blocks + 1): where a term's postings of a block begin
+    at: np.ndarray  # where a term's postings begin; a frequent one has none
     slots: np.ndarray
     weights: np.ndarray
-    peak: np.ndarray  # (terms, blocks)
+    place: np.ndarray  # a frequent term's row of the matrix, else -1
+    often: np.ndarray
+    peak: np.ndarray
     prior: float
     line: tuple[float, float] = (1.0, 0.0)
 
     @classmethod
-    def build(cls, terms: list[str], df: np.ndarray, n: int, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> Index:
-        idf = np.append(np.log((1 + n) / (1 + df)) + 1, LENGTH)
+    def build(cls, names: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> Index:
+        """The index over all terms of the examples. A term's idf is the difference of its two idfs, over the P toxic
+        examples and over the Q others, p and q of which have it. With SMOOTH more of all N that have it, in proportion to
+        the labels, that is |ln(1 + p N / (SMOOTH P)) - ln(1 + q N / (SMOOTH Q))|; 0 for terms that no example has."""
+        n, toxic = len(ids), labels.sum()
+        df, p = np.bincount(term, minlength=len(names)).astype(float), np.bincount(term, labels[row], len(names)).astype(float)
+        share = toxic / n
+        log = lambda x, share: np.log(1 + x / (SMOOTH * share)) if share else np.zeros(len(x))
+        idf = np.abs(log(p, share) - log(df - p, 1 - share))
         weight = (1 + np.log(count)) * idf[term]
-        weight /= np.sqrt(np.bincount(row, weight * weight, len(ids)))[row] if len(row) else 1
-        # examples that are alike share blocks: in the order of their heaviest term
-        heavy = np.full(len(ids), len(terms))
+        weight /= np.maximum(np.sqrt(np.bincount(row, weight * weight, n))[row], 1e-300)
+        common = np.flatnonzero(df > n / FREQUENT)
+        place = np.full(len(names), -1)
+        place[common] = np.arange(len(common))
+        slots, blocks = -(-n // BLOCK) * BLOCK, -(-n // BLOCK)
+        often = np.zeros((len(common), slots))
+        frequent = place[term] >= 0
+        often[place[term[frequent]], row[frequent]] = weight[frequent]
+        # examples that are alike share blocks: by groups of their frequent terms, and by their heaviest term
+        heavy = np.full(n, len(names))
         order = np.lexsort((term, -weight, row))
-        order = order[term[order] < len(terms)]
         first = np.unique(row[order], return_index=True)
         heavy[first[0]] = term[order][first[1]]
-        place = np.argsort(np.lexsort((ids, heavy)))
-        slot, blocks = place[row], max(1, -(-len(ids) // BLOCK))
-        by = np.lexsort((slot, term))
-        slot, term_, weight = slot[by], term[by], weight[by]
-        at = np.searchsorted(term_ * blocks + slot // BLOCK, (np.arange(len(terms) + 1)[:, None] * blocks + np.arange(blocks + 1)).ravel()).reshape(len(terms) + 1, blocks + 1)
-        peak = np.zeros((len(terms) + 1, blocks))
-        np.maximum.at(peak, (term_, slot // BLOCK), weight)
-        back = np.argsort(place)
-        return cls({t: i for i, t in enumerate(terms)}, idf, ids[back], labels[back], at, slot, weight, peak, float(labels.mean()) if len(labels) else 0.0)
-
-    def vector(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(count)) * self.idf[term]
-        return w / np.sqrt((w * w).sum())
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Slots and cosines of the k nearest examples with a cosine above 0, `but` is left out.
-        Blocks go by their bounds, and those that can't beat the k-th best are never opened; of equally near examples
-        those in the block of the larger bound come first, then the smaller slot."""
-        bound = weight @ self.peak[term]
-        order = np.argsort(-bound, kind="stable")
-        slots, scores = np.zeros(0, np.int64), np.zeros(0)
-        for b in order:
-            if bound[b] <= 0 or (len(scores) == k and bound[b] <= scores[-1] * (1 + 1e-12)):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(term, weight, strict=True):
-                a, z = self.at[t, b], self.at[t, b + 1]
-                if a < z:
-                    score[self.slots[a:z] - b * BLOCK] += w * self.weights[a:z]
-            own = np.flatnonzero(score > 0)
-            own = own[own + b * BLOCK != but]
-            slots, scores = np.concatenate([slots, own + b * BLOCK]), np.concatenate([scores, score[own]])
-            best = np.argsort(-np.round(scores, 12), kind="stable")[:k]
-            slots, scores = slots[best], scores[best]
-        return slots, scores
-
-    def vote(self, slots: np.ndarray, scores: np.ndarray) -> float:
+        like = often[:, :n].T
+        group = closest(like, kmeans(like, max(1, n // 128), np.random.default_rng(7), 5)) if len(common) else np.zeros(n)
+        order = np.lexsort((ids, heavy, group))
+        slot = np.empty(n, np.int64)
+        slot[order] = np.arange(n)
+        often[:, :n] = often[:, order]
+        rare = np.flatnonzero(~frequent)
+        rare = rare[np.lexsort((slot[row[rare]], term[rare]))]
+        at = np.searchsorted(term[rare], np.arange(len(names) + 1))
+        peak = often.reshape(len(common), blocks, BLOCK).max(axis=2)
+        return cls(names, idf, ids[order], labels[order], at, slot[row[rare]].astype(np.int32), weight[rare], place, often, peak, float(labels.mean()))
+
+    def numbers(self, hashes: list[int]) -> list[int]:
+        """Numbers of the terms with these hashes, without those that no example has."""
+        at = np.searchsorted(self.names, np.array(hashes, np.uint64)) if hashes else []
+        return [int(i) for i, h in zip(at, hashes, strict=True) if i < len(self.names) and self.names[i] == h]
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, k: int = NEIGHBOURS, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Slots and cosines (n by k, nearest first; cosine 0 where there are no more) of the nearest examples of n texts.
+        but: a slot of each text that is left out.
+
+        A text's blocks with the largest bounds are opened first; then those whose bound beats its k-th best."""
+        slots = self.often.shape[1]
+        weight = (1 + np.log(count)) * self.idf[term]
+        weight /= np.maximum(np.sqrt(np.bincount(row, weight * weight, n))[row], 1e-300)
+        often = self.place[term] >= 0
+        query = np.zeros((n, len(self.peak)))
+        query[row[often], self.place[term[often]]] = weight[often]
+        rare = np.flatnonzero(~often)
+        begin, many = self.at[term[rare]], self.at[term[rare] + 1] - self.at[term[rare]]
+        cell = np.repeat(row[rare] * slots, many) + laid(self.slots, begin, many)
+        score = np.bincount(cell, np.repeat(weight[rare], many) * laid(self.weights, begin, many), n * slots).astype(float).reshape(n, slots)
+        if but is not None:
+            score[np.arange(n), but] = -slots
+        blocks = slots // BLOCK
+        bound = score.reshape(n, blocks, BLOCK).max(axis=2) + query @ self.peak
+        opened = np.zeros((n, blocks), bool)
+
+        def open_(which: np.ndarray) -> None:
+            for b in np.flatnonzero(which.any(axis=0)):
+                own, part = np.flatnonzero(which[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                score[own, part] += query[own] @ self.often[:, part]
+            opened[which] = True
+
+        k = min(k, slots)
+        some = min(blocks, -(-k // BLOCK) + 1)
+        which = np.zeros((n, blocks), bool)
+        np.put_along_axis(which, np.argpartition(-bound, some - 1, axis=1)[:, :some], True, 1)
+        open_(which)
+        seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -1.0)
+        best = -np.partition(-seen, k - 1, axis=1)[:, k - 1]
+        open_((bound > np.maximum(best, 0)[:, None] * (1 - 1e-12)) & ~opened)
+        seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -1.0)
+        top = np.argpartition(-seen, k - 1, axis=1)[:, :k]
+        near = np.maximum(np.take_along_axis(seen, top, 1), 0)
+        order = np.lexsort((top, -np.round(near, 12)), axis=1)
+        return np.take_along_axis(top, order, 1), np.take_along_axis(near, order, 1)
+
+    def searched(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """nearest for any number of texts, some at a time: 256, and less where their postings are long."""
+        cost = np.cumsum(np.bincount(row, self.at[term + 1] - self.at[term], n)) if n else np.zeros(0)
+        out, a = [], 0
+        while a < n:
+            z = min(a + 256, max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + 4_000_000, side="right"))))
+            lo, hi = np.searchsorted(row, (a, z))
+            out.append(self.nearest(row[lo:hi] - a, term[lo:hi], count[lo:hi], z - a, but=None if but is None else but[a:z]))
+            a = z
+        none = np.zeros((0, NEIGHBOURS))
+        return (np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])) if out else (none.astype(np.int64), none)
+
+    def vote(self, slots: np.ndarray, scores: np.ndarray) -> np.ndarray:
         """Votes weigh the squared cosine, half a vote goes to the prior."""
         w = scores * scores
-        return float((w @ self.labels[slots] + 0.5 * self.prior) / (w.sum() + 0.5))
-
-    def calibrate(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, order: np.ndarray) -> None:
-        """A logistic line through the examples' own votes, each without itself; order: slots by row of the counts."""
-        raw = np.full(len(self.ids), self.prior)
-        for r, (a, z) in _rows(row):
-            raw[order[r]] = self.vote(*self.nearest(term[a:z], self.vector(term[a:z], count[a:z]), but=order[r]))
-        x, y = np.log(np.clip(raw, 1e-3, 1 - 1e-3) / (1 - np.clip(raw, 1e-3, 1 - 1e-3))), self.labels
+        return ((w * self.labels[np.minimum(slots, len(self.labels) - 1)]).sum(axis=1) + 0.5 * self.prior) / (w.sum(axis=1) + 0.5)
+
+    def calibrate(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, slot: np.ndarray) -> None:
+        """A logistic line through examples' own votes, each without itself; slot: of each of their rows."""
+        raw, y = self.vote(*self.searched(row, term, count, len(slot), slot)), self.labels[slot]
+        x = np.log(np.clip(raw, 1e-3, 1 - 1e-3) / (1 - np.clip(raw, 1e-3, 1 - 1e-3)))
         w = np.array([1.0, 0.0])
         for _ in range(200):  # Newton steps of bounded length; a small pull to the unchanged vote keeps the line finite
             p = 1 / (1 + np.exp(-np.clip(w[0] * x + w[1], -30, 30)))
@@ -156,74 +195,62 @@ class Index:
         if w[0] > 0:
             self.line = (float(w[0]), float(w[1]))
 
-    def score(self, raw: float) -> float:
-        raw = min(max(raw, 1e-3), 1 - 1e-3)
-        return float(1 / (1 + np.exp(-np.clip(self.line[0] * np.log(raw / (1 - raw)) + self.line[1], -30, 30))))
-
-
-def _rows(row: np.ndarray) -> Iterator[tuple[int, tuple[int, int]]]:
-    ids, first = np.unique(row, return_index=True)
-    yield from zip(ids.tolist(), zip(first.tolist(), np.append(first, len(row))[1:].tolist(), strict=True), strict=True)
+    def score(self, raw: np.ndarray) -> np.ndarray:
+        raw = np.clip(raw, 1e-3, 1 - 1e-3)
+        return 1 / (1 + np.exp(-np.clip(self.line[0] * np.log(raw / (1 - raw)) + self.line[1], -30, 30)))
 
 
 def held_out(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2) & doc_id.isNotNull()
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> Index | None:
-    """A model from labelled rows that aren't held out: the first `examples` of them by a hash of doc_id (a bounded,
-    documented sample). Terms are the `terms` of largest chi-square between having them and the label, over those
-    examples. Only term counts and vectors over chosen terms reach the driver, both bounded. None without labels.
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index | None:
+    """A model from labelled rows that aren't held out: about the first `examples` of them by a hash of doc_id (a bounded,
+    documented sample), with all their terms. Only the examples' term counts reach the driver. None without labels.
 
     A doc_id with several labels is toxic if any of them says so; null labels and ids don't count."""
-    spark = docs.sparkSession
     learn = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    learn = learn.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    sample = stored(d.join(F.broadcast(learn), "doc_id"), "examples")  # `examples` rows at most on the broadcast side
-
-    def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in sliced(batch, "text", 4 << 20):
-                number: dict[str, int] = {}
-                row, term, _ = counted(part.column("text"), {}, lambda own: [number.setdefault(t, len(number)) for t in own])
-                toxic = part.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-                n, p = np.bincount(term, minlength=len(number)), np.bincount(term, toxic[row], len(number)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(list(number), pa.string()), pa.array(n), pa.array(p)], ["term", "n", "p"])
-
-    totals = sample.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    total, toxic = totals[0], totals[1] or 0
-    if not total:
-        return None
-    share = toxic / total
-    found = sample.mapInArrow(tidy(count_terms), "term string, n long, p long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("p").alias("p")).filter(F.col("n") >= LEAST)
-    e1, e0 = F.col("n") * F.lit(share), F.col("n") * F.lit(1 - share)
-    gap = F.col("p") - e1
-    rest1, rest0 = F.lit(float(toxic)) - e1, F.lit(float(total - toxic)) - e0
-    over = lambda e: F.when(e > 0, gap * gap / e).otherwise(F.lit(0.0))
-    found = found.withColumn("chi", over(e1) + over(e0) + over(rest1) + over(rest0)).filter(F.col("chi") >= CHI)
-    chosen = found.orderBy(F.col("chi").desc(), "term").limit(terms).collect()
-    names, df = [r["term"] for r in chosen], np.array([r["n"] for r in chosen], np.float64)
-    number = {t: i for i, t in enumerate(names)}
+    learn = learn.groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").alias("l_toxic"))
+    n = learn.count()
+    h = F.pmod(F.xxhash64(F.lit("example"), "l_id"), F.lit(1 << 40))
+    learn = learn.filter(h < math.ceil(min(1.0, 1.1 * examples / max(1, n)) * (1 << 40))).orderBy(h, "l_id").limit(examples)
+    d = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    sample = d.join(F.broadcast(learn), F.col("id") == F.col("l_id")).select("id", "l_toxic", "text")  # `examples` rows at most on the broadcast side
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
         for batch in batches:
             for part in sliced(batch, "text", 4 << 20):
-                row, term, count = with_length(part.column("text"), known, number)
+                number: dict[int, int] = {}
+                row, term, count = counted(part.column("text"), {}, lambda own: [number.setdefault(t, len(number)) for t in own])
                 off = pa.array(np.searchsorted(row, np.arange(len(part) + 1)), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int64()), pa.ListArray.from_arrays(off, pa.array(term)), pa.ListArray.from_arrays(off, pa.array(count))], ["id", "toxic", "term", "count"])
-
-    got = sorted(sample.mapInArrow(tidy(vectors), "id long, toxic long, term array<long>, count array<long>").collect(), key=lambda r: (r["id"], r["term"], r["count"]))
-    row = np.repeat(np.arange(len(got)), [len(r["term"]) for r in got])
-    term = np.array([t for r in got for t in r["term"]], np.int64)
-    count = np.array([c for r in got for c in r["count"]], np.int64)
-    ids, y = np.array([r["id"] for r in got], np.int64), np.array([float(r["toxic"] > 0) for r in got])
-    index = Index.build(names, df, total, ids, y, row, term, count)
-    slot = {}
-    for s, i in enumerate(index.ids.tolist()):
-        slot.setdefault(i, []).append(s)
-    index.calibrate(row, term, count, np.array([slot[i].pop(0) for i in ids.tolist()], np.int64))
+                names = np.fromiter(number, np.uint64, len(number)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), part.column("l_toxic").cast(pa.int64()), pa.ListArray.from_arrays(off, pa.array(names[term])), pa.ListArray.from_arrays(off, pa.array(count.astype(np.int32)))], ["id", "toxic", "terms", "counts"])
+
+    got = sample.mapInArrow(tidy(vectors), "id long, toxic long, terms array<long>, counts array<int>").toArrow().combine_chunks()
+    if not len(got):
+        return None
+    ids, labels_ = got.column("id").to_numpy(), (got.column("toxic").to_numpy() > 0).astype(float)
+    lists = got.column("terms").combine_chunks()
+    row = np.repeat(np.arange(len(ids)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    hashes, count = lists.flatten().to_numpy().view(np.uint64), got.column("counts").combine_chunks().flatten().to_numpy()
+    del got, lists
+    # in an order that doesn't depend on the tasks'
+    digest = np.bincount(row, count * (hashes % np.uint64(1 << 20)).astype(float), len(ids))
+    turn = np.empty(len(ids), np.int64)
+    order = np.lexsort((digest, ids))
+    turn[order] = np.arange(len(ids))
+    ids, labels_, row = ids[order], labels_[order], turn[row]
+    names, term = np.unique(hashes, return_inverse=True)
+    by = np.lexsort((term, row))
+    row, term, count = row[by], term[by], count[by]
+    index = Index.build(names, ids, labels_, row, term, count)
+    slot = np.empty(len(ids), np.int64)  # repeated ids have equal order in both
+    slot[np.lexsort((np.arange(len(ids)), ids))] = np.lexsort((np.arange(len(ids)), index.ids))
+    some = np.arange(len(ids)) if len(ids) <= CALIBRATED else np.sort(np.random.default_rng(7).choice(len(ids), CALIBRATED, replace=False))
+    own = np.full(len(ids), -1)
+    own[some] = np.arange(len(some))
+    in_ = own[row] >= 0
+    index.calibrate(own[row[in_]], term[in_], count[in_], slot[some])
     return index
 
 
@@ -233,7 +260,7 @@ EVIDENCE = ArrayType(StructType([StructField("doc_id", LongType()), StructField(
 def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidence: int = 3) -> DataFrame:
     """docs with tox_score (0 to 1), tox_predicted (1 from the threshold on) and tox_evidence (the nearest examples).
 
-    A text without any token, empty and null ones too, gets the calibrated prior and no evidence; without
+    A text without a term that examples have, empty and null ones too, gets the calibrated prior and no evidence; without
     a model scores are 0. Repeated rows get equal scores; only text goes into a score. No rows give no rows. Texts are
     read whole, in slices of some MB. Columns of these names are replaced, others pass through."""
     own = ["tox_score", "tox_predicted", "tox_evidence"]
@@ -241,27 +268,22 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
     rest = [c for c in kept if c != "text"]  # these travel in one column, so that their names can't clash
     rows = docs.select(F.struct(*map(quoted, rest)).alias("rest") if rest else F.lit(0).alias("rest"), "text")
     schema = StructType([*rows.schema.fields, StructField("tox_score", DoubleType()), StructField("tox_predicted", IntegerType()), StructField("tox_evidence", EVIDENCE)])
+    item = pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
-        single: dict[int, tuple] = {}
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
             for part in sliced(batch, "text", 4 << 20):
-                score = np.full(len(part), model.score(model.prior) if model else 0.0)
-                why: list[list[dict]] = [[] for _ in range(len(part))]
+                n = len(part)
+                score, why = np.zeros(n), pa.ListArray.from_arrays(pa.array(np.zeros(n + 1), pa.int32()), pa.array([], item))
                 if model:
-                    row, term, count = with_length(part.column("text"), known, model.terms)
-                    for r, (a, z) in _rows(row):
-                        if z - a == 1:  # one term: the same direction whatever its count
-                            if term[a] not in single:
-                                single[term[a]] = model.nearest(term[a:z], np.ones(1))
-                            slots, near = single[term[a]]
-                        else:
-                            slots, near = model.nearest(term[a:z], model.vector(term[a:z], count[a:z]))
-                        score[r] = model.score(model.vote(slots, near))
-                        why[r] = [{"doc_id": int(model.ids[s]), "toxic": int(model.labels[s]), "cosine": float(c)} for s, c in zip(slots[:evidence], near[:evidence], strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(why, kind)], schema.names)
+                    slots, near = model.searched(*counted(part.column("text"), known, model.numbers), n)
+                    score = model.score(model.vote(slots, near))
+                    told = near[:, :evidence] > 0
+                    at, cosine = slots[:, :evidence][told], near[:, :evidence][told]
+                    items = pa.StructArray.from_arrays([pa.array(model.ids[at]), pa.array(model.labels[at].astype(np.int32)), pa.array(cosine)], fields=list(item))
+                    why = pa.ListArray.from_arrays(pa.array(np.append(0, told.sum(axis=1).cumsum()), pa.int32()), items)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32)), why], schema.names)
 
     out = rows.mapInArrow(tidy(task), schema)
     return out.select(*(F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in kept), *own)

@@ -1,8 +1,10 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import mixing, toxicity
@@ -15,7 +17,7 @@ def corpus(n=900):
     rows, labels = [], []
     for i in range(n):
         bad = i % 7 == 0
-        w = prose(i, rnd.randint(30, 120), 800).split()
+        w = prose(i, rnd.randint(30, 120), 800).translate(str.maketrans("0123456789", "abcdefghij")).split()  # terms are letters
         for _ in range(len(w) // 12 if bad else 0):
             w.insert(rnd.randrange(len(w)), rnd.choice(["idiot", "Idiot!", "scumbag", "losers", "loser"]))
         rows.append((i, " ".join(w)))
@@ -47,20 +49,65 @@ def test_scores(spark, documents, clashing):
     assert {r["tox_predicted"] for r in toxicity.scored(docs, again).collect()} == {0}
 
 
+def dense_of(model):
+    """The examples' vectors, slots by terms."""
+    out = np.zeros((model.often.shape[1], len(model.names)))
+    for t in range(len(model.names)):
+        a, z = model.at[t], model.at[t + 1]
+        out[model.slots[a:z], t] = model.weights[a:z]
+        if model.place[t] >= 0:
+            assert a == z
+            out[:, t] = model.often[model.place[t]]
+    return out
+
+
 def test_block_max_search_is_exact(spark, documents):
     rows, labels = corpus(600)
     model = toxicity.fit(documents(*rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
-    dense = np.zeros((len(model.ids), len(model.terms) + 1))
-    for t in range(len(model.terms) + 1):
-        a, z = model.at[t, 0], model.at[t, -1]
-        dense[model.slots[a:z], t] = model.weights[a:z]
+    dense = dense_of(model)
+    assert np.allclose(np.sqrt((dense**2).sum(axis=1))[: len(model.ids)], 1) and 0 < len(model.often) < len(model.names)
     rng = np.random.default_rng(0)
-    for _ in range(100):
-        term = np.sort(rng.choice(len(model.terms) + 1, rng.integers(1, 5), replace=False))
-        q = model.vector(term, rng.integers(1, 9, len(term)))
-        slots, scores = model.nearest(term, q)
-        best = np.sort(dense[:, term] @ q)[::-1][: toxicity.NEIGHBOURS]
-        assert np.allclose(scores, best[best > 0], atol=1e-9) and np.allclose(dense[slots][:, term] @ q, scores, atol=1e-9)
+    picks = [np.sort(rng.choice(len(model.names), rng.integers(1, 40), replace=False)) for _ in range(300)]
+    row, term = np.repeat(np.arange(300), [len(p) for p in picks]), np.concatenate(picks)
+    count = rng.integers(1, 9, len(term))
+    query = np.zeros((300, len(model.names)))
+    query[row, term] = (1 + np.log(count)) * model.idf[term]
+    query /= np.sqrt((query**2).sum(axis=1, keepdims=True))
+    exact = query @ dense.T
+    slots, near = model.searched(row, term, count, 300)
+    assert np.allclose(near, -np.sort(-exact, axis=1)[:, : toxicity.NEIGHBOURS], atol=1e-9)
+    assert np.allclose(near, np.take_along_axis(exact, slots, 1), atol=1e-9)
+
+
+def test_query_by_brute_force(spark):
+    """op7 over its whole table: idf from class counts, cosines, votes and the calibrated line by plain sums."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    label = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in docs}
+    learn = [i for i in docs if label.get(i) is not None and not held[i]]
+    words = {i: Counter(w for t in docs[i].replace("\x0b", " ").split() for w in regex.findall(r"\p{L}+", t.lower())) for i in docs}
+    toxic = sum(label[i] for i in learn)
+    share, idf = toxic / len(learn), {}
+    df = [Counter(w for i in learn if label[i] == y for w in words[i]) for y in (0, 1)]
+    for w in {w for i in learn for w in words[i]}:
+        idf[w] = abs(np.log((df[1][w] + toxicity.SMOOTH * share) / (toxicity.SMOOTH * share)) - np.log((df[0][w] + toxicity.SMOOTH * (1 - share)) / (toxicity.SMOOTH * (1 - share))))
+
+    def vector(i):
+        v = {w: (1 + np.log(c)) * idf[w] for w, c in words[i].items() if w in idf}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    examples = {i: vector(i) for i in learn}
+    model = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r["doc_id"]: r for r in QUERIES["op7_toxicity"](spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for i, r in got.items():
+        own = vector(i)
+        near = sorted(((sum(x * e.get(w, 0) for w, x in own.items()), label[j]) for j, e in examples.items()), reverse=True)[: toxicity.NEIGHBOURS]
+        vote = (sum(c * c * y for c, y in near) + 0.5 * share) / (sum(c * c for c, _ in near) + 0.5)
+        assert r["score"] == pytest.approx(float(model.score(np.array(vote))), abs=1e-6)
+        assert r["held_out"] == held[i] and r["predicted"] == (r["score"] >= 0.3)
 
 
 def test_held_out_accuracy_on_the_table(spark):
