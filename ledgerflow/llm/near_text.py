@@ -11,13 +11,13 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix64, sliced, stored, table, tidy, utf8_bytes, word_hashes, words
+from .common import integral, mix64, sliced, stored, table, tidy, utf8_bytes, word_hashes, words
 from .components import components
 
 #: Words of a shingle; least weighted Jaccard similarity; bands and rows of a band.
 WORDS, LEAST, BANDS, ROWS = 5, 0.8, 16, 4
-#: Buckets of the document frequencies of words: a table of fixed size, whatever the vocabulary.
-BUCKETS = 1 << 16
+#: Counters of a row of the sketch of the words' document frequencies, which has two rows.
+BUCKETS = 1 << 18
 #: Members of a block, where a bucket's members are compared with each other.
 BLOCK = 512
 _N = 4096
@@ -37,22 +37,30 @@ def _word_table(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, start, end), row
 
 
+def _counters(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A word's counter in each row of the sketch, from different bits of its hash."""
+    return (h & np.uint64(BUCKETS - 1)).astype(np.int64), (h >> np.uint64(40) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
 def word_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """In how many texts the words of each of BUCKETS hash buckets occur (a text counts once a bucket)."""
+    """A count-min sketch, 2 by BUCKETS: in how many texts the words of each counter occur (a text counts once a counter).
+    The lesser of a word's two counters is its document frequency, or more where words collide in both."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(BUCKETS, np.int64)
+        n = np.zeros(2 * BUCKETS, np.int64)
         for batch in batches:
             for part in sliced(batch, text, 2 << 20):
                 h, row = _word_table(part.column(text))
-                n += np.bincount(np.unique(row << 16 | (h & np.uint64(BUCKETS - 1)).astype(np.int64)) & (BUCKETS - 1), minlength=BUCKETS)
+                for i, at in enumerate(_counters(h)):
+                    once = np.unique(row * BUCKETS + at) % BUCKETS
+                    n[i * BUCKETS : (i + 1) * BUCKETS] += np.bincount(once, minlength=BUCKETS)
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["bucket", "n"])
 
-    out = np.zeros(BUCKETS, np.int64)
-    for r in docs.select(text).mapInArrow(tidy(task), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
-    return out
+    out = np.zeros(2 * BUCKETS, np.int64)
+    got = docs.select(text).mapInArrow(tidy(task), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2 * BUCKETS rows at most
+    out[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(2, BUCKETS)
 
 
 def idf_of(frequencies: np.ndarray, n: int) -> np.ndarray:
@@ -63,12 +71,12 @@ def idf_of(frequencies: np.ndarray, n: int) -> np.ndarray:
 
 def shingles(texts: pa.Array, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, shingle, count, idf) of the distinct shingles of each text. A shingle is WORDS words in a row, or all words
-    of a text that has fewer; its idf is the mean of its words'."""
+    of a text that has fewer; its idf is the mean of its words'. idf: of the sketch's counters."""
     h, row = _word_table(texts)
     z = np.zeros(0, np.int64)
     if not len(h):
         return z, z.astype(np.uint64), z, np.zeros(0, np.float32)
-    weight = idf[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
+    weight = np.maximum(*(own[at] for own, at in zip(idf, _counters(h), strict=True)))
     first = np.searchsorted(row, np.arange(len(texts)))
     count = np.bincount(row, minlength=len(texts))
     n = len(h)
@@ -191,78 +199,150 @@ def _stars(places: DataFrame) -> DataFrame:
     return places.join(top.select("bucket", F.col("top.star").alias("star")), "bucket").filter("id != star").select(F.least("id", "star").alias("a"), F.greatest("id", "star").alias("b"))
 
 
-def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, least: float) -> DataFrame:
-    """All pairs (a, b) of places (band, bucket, id) that share a bucket but no component of parts (node, component), and
-    whose samples agree in at least `least` of their places; each pair once, in the first band it shares.
+def similar(a: pa.Array, b: pa.Array, idf: np.ndarray) -> np.ndarray:
+    """Exact weighted Jaccard similarity of every a[i] with every b[j]: a shingle that a text has n times is n features of
+    0 or 1, so that sums of least weights are products of matrices."""
+    sides = []
+    for texts in (a, b):
+        row, code, count, weight = shingles(texts, idf)
+        total = np.bincount(row, count * weight.astype(np.float64), len(texts))
+        level = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        with np.errstate(over="ignore"):
+            key = np.repeat(code, count) + np.where(level > 0, mix64(level.astype(np.uint64), 5), np.uint64(0))
+        sides.append((np.repeat(row, count), key, np.repeat(weight, count).astype(np.float64), total))
+    (ra, ka, wa, ta), (rb, kb, _, tb) = sides
+    both = np.zeros((len(a), len(b)))
+    common = np.intersect1d(ka, kb)
+    for at in range(0, len(common), 2048):
+        part = common[at : at + 2048]
+        x, y = np.zeros((len(a), len(part))), np.zeros((len(b), len(part)))
+        for out, row, key, weight in ((x, ra, ka, wa), (y, rb, kb, 1.0)):
+            place = np.minimum(np.searchsorted(part, key), len(part) - 1)
+            ok = part[place] == key
+            out[row[ok], place[ok]] = weight if np.isscalar(weight) else weight[ok]
+        both += x @ y.T
+    total = ta[:, None] + tb[None] - both
+    return np.divide(both, total, out=np.zeros(both.shape), where=total > 0)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (node, smallest node of its component) that connect what the links a[i], b[i] connect."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    top = np.arange(len(nodes))
+    while True:
+        least = top.copy()
+        low = np.minimum(top[x], top[y])
+        np.minimum.at(least, x, low)
+        np.minimum.at(least, y, low)
+        least = least[least]
+        if (least == top).all():
+            break
+        top = least
+    apart = top != np.arange(len(nodes))
+    return nodes[apart], nodes[top[apart]]
+
+
+def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Links (a, b) that connect all texts of a similarity of `least` or more that share a bucket of places (band, bucket,
+    id), but no component of parts (node, component).
 
     In a bucket the members outside its largest component are dealt to blocks, and all members are; a block of the one
-    meets every block of the other in a group of its own, so neither a task's rows nor the rows dealt out follow the pairs."""
+    meets every block of the other in a group of its own, texts and all. A pair is compared in the first band that it
+    shares, by its samples first (those that agree in too few places, six deviations below `least`, a chance of about
+    1e-9, can't be similar), then exactly. Only edges that span the links leave a task, so neither a task's rows nor
+    those between tasks follow the pairs."""
     at = places.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("part", F.coalesce("component", "id")).select("band", "bucket", "id", "part")
     sizes = at.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n")).filter("n > top.n")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed = mixed.select("bucket", F.col("top.part").alias("main"), blocks(F.col("n") - F.col("top.n")).alias("few"), blocks(F.col("n")).alias("all"))
-    own = at.join(mixed, "bucket").join(samples.select("id", "sign"), "id")
+    own = at.join(mixed, "bucket").join(samples.select("id", "sign"), "id").join(docs, "id")
     deal = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    columns = ["band", "bucket", "id", "part", (F.col("part") == F.col("main")).alias("big"), "sign"]
+    columns = ["band", "bucket", "id", "part", (F.col("part") == F.col("main")).alias("big"), "sign", "text"]
     right = own.select(*columns, F.lit(False).alias("left"), deal(F.col("all")).alias("j"), each(F.col("few")).alias("i"))
     left = own.filter("part != main").select(*columns, F.lit(True).alias("left"), deal(F.col("few")).alias("i"), each(F.col("all")).alias("j"))
+    enough = least - 6 * math.sqrt(least * (1 - least) / (BANDS * ROWS))
+
+    def sharing(x: pa.Table, y: pa.Table, band: int) -> np.ndarray:
+        """Which pairs are to be compared here."""
+        sx, sy = (np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(len(t), -1) for t in (x, y))
+        ix, px, iy, py, big = (c.to_numpy() for c in (x["id"], x["part"], y["id"], y["part"], y["big"]))
+        out = np.zeros((len(x), len(y)), bool)
+        for k in range(0, len(x), 64):
+            own = slice(k, k + 64)
+            agree, before = np.zeros((len(ix[own]), len(y)), np.uint8), np.zeros((len(ix[own]), len(y)), bool)
+            for b in range(BANDS):
+                all_ = np.ones(agree.shape, bool)
+                for r in range(b * ROWS, (b + 1) * ROWS):
+                    same = sx[own, r, None] == sy[None, :, r]
+                    agree += same
+                    all_ &= same
+                if b < band:
+                    before |= all_
+            out[own] = (agree >= enough * BANDS * ROWS) & ~before & (px[own, None] != py[None]) & (big[None] | (ix[own, None] < iy[None]))
+        return out
 
     def task(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         x, y = group.filter(group["left"]), group.filter(pc.invert(group["left"]))
-        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        links = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         if len(x) and len(y):
-            sx, sy = (np.frombuffer(b"".join(t["sign"].to_pylist()), np.uint32).reshape(len(t), -1) for t in (x, y))
-            ix, px, iy, py, big = (c.to_numpy() for c in (x["id"], x["part"], y["id"], y["part"], y["big"]))
-            band = group["band"][0].as_py()
-            for k in range(0, len(x), 64):
-                own = slice(k, k + 64)
-                agree, before = np.zeros((len(ix[own]), len(y)), np.uint8), np.zeros((len(ix[own]), len(y)), bool)
-                for b in range(BANDS):
-                    all_ = np.ones(agree.shape, bool)
-                    for r in range(b * ROWS, (b + 1) * ROWS):
-                        same = sx[own, r, None] == sy[None, :, r]
-                        agree += same
-                        all_ &= same
-                    if b < band:
-                        before |= all_
-                ok = (agree >= least * BANDS * ROWS) & ~before & (px[own, None] != py[None]) & (big[None] | (ix[own, None] < iy[None]))
-                m, n = np.nonzero(ok)
-                out.append((ix[own][m], iy[n]))
-        a, b = (np.concatenate(z) for z in zip(*out, strict=True))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+            open_ = sharing(x, y, group["band"][0].as_py())
+            x, y, open_ = x.filter(pa.array(open_.any(axis=1))), y.filter(pa.array(open_.any(axis=0))), open_[np.ix_(open_.any(axis=1), open_.any(axis=0))]
+            for m, own in _parts(x):
+                for n, other in _parts(y):
+                    few = open_[m : m + len(own), n : n + len(other)]
+                    i, j = np.nonzero(few)
+                    if len(i) > len(own) + len(other):
+                        i, j = np.nonzero(few & (similar(own.column("text"), other.column("text"), idf) >= least))
+                    elif len(i):
+                        ok = similarities(own.column("text").take(pa.array(i)), other.column("text").take(pa.array(j)), idf) >= least
+                        i, j = i[ok], j[ok]
+                    links.append((own.column("id").to_numpy()[i], other.column("id").to_numpy()[j]))
+        a, b = _spanning(*(np.concatenate(z) for z in zip(*links, strict=True)))
+        return pa.table({"a": a, "b": b})
 
     return right.unionByName(left).groupBy("bucket", "i", "j").applyInArrow(task, "a long, b long")
 
 
+def _parts(rows: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of about a megabyte of text, with their first row."""
+    at = 0
+    for batch in rows.combine_chunks().to_batches():
+        for part in sliced(batch, "text", 1 << 20):
+            yield at, part
+            at += len(part)
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
     """(id, class_id) for every document; class_id is the smallest key of those that exact copies and links of a weighted
     Jaccard similarity of `least` or more reach.
 
     1. Equal texts are one, under their smallest key. 2. Weights: a shingle's count times the mean idf of its words, over
-    all texts. 3. Each text's samples go to BANDS buckets of ROWS samples each; at a similarity of 0.8 a pair has none in
-    common with a chance of about 0.0002. 4. First, a bucket's members are compared with its most
-    central one (that shares the most buckets with others), which copies of one original have in common. 5. Then, for
-    links that don't go through it: stars in the buckets of two neighbouring bands (closer texts) and stars around a
-    random member of each bucket; of these pairs those that the first round hasn't connected, and whose samples agree
-    enough (0.62 of 64: three deviations below 0.8), are compared too. 6. Then every bucket is finished: all pairs of its
-    members that are in different components by now, and whose samples agree in 0.5 of 64 (six deviations below 0.8, a
-    chance of about 1e-8), are compared. 7. Every link is verified on whole texts.
-
-    Nulls: a null text is an empty one; texts without words link only with equal texts; null keys get no row of their own
-    class: they're dropped from comparison and return their own null. Rows with one key are one document. An empty table
-    gives no rows. Other columns are ignored."""
-    plain = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    all texts (a sketch of the words' document frequencies). 3. Each text's samples go to BANDS buckets of ROWS samples
+    each; at a similarity of 0.8 a pair has none in common with a chance of about 0.0002. 4. First, a bucket's members are
+    compared with its most central one (that shares the most buckets with others), which copies of one original have in
+    common. 5. Then, for links that don't go through it: stars in the buckets of two neighbouring bands (closer texts) and
+    stars around a random member of each bucket; of these pairs those that the first round hasn't connected, and whose
+    samples agree enough (0.62 of 64: three deviations below 0.8), are compared too; they only spare work to the next step.
+    6. Then every bucket is finished: all pairs of its members that are in different components by now are compared, block
+    against block. 7. Every link is verified on whole texts.
+
+    Nulls: a null text is an empty one; texts without words link only with equal texts; rows without a key are compared with
+    none and return a null class each. Keys are integers. Rows with one key are one document: it returns one row, and the
+    classes of its texts are one. An empty table gives no rows. Other columns are ignored."""
+    plain = docs.select(integral(docs, key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     same = stored(plain.filter("id IS NOT NULL").select("id", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
     groups = same.groupBy("digest").agg(F.min("id").alias("rep"))
     n = max(1, same.count())
-    copies = stored(same.join(groups, "digest").select("id", "rep"), "copies", n)
-    firsts = copies.filter("id = rep").select("id")
-    own = plain.join(firsts, "id", "left_semi")
-    frequencies = word_frequencies(plain)
-    idf = idf_of(frequencies, n)
+    copies = stored(same.join(groups, "digest").select("id", "rep", "digest"), "copies", n)
+    firsts = copies.filter("id = rep").select("id", "digest")
+    digest = F.md5(F.col("text").cast("binary"))
+    # rows that agree in key and text are one; a key's several first texts are sampled one by one
+    own = plain.withColumn("digest", digest).join(firsts, ["id", "digest"], "left_semi").select("id", "text")
+    idf = idf_of(word_frequencies(plain), n)
     samples = stored(_samples(own, idf), "samples")
 
     each = samples.select("id", F.posexplode("bands").alias("band", "value"))
@@ -272,7 +352,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     places = stored(places.join(full, "bucket"), "buckets", BANDS * n)
     centre = places.groupBy("id").agg(F.sum("n").alias("centre"))
     places = stored(places.select("band", "bucket", "id").join(centre, "id"), "places", BANDS * n)
-    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least), "links")
+    several = copies.groupBy("id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    several = copies.join(several, "id").filter("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least).union(several), "links")
     parts = stored(components(first), "parts", n)
 
     near = samples.join(centre, "id").select("id", "centre", "bands")
@@ -286,13 +368,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs")
     second = _verified(more, own, idf, least)
     hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    parts = stored(components(first.union(hung(parts)).union(second)), "parts", n)
+    parts = stored(components(hung(parts).union(second)), "parts", n)
 
-    rest = stored(_rest(places, parts, samples, least - 6 * math.sqrt(least * (1 - least) / (BANDS * ROWS))), "rest-pairs")
-    third = stored(_verified(rest, own, idf, least), "links")
+    third = stored(_rest(places, parts, samples, own, idf, least), "links", n)
     whole = parts if third.isEmpty() else components(hung(parts).union(third))
-    return copies.join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", F.coalesce("component", "rep").alias("class_id"))
+    out = copies.select("id", "rep").join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
+    return out.union(plain.filter("id IS NULL").select("id", F.lit(None).cast("long").alias("class_id")))
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("kept"))
+    return classes(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))

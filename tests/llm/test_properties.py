@@ -14,7 +14,7 @@ TEXTS = st.lists(TEXT, min_size=1, max_size=6)
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 byte, word = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD)
 codec, encoder = bpe.Codec(BYTE, bpe.Transducer.compile({b" the": [262], b"ab": [397]})), token_files.WordEncoder(WORD)
-IDF = np.linspace(1, 2, near_text.BUCKETS).astype(np.float32)
+IDF = np.linspace(1, 2, 2 * near_text.BUCKETS).astype(np.float32).reshape(2, -1)
 
 
 @settings(max_examples=300, deadline=None)

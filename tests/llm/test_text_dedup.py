@@ -1,10 +1,11 @@
 """Substring and near-duplicate removal against brute force."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from ledgerflow.llm import near_text, substrings
 from ledgerflow.llm.common import utf8_bytes, words
@@ -134,10 +135,41 @@ def test_near_copies_share_a_class(spark, documents, clashing):
             changed |= label[a] != m or label[b] != m
             label[a] = label[b] = m
     wrong = [i for i in ids if got[i] != label[i]]
-    assert len(wrong) <= 1, wrong
+    assert not wrong
     assert got[304] == 5 and got[400] == got[401] == 400 and got[402] == 402 and got[404] == 403
     assert near_text.classes(documents(*rows).limit(0)).count() == 0
-    assert near_text.classes(documents((None, "a"), (None, None))).count() == 0
+    assert [tuple(r) for r in near_text.classes(documents((None, "a"), (None, None))).collect()] == [(None, None)] * 2
+
+
+def test_keys_with_several_texts(spark, documents):
+    """Rows with one key are one document with one class, which its texts share; keys of another type are an error."""
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    docs = documents((1, a), (1, b), (2, b), (3, c), (0, near(a, 0.005, 1)), (5, c), (5, near(c, 0.005, 2)), (6, near(c, 0.005, 2)), (7, prose(9, 80)))
+    got = [tuple(r) for r in near_text.classes(docs).collect()]
+    assert sorted(got) == [(0, 0), (1, 0), (2, 0), (3, 3), (5, 3), (6, 3), (7, 7)]
+    with pytest.raises(TypeError):
+        near_text.classes(docs.withColumn("doc_id", docs.doc_id.cast("string")))
+
+
+def test_matrix_of_similarities():
+    idf = np.linspace(1, 2, 2 * near_text.BUCKETS).astype(np.float32).reshape(2, -1)
+    base = prose(1, 120, 60)
+    a = pa.array([near(base, 0.02 * i, i) for i in range(12)] + ["", None, "one two", "a b c d e " * 40])
+    b = pa.array([near(base, 0.03 * i, 50 + i) for i in range(9)] + ["a b c d e " * 30, "one two", "", "x"])
+    got = near_text.similar(a, b, idf)
+    i, j = np.divmod(np.arange(len(a) * len(b)), len(b))
+    assert np.allclose(got.ravel(), near_text.similarities(a.take(pa.array(i)), b.take(pa.array(j)), idf), atol=1e-12)
+
+
+def test_the_sketch_counts_words(spark):
+    texts = [prose(i, 100, 5000) + " everywhere" for i in range(400)]
+    sketch = near_text.word_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    df = Counter(w for t in texts for w in set(t.split()))
+    names = sorted(df)
+    h, _ = near_text._word_table(pa.array(names))
+    got = np.minimum(*(sketch[i][at] for i, at in enumerate(near_text._counters(h))))
+    want = np.array([df[w] for w in names])
+    assert (got >= want).all() and (got == want).mean() > 0.99
 
 
 def template_family(pairs, seed=70):
@@ -163,7 +195,7 @@ def test_pairs_over_a_template_are_found(spark, documents, monkeypatch):
 
 
 def test_similarity_is_weighted_jaccard():
-    idf = np.linspace(1, 2, near_text.BUCKETS).astype(np.float32)
+    idf = np.linspace(1, 2, 2 * near_text.BUCKETS).astype(np.float32).reshape(2, -1)
     a, b = "a b c d e f g a b c d e", "a b c d e f x"
 
     def weights(t):
@@ -171,7 +203,7 @@ def test_similarity_is_weighted_jaccard():
         out = defaultdict(float)
         h, _ = near_text._word_table(pa.array([t]))
         for i in range(len(w) - 4):
-            out[tuple(w[i : i + 5])] += float(np.mean([idf[int(x) & (near_text.BUCKETS - 1)] for x in h[i : i + 5]]))
+            out[tuple(w[i : i + 5])] += float(np.mean([max(idf[0][at[0]], idf[1][at[1]]) for x in h[i : i + 5] for at in [near_text._counters(x)]]))
         return out
 
     x, y = weights(a), weights(b)
@@ -180,7 +212,7 @@ def test_similarity_is_weighted_jaccard():
 
 
 def test_samples_agree_as_often_as_weights_do():
-    idf = np.full(near_text.BUCKETS, 1.5, np.float32)
+    idf = np.full((2, near_text.BUCKETS), 1.5, np.float32)
     base = [prose(i, 200) for i in range(300)]
     other = [near(t, 0.03, i) for i, t in enumerate(base)]
     s = near_text.similarities(pa.array(base), pa.array(other), idf)
