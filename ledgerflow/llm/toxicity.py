@@ -18,7 +18,7 @@ from .ann import kmeans, nearest as closest
 from .common import laid, quoted, sliced, table, tidy
 
 #: Labelled rows that a model is fitted on, at most; examples of a block; neighbours that vote.
-EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
+EXAMPLES, BLOCK, NEIGHBOURS, TEXTS = 8192, 32, 50, 256
 #: Examples that the calibration scores, each without itself, at most.
 CALIBRATED = 2048
 #: How many examples, shared out by the labels' shares, a term is taken to have been in besides those it is in.
@@ -26,11 +26,13 @@ SMOOTH = 60.0
 #: Terms of more than one example of so many are frequent: their postings are opened block by block.
 FREQUENT = 16
 _LETTERS = regex.compile(r"\p{L}+")
+_hash = xxhash.xxh3_64_intdigest
 
 
 def terms_of(token: str) -> list[int]:
     """Hashes of a token's terms: its runs of letters, lower-cased."""
-    return [xxhash.xxh3_64_intdigest(w) for w in _LETTERS.findall(token.lower())]
+    low = token.lower()
+    return [_hash(low)] if low.isalpha() else [_hash(w) for w in _LETTERS.findall(low)]
 
 
 def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -38,7 +40,7 @@ def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     token = lists.flatten().dictionary_encode()
     names = token.dictionary.to_pylist()
-    if len(numbers) > 200_000:
+    if len(numbers) > 400_000:
         numbers.clear()
     own = []
     for w in names:
@@ -78,6 +80,7 @@ class Index:
     peak: np.ndarray
     prior: float
     line: tuple[float, float] = (1.0, 0.0)
+    known: dict[int, int] | None = None  # a term's number by its hash, made where it is needed
 
     @classmethod
     def build(cls, names: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> Index:
@@ -117,8 +120,12 @@ class Index:
 
     def numbers(self, hashes: list[int]) -> list[int]:
         """Numbers of the terms with these hashes, without those that no example has."""
-        at = np.searchsorted(self.names, np.array(hashes, np.uint64)) if hashes else []
-        return [int(i) for i, h in zip(at, hashes, strict=True) if i < len(self.names) and self.names[i] == h]
+        if self.known is None:
+            self.known = dict(zip(self.names.tolist(), range(len(self.names)), strict=True))
+        return [i for h in hashes if (i := self.known.get(h)) is not None]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": None}
 
     def nearest(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, k: int = NEIGHBOURS, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Slots and cosines (n by k, nearest first; cosine 0 where there are no more) of the nearest examples of n texts.
@@ -133,8 +140,14 @@ class Index:
         query[row[often], self.place[term[often]]] = weight[often]
         rare = np.flatnonzero(~often)
         begin, many = self.at[term[rare]], self.at[term[rare] + 1] - self.at[term[rare]]
-        cell = np.repeat(row[rare] * slots, many) + laid(self.slots, begin, many)
-        score = np.bincount(cell, np.repeat(weight[rare], many) * laid(self.weights, begin, many), n * slots).astype(float).reshape(n, slots)
+        upto = np.cumsum(many)
+        at = np.repeat((begin - (upto - many)).astype(np.int32), many)
+        at += np.arange(len(at), dtype=np.int32)
+        cell = np.repeat((row[rare] * slots).astype(np.int32), many)
+        cell += self.slots[at]
+        part = np.repeat(weight[rare], many)
+        part *= self.weights[at]
+        score = np.bincount(cell, part, n * slots).astype(float, copy=False).reshape(n, slots)
         if but is not None:
             score[np.arange(n), but] = -slots
         blocks = slots // BLOCK
@@ -166,7 +179,7 @@ class Index:
         cost = np.cumsum(np.bincount(row, self.at[term + 1] - self.at[term], n)) if n else np.zeros(0)
         out, a = [], 0
         while a < n:
-            z = min(a + 256, max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + 4_000_000, side="right"))))
+            z = min(a + TEXTS, max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + 4_000_000, side="right"))))
             lo, hi = np.searchsorted(row, (a, z))
             out.append(self.nearest(row[lo:hi] - a, term[lo:hi], count[lo:hi], z - a, but=None if but is None else but[a:z]))
             a = z
