@@ -11,15 +11,17 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from .common import mix64, sliced, stored, table, tidy
 from .urls import host_of
 
-#: Tokens of the shortest repeated stretch; pages of one host whose streams a task sorts together, at most.
-STRETCH, SHARD = 6, 2000
+#: Tokens of the shortest repeated stretch; tokens of one host's pages that a task sorts together, about.
+STRETCH, SHARD = 6, 1_000_000
 #: A stretch is common on a host if so many pages, and this share of all its pages, have it.
 COMMON, SHARE = 3, 0.5
+#: A block within articles is boilerplate if so many different articles of a host, and this share of them, have it.
+ARTICLES, NEARLY_ALL = 5, 0.9
 #: Tokens of running text: of a block, and of a text that outweighs what is left of a page.
 RUNNING, LONG_TEXT = 10, 25
 
@@ -31,6 +33,8 @@ DROPPED = frozenset("nav aside footer form menu dialog search button fieldset".s
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 # Fixed words in the first or last part of a class or id that mark what isn't the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split())
+# Those of them that mark reader comments, whatever else a page has.
+COMMENTS = frozenset("comment comments discussion disqus replies reply respond".split())
 _PROSE = tuple("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _SAFE = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 _TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$)|[^<]+|<", regex.S)
@@ -42,23 +46,32 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
-def _marked(own: dict[str, str], in_article: bool) -> bool:
-    """Whether an element says that it isn't the article. What is called a header within an article holds its title."""
+def _marked(own: dict[str, str], in_article: bool) -> int:
+    """Whether an element says that it isn't the article: 2 if it does so by its role, by being hidden or as reader comments,
+    1 by another word of its class or id. What is called a header within an article holds its title."""
+    sure = _sure(own)
     for name in (own.get("class", "") + " " + own.get("id", "")).lower().split():
         parts = regex.split(r"[-_:]+", name)
-        if parts[0] not in ("no", "has", "with", "without") and any(x in MARKS and not (in_article and x == "header") for x in (parts[0], parts[-1])):
-            return True
+        if parts[0] not in ("no", "has", "with", "without"):
+            found = [x for x in (parts[0], parts[-1]) if x in MARKS and not (in_article and x == "header")]
+            if found:
+                return 2 if sure or any(x in COMMENTS for x in found) else 1
+    return 2 if sure else 0
+
+
+def _sure(own: dict[str, str]) -> bool:
     return own.get("role", "").lower() in ROLES or "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
 
 
 @dataclass
 class Page:
-    """A page's blocks in order, each with whether it lies in an article or main element, in something to be dropped, how
-    much of it is links, and whether it is a heading or paragraph."""
+    """A page's blocks in order, each with whether it lies in an article or main element, in something to be dropped (2 by an
+    element, its role or as comments, 1 by a word of its class alone), how much of it is links, and whether it is a heading
+    or paragraph."""
 
     texts: list[str] = field(default_factory=list)
     inside: list[int] = field(default_factory=list)  # 2 in an article, 1 in main, else 0
-    dropped: list[bool] = field(default_factory=list)
+    dropped: list[int] = field(default_factory=list)
     linked: list[float] = field(default_factory=list)
     prose: list[bool] = field(default_factory=list)  # in a heading or paragraph
 
@@ -67,7 +80,7 @@ def parsed(text: str) -> Page:
     """Scans the page once. Elements that a page leaves open end with their parent; an article or main element ends all
     that should have ended before it."""
     out, stack = Page(), []  # stack: (name, drops, in article or main)
-    drops = inside = articles = 0
+    drops = sure = inside = articles = 0
     opened: dict[str, int] = {}  # how many of each name are in the stack, so that it is searched only for what is there
     piece: list[str] = []
     link = links = 0
@@ -76,22 +89,23 @@ def parsed(text: str) -> Page:
     def flush() -> None:
         nonlocal piece, links
         if piece:
-            joined = _WHITE.sub(" ", html.unescape("".join(piece)).replace("\0", "")).strip()
+            joined = _WHITE.sub(" ", html.unescape("".join(piece))).strip()
             if joined:
                 out.texts.append(joined)
                 out.inside.append(2 if articles else 1 if inside else 0)
-                out.dropped.append(drops > 0)
+                out.dropped.append(2 if sure else 1 if drops else 0)
                 out.linked.append(min(1.0, links / len(joined)))
                 out.prose.append(any(opened.get(x) for x in _PROSE))
         piece, links = [], 0
 
     def pop(to: int) -> None:
-        nonlocal drops, inside, articles, link
+        nonlocal drops, sure, inside, articles, link
         while len(stack) > to:
             name, drop, landmark = stack.pop()
             opened[name] -= 1
             articles -= landmark == 2
-            drops -= drop
+            drops -= drop > 0
+            sure -= drop == 2
             inside -= landmark > 0
             link -= name == "a"
 
@@ -102,10 +116,11 @@ def parsed(text: str) -> Page:
         return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in names)
 
     def push(name: str, drop: int, landmark: int) -> None:
-        nonlocal drops, inside, articles, link
+        nonlocal drops, sure, inside, articles, link
         stack.append((name, drop, landmark))
         opened[name] = opened.get(name, 0) + 1
-        drops += drop
+        drops += drop > 0
+        sure += drop == 2
         inside += landmark > 0
         articles += landmark == 2
         link += name == "a"
@@ -135,7 +150,7 @@ def parsed(text: str) -> Page:
         if name in RAW:
             if name == "head":  # what a head holds is raw, one by one; it ends with its tag or the body
                 flush()
-                push("head", 1, 0)
+                push("head", 2, 0)
             elif not m[3].rstrip().endswith("/"):
                 flush() if name == "title" else None
                 raw = name
@@ -159,10 +174,10 @@ def parsed(text: str) -> Page:
         own = _attributes(m[3])
         landmark = 2 if name == "article" or own.get("itemprop") == "articleBody" else 1 if name == "main" or own.get("role") == "main" else 0
         in_article = articles > 0
-        drop = name in DROPPED or (name == "header" and not in_article) or (_marked(own, in_article) and (name not in _SAFE or name == "article"))
+        drop = 2 if name in DROPPED or (name == "header" and not in_article) else _marked(own, in_article) if name not in _SAFE or name == "article" else 0
         if landmark and not drop and drops and not inside:  # what was left open before it
             pop(next((i for i, x in enumerate(stack) if x[1]), len(stack)))
-        push(name, int(drop), landmark)
+        push(name, drop, landmark)
         if m[3].rstrip().endswith("/") and name not in BLOCKS:
             pop(len(stack) - 1)
     flush()
@@ -171,7 +186,10 @@ def parsed(text: str) -> Page:
 
 def suffix_array(tokens: np.ndarray, stretch: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, rank): the suffixes of a token sequence sorted by their first `stretch` tokens at least, by doubling, and
-    the rank of each, equal where those are. Separators must be unique tokens."""
+    the rank of each, equal where those are. Separators must be unique tokens.
+
+    No deeper order is needed: the tokens that lie in a substring of `stretch` tokens or more which so many pages have are
+    those that lie in one of just `stretch` tokens, for all parts of a repeated substring are on as many pages at least."""
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     have = 1
     while have < stretch:
@@ -225,8 +243,9 @@ def _sorted_shard(group: pa.Table) -> pa.Table:
     return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(first), pa.string()), "name": pa.array(names[at[first]] if len(first) else np.zeros(0, np.int64)), "pages": pa.array(pages.astype(np.int64)), "of": pa.array(np.full(len(first), group.column("of")[0].as_py(), np.int64)), "one": pa.array(who[first] if len(first) else np.zeros(0, np.int64))})
 
 
-def judged_blocks(blocks: list[str | None], linked: list[float], prose: list[bool], where: np.ndarray, places: np.ndarray, pages: np.ndarray, of: int) -> list[str]:
-    """The blocks of a page without landmarks that stay (None: dropped already). where: each token's block; places, pages:
+def judged_blocks(blocks: list[str | None], marked: list[bool], linked: list[float], prose: list[bool], where: np.ndarray, places: np.ndarray, pages: np.ndarray, of: int) -> list[str]:
+    """The blocks of a page without landmarks that stay (None: dropped already). marked: by a word of its class, which counts
+    only where the page has running text besides. where: each token's block; places, pages:
     where stretches begin that other pages have, and how many pages have them; of: pages of the host."""
     n = len(blocks)
     size = np.bincount(where, minlength=n)
@@ -238,6 +257,8 @@ def judged_blocks(blocks: list[str | None], linked: list[float], prose: list[boo
     half = lambda least: 2 * np.bincount(where, level >= least, n) >= np.maximum(size, 1)
     links = np.array(linked) >= 0.5
     there = np.array([b is not None for b in blocks], bool)
+    if (there & ~np.array(marked, bool) & (size >= RUNNING) & ~links).any():
+        there &= ~np.array(marked, bool)
     gone = there & (half(max(COMMON, SHARE * of)) | (links & half(2)))
     keep = there & ~gone
     running = there & (size >= RUNNING) & ~links
@@ -257,7 +278,7 @@ def judged_blocks(blocks: list[str | None], linked: list[float], prose: list[boo
             keep |= back & part
     if not keep.any():
         keep = there & ~links
-    return [b for b, k in zip(blocks, keep, strict=True) if k]
+    return [b for b, k in zip(blocks, keep, strict=True) if k and b is not None]
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: str = "html") -> DataFrame:
@@ -267,7 +288,8 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     judged so: scripts, styles, markup comments, menus, page headers and footers, sidebars, forms, and elements whose
     class, id or role names a notice, an advert, reader comments or the like go. Where the page has article elements, the
     article is what lies in them; else what lies in its main element. Where it has neither, the host suffix array
-    decides: the token streams of all pages of a host (what lies outside articles) are concatenated and their suffixes
+    decides, and a word of a class (but those of reader comments) counts only if there is running text without one: the
+    token streams of all pages of a host (what lies outside articles) are concatenated and their suffixes
     sorted; stretches of STRETCH tokens or more that at least COMMON pages and SHARE of the host's pages have are
     boilerplate, and blocks of which they cover half or more go; so do blocks that are mostly links if they cover it that
     any other page has. A text that fewer pages share is a copied article and stays on each. Where most of a host's
@@ -276,16 +298,17 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     text stays with what lies between its blocks and the headings and paragraphs next to it, but without what clearly
     more pages have. If there is none, all blocks that aren't mostly links stay.
 
-    Within articles the suffix array has no say: copies of an article on one host would erase each other there.
+    Within articles stretches have no say, or copies of an article on one host would erase each other. Whole blocks
+    that ARTICLES different articles of a host and NEARLY_ALL of them have go, unless they are more than half of an article.
 
-    A host's pages are dealt to shards of about SHARD pages with a suffix array each; the classes of the shards are then
+    A host's pages are dealt to shards of about SHARD tokens with a suffix array each; the classes of the shards are then
     added up by stretch, which gives the same stretches as one array over the host, so a large host is no task of its own
     and none of its pages is left out. Pages whose streams are equal count once.
 
     Nulls: null html is empty, text ''; null urls have the host ''. Repeated rows stay; an empty table gives none; other
     columns are ignored. Pages are parsed whole."""
     kind = pages.schema[key].dataType
-    out = StructType([StructField("key", kind), StructField("url", StringType()), StructField("text", StringType()), StructField("row", LongType()), StructField("print", LongType()), *StructType.fromDDL("blocks array<string>, linked array<double>, prose array<boolean>, stream array<long>, block_of array<int>").fields])
+    out = StructType([StructField("key", kind), StructField("url", StringType()), StructField("own", ArrayType(StringType())), StructField("row", LongType()), StructField("print", LongType()), *StructType.fromDDL("blocks array<string>, marked array<boolean>, linked array<double>, prose array<boolean>, stream array<long>, block_of array<int>").fields])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,22 +320,22 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
                     own = [t for t, i, d in zip(page.texts, page.inside, page.dropped, strict=True) if level and i >= level and not d]
                     outside = [j for j, i in enumerate(page.inside) if i < 2]
                     stream, where = _token_hashes([page.texts[j] for j in outside])
-                    row = {"key": k, "url": u, "text": "\n\n".join(own) if level else None, "row": xxhash.xxh3_64_intdigest(f"{k}|{u}|{h}") - (1 << 63), "print": xxhash.xxh3_64_intdigest(stream.tobytes()) - (1 << 63), "stream": stream.view(np.int64).tolist()}
+                    row = {"key": k, "url": u, "own": own if level else None, "row": xxhash.xxh3_64_intdigest(f"{k}|{u}|{h}") - (1 << 63), "print": xxhash.xxh3_64_intdigest(stream.tobytes()) - (1 << 63), "stream": stream.view(np.int64).tolist()}
                     if not level:  # nothing settled: the blocks that aren't dropped wait for the host's stretches
-                        row |= {"blocks": [page.texts[j] if not page.dropped[j] else None for j in outside], "linked": [page.linked[j] for j in outside], "prose": [page.prose[j] for j in outside], "block_of": where.tolist()}
+                        row |= {"blocks": [page.texts[j] if page.dropped[j] < 2 else None for j in outside], "marked": [page.dropped[j] == 1 for j in outside], "linked": [page.linked[j] for j in outside], "prose": [page.prose[j] for j in outside], "block_of": where.tolist()}
                     rows.append(row)
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("text", pa.string()), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("linked", pa.list_(pa.float64())), ("prose", pa.list_(pa.bool_())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("key", part.column("key").type), ("url", pa.string()), ("own", pa.list_(pa.string())), ("row", pa.int64()), ("print", pa.int64()), ("blocks", pa.list_(pa.string())), ("marked", pa.list_(pa.bool_())), ("linked", pa.list_(pa.float64())), ("prose", pa.list_(pa.bool_())), ("stream", pa.list_(pa.int64())), ("block_of", pa.list_(pa.int32()))]))
 
     read = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(text).alias("html"))
     found = stored(read.mapInArrow(tidy(task), out).withColumn("host", host_of(F.col("url"))), "pages", codec="gzip")
     # the host suffix arrays
     streams = found.filter(F.size("stream") >= STRETCH).select("host", "print", "stream").dropDuplicates(["host", "print"])
-    hosts = streams.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"), F.count(F.lit(1)).alias("of"))
+    hosts = streams.groupBy("host").agg(F.ceil(F.sum(F.size("stream")) / SHARD).cast("long").alias("shards"), F.count(F.lit(1)).alias("of"))
     dealt = streams.join(hosts, "host").withColumn("shard", F.pmod(F.col("print"), F.col("shards")))
     classes = dealt.groupBy("host", "shard").applyInArrow(_sorted_shard, "host string, name long, pages long, of long, one long")
     repeated = classes.groupBy("host", "name").agg(F.sum("pages").alias("pages"), F.max("of").alias("of")).filter("pages > 1")
     # pages that wait for them
-    waiting = found.filter("text IS NULL")
+    waiting = found.filter("own IS NULL")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,15 +351,25 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for i, r in enumerate(batch.select(["blocks", "linked", "prose", "block_of", "of"]).to_pylist()):
+            for i, r in enumerate(batch.select(["blocks", "marked", "linked", "prose", "block_of", "of"]).to_pylist()):
                 at = batch.column("places")[i].values
                 place, count = (at.field(c).to_numpy() for c in ("place", "pages")) if at is not None else (np.zeros(0, np.int64),) * 2
-                texts.append("\n\n".join(judged_blocks(r["blocks"], r["linked"], r["prose"], np.array(r["block_of"], np.int64), place, count, r["of"] or 1)))
+                texts.append("\n\n".join(judged_blocks(r["blocks"], r["marked"], r["linked"], r["prose"], np.array(r["block_of"], np.int64), place, count, r["of"] or 1)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], ["key", "url", "text"])
 
-    late = judged.select("key", "url", "blocks", "linked", "prose", "block_of", "places", "of").mapInArrow(tidy(decide), StructType(out.fields[:3]))
-    both = found.filter("text IS NOT NULL").select("key", "url", "text").union(late)
-    return both.select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
+    late = judged.select("key", "url", "blocks", "marked", "linked", "prose", "block_of", "places", "of").mapInArrow(tidy(decide), StructType([*out.fields[:2], StructField("text", StringType())]))
+    # articles, without the blocks that nearly all different articles of the host have
+    settled = found.filter("own IS NOT NULL").select("key", "url", "own", "row", "host")
+    names = settled.select("host", "row", F.xxhash64("own").alias("article"), F.explode(F.array_distinct(F.transform("own", lambda x: F.xxhash64(x)))).alias("block"))
+    articles = names.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
+    common = names.select("host", "article", "block").distinct().groupBy("host", "block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= ARTICLES)
+    common = common.join(articles, "host").filter(F.col("n") >= F.col("articles") * NEARLY_ALL).select("host", "block")
+    gone = names.select("host", "row", "block").distinct().join(common, ["host", "block"]).groupBy("row").agg(F.collect_list("block").alias("gone"))
+    settled = settled.join(gone, "row", "left")
+    whole = F.array_join("own", "\n\n")
+    rest = F.array_join(F.filter("own", lambda x: ~F.array_contains("gone", F.xxhash64(x))), "\n\n")
+    settled = settled.select("key", "url", F.when(F.col("gone").isNull() | (F.length(rest) * 2 < F.length(whole)), whole).otherwise(rest).alias("text"))
+    return settled.union(late).select(F.col("key").alias(key), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

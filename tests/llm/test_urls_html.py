@@ -62,7 +62,7 @@ def test_host_suffix_array_removes_boilerplate(spark, monkeypatch):
         assert got[i] == f"{prose(i, 40)}\n\n{prose(i, 40)[:30].strip()}"
     assert "All rights" in got[99] and "Home" in got[99]  # one page of its host: nothing is repeated
     assert got[200] == f"{prose(7, 40)} 0"  # copies don't erase each other
-    monkeypatch.setattr(html_text, "SHARD", 7)  # in many shards: the same
+    monkeypatch.setattr(html_text, "SHARD", 400)  # in many shards: the same
     assert {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()} == got
 
 
@@ -92,6 +92,37 @@ def test_copied_articles_stay_on_every_page(spark):
     assert got == want
 
 
+def test_boilerplate_within_articles_goes(spark):
+    """A block that nearly all different articles of a host have goes; one that many have stays; copies don't count twice."""
+    line, often = "Subscribe to our letter and never miss a story", "A line that many articles share"
+    rows, want = [], {}
+
+    def add(host, blocks, kept):
+        want[len(rows)] = "\n\n".join(kept)
+        rows.append((len(rows), f"http://{host}/{len(rows)}", "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"))
+
+    for i in range(20):
+        own = prose(100 + i, 40)
+        add("a.org", [own, often, line] if i % 3 else [own, line], [own, often] if i % 3 else [own])
+        add("copies.org", [prose(1, 40), line], [prose(1, 40), line])  # one article
+        add("near.org", [prose(2, 60), f"By author {i}"], [prose(2, 60), f"By author {i}"])  # more than half of each
+    add("few.org", [prose(3, 40), line], [prose(3, 40), line])
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_words_of_classes_alone_empty_no_page(spark):
+    text = prose(5, 40)
+    cases = [
+        (f'<body><div class="product-widget"><p>{text}</p><p>Short.</p></div></body>', f"{text}\n\nShort."),
+        (f'<body><p>{text}</p><div class="product-widget"><p>{prose(6, 30)}</p></div></body>', text),
+        (f'<body><div class="widget"><p>{text}</p></div><div id="comments"><p>{prose(6, 30)}</p></div><nav>Home</nav></body>', text),
+        (f"<article><p>{text}\0x</p></article>", f"{text}\0x"),
+    ]
+    df = spark.createDataFrame([(i, f"http://h{i}/", h) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()} == {i: t for i, (_, t) in enumerate(cases)}
+
+
 def test_odd_markup_is_scanned_in_one_pass():
     import time
 
