@@ -82,6 +82,24 @@ def test_unspaced_chunks_have_a_longest():
         assert (end - start).max() <= substrings.MOST + 66
 
 
+def test_chunks_of_different_documents_are_no_passage(spark, documents):
+    """A text of pieces that each stand in another document holds no repeated passage; rows without a key are documents."""
+    rnd, rows = random.Random(9), []
+    pieces = [prose(300 + i, 6, 10**6) for i in range(60)]  # two in a row are no passage
+    for i, p in enumerate(pieces):
+        rows.append((i, f"{prose(500 + i, 60, 10**6)} {p} {prose(700 + i, 60, 10**6)}"))
+    rows += [(100 + k, " ".join(rnd.sample(pieces, 30))) for k in range(20)]
+    passage = prose(1, 100, 10**6)
+    rows += [(None, f"{prose(2, 50, 10**6)} {passage}"), (None, f"{prose(3, 50, 10**6)} {passage}"), (None, f"{prose(4, 50, 10**6)} {passage}"), (200, "again " * 3000), (201, "again " * 5000)]
+    got = substrings.deduplicated(documents(*rows).repartition(4)).collect()
+    cut = {r["doc_id"]: r["n_removed"] for r in got if r["n_removed"]}
+    assert not [i for i in cut if i is not None and i < 120], cut
+    assert sorted(r["n_removed"] > 500 for r in got if r["doc_id"] is None) == [False, True, True]
+    assert cut[200] > 16_800 and cut[201] > 29_000
+    with pytest.raises(TypeError):
+        substrings.deduplicated(documents(*rows).selectExpr("string(doc_id) AS doc_id", "text"))
+
+
 def test_repeated_rows_are_one_document(spark, documents):
     d = documents((1, prose(1, 100)), (1, prose(1, 100)), (1, prose(2, 100)), (2, prose(2, 100)))
     got = sorted((r["doc_id"], r["n_removed"] > 0) for r in substrings.deduplicated(d).collect())
