@@ -18,6 +18,8 @@ from .components import components
 WORDS, LEAST, BANDS, ROWS = 5, 0.8, 16, 4
 #: Counters of a row of the sketch of the words' document frequencies, which has two rows.
 BUCKETS = 1 << 18
+#: Pieces in which tasks hand over their sketches.
+PIECES = 64
 #: Members of a block, where a bucket's members are compared with each other.
 BLOCK = 512
 _N = 4096
@@ -48,18 +50,28 @@ def word_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(2 * BUCKETS, np.int64)
+        some = 0
         for batch in batches:
             for part in sliced(batch, text, 2 << 20):
                 h, row = _word_table(part.column(text))
+                some += len(h)
                 for i, at in enumerate(_counters(h)):
                     once = np.unique(row * BUCKETS + at) % BUCKETS
                     n[i * BUCKETS : (i + 1) * BUCKETS] += np.bincount(once, minlength=BUCKETS)
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["bucket", "n"])
-
-    out = np.zeros(2 * BUCKETS, np.int64)
-    got = docs.select(text).mapInArrow(tidy(task), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2 * BUCKETS rows at most
-    out[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
+        if some:  # a piece is a row, so that rows don't follow the words
+            turn = int(n.view(np.uint64).sum() % np.uint64(64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(PIECES)), pa.array(np.full(PIECES, turn)), pa.array([x.tobytes() for x in n.reshape(PIECES, -1)], pa.binary())], ["piece", "turn", "counts"])
+
+    def added(group: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in group.column("counts").to_pylist())
+        return pa.table({"piece": group.column("piece")[:1], "turn": group.column("turn")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "piece long, turn long, counts binary"
+    # in two steps, so that no task adds up the pieces of all tasks
+    parts = docs.select(text).mapInArrow(tidy(task), kind).groupBy("piece", "turn").applyInArrow(added, kind).groupBy("piece").applyInArrow(added, kind)
+    out = np.zeros(2 * BUCKETS, np.int64).reshape(PIECES, -1)
+    for r in parts.collect():  # 2 * BUCKETS numbers in all
+        out[r["piece"]] = np.frombuffer(r["counts"], np.int64)
     return out.reshape(2, BUCKETS)
 
 
@@ -248,21 +260,23 @@ def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFra
     id), but no component of parts (node, component).
 
     In a bucket the members outside its largest component are dealt to blocks, and all members are; a block of the one
-    meets every block of the other in a group of its own, texts and all. A pair is compared in the first band that it
-    shares, by its samples first (those that agree in too few places, six deviations below `least`, a chance of about
-    1e-9, can't be similar), then exactly. Only edges that span the links leave a task, so neither a task's rows nor
-    those between tasks follow the pairs."""
+    meets every block of the other in a group of its own. A pair is compared in the first band that it shares, by its
+    samples first (those that agree in too few places, six deviations below `least`, a chance of about 1e-9, can't be
+    similar). Where two blocks have no more such pairs than members, the pairs go on, to be verified one by one; else the
+    blocks do, whose texts are compared exactly by products of matrices, and only edges that span their links leave the
+    task. So neither a task's rows nor those between tasks follow the pairs."""
     at = places.join(parts.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("part", F.coalesce("component", "id")).select("band", "bucket", "id", "part")
     sizes = at.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n")).filter("n > top.n")
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     mixed = mixed.select("bucket", F.col("top.part").alias("main"), blocks(F.col("n") - F.col("top.n")).alias("few"), blocks(F.col("n")).alias("all"))
-    own = at.join(mixed, "bucket").join(samples.select("id", "sign"), "id").join(docs, "id")
+    own = at.join(mixed, "bucket").join(samples.select("id", "sign"), "id")
     deal = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    columns = ["band", "bucket", "id", "part", (F.col("part") == F.col("main")).alias("big"), "sign", "text"]
+    columns = ["band", "bucket", "id", "part", (F.col("part") == F.col("main")).alias("big"), "sign"]
     right = own.select(*columns, F.lit(False).alias("left"), deal(F.col("all")).alias("j"), each(F.col("few")).alias("i"))
     left = own.filter("part != main").select(*columns, F.lit(True).alias("left"), deal(F.col("few")).alias("i"), each(F.col("all")).alias("j"))
+    members = stored(right.unionByName(left), "members")
     enough = least - 6 * math.sqrt(least * (1 - least) / (BANDS * ROWS))
 
     def sharing(x: pa.Table, y: pa.Table, band: int) -> np.ndarray:
@@ -284,27 +298,38 @@ def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFra
             out[own] = (agree >= enough * BANDS * ROWS) & ~before & (px[own, None] != py[None]) & (big[None] | (ix[own, None] < iy[None]))
         return out
 
-    def task(group: pa.Table) -> pa.Table:
+    def sides(group: pa.Table) -> tuple[pa.Table, pa.Table, np.ndarray]:
         group = group.combine_chunks()
         x, y = group.filter(group["left"]), group.filter(pc.invert(group["left"]))
+        return x, y, sharing(x, y, group["band"][0].as_py()) if len(x) and len(y) else np.zeros((len(x), len(y)), bool)
+
+    def picked(group: pa.Table) -> pa.Table:
+        """Pairs (bucket null), or a row of bucket, a block and a block."""
+        x, y, open_ = sides(group)
+        i, j = np.nonzero(open_)
+        if len(i) > len(x) + len(y):
+            return pa.table({"bucket": group["bucket"][:1], "a": group["i"][:1].cast(pa.int64()), "b": group["j"][:1].cast(pa.int64())})
+        a, b = x["id"].to_numpy()[i], y["id"].to_numpy()[j]
+        return pa.table({"bucket": pa.nulls(len(a), pa.int64()), "a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    def dense(group: pa.Table) -> pa.Table:
+        x, y, open_ = sides(group)
+        x, y, open_ = x.filter(pa.array(open_.any(axis=1))), y.filter(pa.array(open_.any(axis=0))), open_[np.ix_(open_.any(axis=1), open_.any(axis=0))]
         links = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        if len(x) and len(y):
-            open_ = sharing(x, y, group["band"][0].as_py())
-            x, y, open_ = x.filter(pa.array(open_.any(axis=1))), y.filter(pa.array(open_.any(axis=0))), open_[np.ix_(open_.any(axis=1), open_.any(axis=0))]
-            for m, own in _parts(x):
-                for n, other in _parts(y):
-                    few = open_[m : m + len(own), n : n + len(other)]
-                    i, j = np.nonzero(few)
-                    if len(i) > len(own) + len(other):
-                        i, j = np.nonzero(few & (similar(own.column("text"), other.column("text"), idf) >= least))
-                    elif len(i):
-                        ok = similarities(own.column("text").take(pa.array(i)), other.column("text").take(pa.array(j)), idf) >= least
-                        i, j = i[ok], j[ok]
+        for m, own in _parts(x):
+            for n, other in _parts(y):
+                few = open_[m : m + len(own), n : n + len(other)]
+                if few.any():
+                    i, j = np.nonzero(few & (similar(own.column("text"), other.column("text"), idf) >= least))
                     links.append((own.column("id").to_numpy()[i], other.column("id").to_numpy()[j]))
         a, b = _spanning(*(np.concatenate(z) for z in zip(*links, strict=True)))
         return pa.table({"a": a, "b": b})
 
-    return right.unionByName(left).groupBy("bucket", "i", "j").applyInArrow(task, "a long, b long")
+    found = stored(members.groupBy("bucket", "i", "j").applyInArrow(picked, "bucket long, a long, b long"), "picked")
+    pairs = _verified(found.filter("bucket IS NULL").select("a", "b").distinct(), docs, idf, least)
+    crowded = found.filter("bucket IS NOT NULL").select("bucket", F.col("a").cast("int").alias("i"), F.col("b").cast("int").alias("j"))
+    crowded = members.join(crowded, ["bucket", "i", "j"], "left_semi").join(docs, "id")
+    return pairs.union(crowded.groupBy("bucket", "i", "j").applyInArrow(dense, "a long, b long"))
 
 
 def _parts(rows: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -370,7 +395,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     parts = stored(components(hung(parts).union(second)), "parts", n)
 
-    third = stored(_rest(places, parts, samples, own, idf, least), "links", n)
+    third = stored(_rest(places, parts, samples, own, idf, least), "links")
     whole = parts if third.isEmpty() else components(hung(parts).union(third))
     out = copies.select("id", "rep").join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     return out.union(plain.filter("id IS NULL").select("id", F.lit(None).cast("long").alias("class_id")))
