@@ -244,7 +244,7 @@ class Transducer:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The words (as the pattern cuts them) that are most frequent over all texts. Counting is lossy (a task that has
+    """About the `most` words (as the pattern cuts them) that are most frequent over all texts. Counting is lossy (a task that has
     COUNTED_WORDS different ones forgets the rarest half), which no result depends on: the lexicon only saves merging."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,9 +260,16 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORD
             yield pa.RecordBatch.from_arrays([held, pa.array(count)], ["word", "n"])
 
     counted = docs.select(text).mapInArrow(tidy(task), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "word-counts")
+    # as many classes of counts, the largest first, as hold `most` words at most: no task sorts them all
+    rank, held, least = F.floor(F.log2("n") * 32).cast("int"), 0, None
+    for r in counted.groupBy(rank.alias("rank")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("rank").desc()).collect():  # 2048 rows at most
+        held += r["n"]
+        if held > most:
+            break
+        least = r["rank"]
     total: dict[str, int] = {}
-    # written first: collecting a limit directly would bring every partition's share of it to the driver
-    for r in stored(counted.orderBy(F.col("n").desc(), "word").limit(most), "frequent-words").collect():
+    for r in counted.filter(rank >= least).collect() if least is not None else []:
         for w in PATTERN.findall(" " + r["word"]):
             total[w] = total.get(w, 0) + r["n"]
     return sorted(total, key=lambda w: (-total[w], w))[:most]
