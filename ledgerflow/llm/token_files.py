@@ -8,6 +8,7 @@ per shard in document order, with its base, the prefix sum of the tokens of all
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import uuid
 import zlib
@@ -19,7 +20,7 @@ from pyarrow import compute as pc, fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_path, laid, sliced, table, tidy
+from .common import fresh_path, integral, laid, sliced, table, tidy
 
 #: Words whose ids a worker remembers at most.
 CACHE_WORDS = 400_000
@@ -28,35 +29,67 @@ LATIN = frozenset(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0
 #: The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTES = dict.fromkeys(range(256)) | {b: b for b in _PRINTABLE} | {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder | TextEncoder] = {}
+# What a tokenizer's file says of one that lower-cases and never looks across white space.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTER = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer encodes a text as its words between white space, one by one."""
+    with open(path) as f:
+        spec = json.load(f)
+    steps = (spec["normalizer"] or {}).get("normalizers") == _NORMALIZERS and (spec["pre_tokenizer"] or {}).get("pretokenizers") == [_SPLITTER, _BYTE_LEVEL]
+    model = spec["model"]
+    plain = spec["post_processor"] is None and model["type"] == "BPE" and not model.get("dropout") and not model.get("byte_fallback")
+    return steps and plain and not any(t["lstrip"] or t["rstrip"] or t["normalized"] or len(t["content"].split()) != 1 for t in spec["added_tokens"])
+
+
+class TextEncoder:
+    """Ids of whole texts by the tokenizers library, text by text: for any tokenizer."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _library(path)
+
+    def __call__(self, texts: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets (n + 1) and ids of the texts, each with end_id after it."""
+        more = [] if end_id is None else [end_id]
+        ids = [e.ids + more for e in self.tokenizer.encode_batch_fast(pc.fill_null(texts, "").to_pylist(), add_special_tokens=False)]
+        return np.concatenate([[0], np.cumsum(list(map(len, ids)), dtype=np.int64)]).astype(np.int64), np.fromiter(itertools.chain.from_iterable(ids), np.uint32)
+
+
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+def encoder_of(path: str) -> WordEncoder | TextEncoder:
+    """This worker's encoder; its words stay known from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = (WordEncoder if by_words(path) else TextEncoder)(path)
+    return _ENCODERS[path]
 
 
 class WordEncoder:
     """Ids of whole texts by the tokenizers library, which sees each distinct word of a slice once.
 
-    For tokenizers that lower case, drop white space and never look across it (word_bpe_49k: every normaliser and
+    For tokenizers that lower case, drop white space and never look across it (`by_words`: every normaliser and
     splitter step is bounded by ASCII white space), encoding a text is encoding its words. Words of Latin letters are one
     unit after lower-casing, which their composed form doesn't change, so they go straight to the library's model, and so
     does what stands before a last comma or full stop, which is a unit of its own; all others go through the library's
     whole chain."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = _library(path)
         self.model = self.tokenizer.model
         self.last = {c: self.tokenizer.encode(c, add_special_tokens=False).ids for c in ",."}
         self._forget()
 
-    @classmethod
-    def of(cls, path: str) -> WordEncoder:
-        """This worker's encoder; its words stay known from task to task."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
-
     def _forget(self) -> None:
         self.known, self.flat, self.off = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
@@ -113,15 +146,17 @@ def opened(where: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(where)
 
 
-def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int, end_id: int | None = 2, key: str = "doc_id", text: str = "text") -> list[dict]:
+def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int | None = None, end_id: int | None = 2, key: str = "doc_id", text: str = "text") -> list[dict]:
     """Encodes every text and writes the shards to the folder `where`, in ascending order of key (nulls first; documents
-    with one key by a hash of their texts). Returns the manifest.
+    with one key by a hash of their texts). Returns the manifest. Ids have 16 bits if all of the tokenizer's, end_id and
+    `vocabulary` (a larger one to come) fit, else 32.
 
     A null or empty text has no ids but the end id; repeated rows are documents of their own; an empty table gives an
     empty manifest. Each task writes files of its own names, and only those of tasks that succeeded are in the manifest,
     so lost executors and repeated tasks leave no wrong shard. The driver gets one line per shard."""
-    kind = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    most = max([*_library(tokenizer).get_vocab(with_added_tokens=True).values(), end_id or 0, (vocabulary or 0) - 1])
+    kind = np.uint16 if most < 1 << 16 else np.uint32
+    rows = docs.select(integral(docs, key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = [F.col("key").asc_nulls_first(), F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
@@ -131,7 +166,7 @@ def write(docs: DataFrame, tokenizer: str, where: str, vocabulary: int, end_id:
         there, folder = opened(where)
         there.create_dir(folder, recursive=True)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encode, n, tokens, nulls = WordEncoder.of(tokenizer), 0, 0, 0
+        encode, n, tokens, nulls = encoder_of(tokenizer), 0, 0, 0
         with there.open_output_stream(f"{folder}/{name}.ids") as ids, there.open_output_stream(f"{folder}/{name}.off") as off, there.open_output_stream(f"{folder}/{name}.doc") as doc:
             for batch in batches:
                 for part in sliced(batch, "text", 10 << 20):
@@ -199,5 +234,5 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     where = fresh_path(spark, "token-files")
-    manifest = write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), where, vocabulary=49_408)
+    manifest = write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), where)
     return read(spark, where, manifest).withColumnRenamed("key", "doc_id")

@@ -69,7 +69,8 @@ def fit_cascades(universe: DataFrame, lists: dict[str, set[str]], most_levels: i
 
     The first level's false-positive rate is (listed keys) / (keys of the universe, estimated), so its false positives
     are about as many as the listed keys however large the corpus is: what reaches the driver grows with the lists, not
-    with the corpus. One pass over the universe finds them; the later levels come from these two sets alone."""
+    with the corpus. One pass over the universe finds what passes it, listed keys and others; tasks get the Bloom filters,
+    not the lists. The later levels come from these two sets alone."""
     key = universe.columns[0]
     universe = universe.filter(F.col(key).isNotNull())
     n = universe.agg(F.approx_count_distinct(key)).first()[0]
@@ -79,12 +80,13 @@ def fit_cascades(universe: DataFrame, lists: dict[str, set[str]], most_levels: i
         for batch in batches:
             keys = pa.compute.unique(batch.column(0)).to_pylist()
             for name, bloom in first.items():
-                wrong = [k for k, ok in zip(keys, bloom.has(keys), strict=True) if ok and k not in lists[name]]
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(wrong), pa.string()), pa.array(wrong, pa.string())], ["list", "key"])
+                passed = [k for k, ok in zip(keys, bloom.has(keys), strict=True) if ok]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(passed), pa.string()), pa.array(passed, pa.string())], ["list", "key"])
 
     wrong = {name: [] for name in lists}
     for name, k in universe.mapInArrow(tidy(passing), "list string, key string").distinct().collect():
-        wrong[name].append(k)
+        if k not in lists[name]:
+            wrong[name].append(k)
     out = {}
     for name, listed in lists.items():
         levels, inside, outside = [first[name]], sorted(listed), sorted(wrong[name])

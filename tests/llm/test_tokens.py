@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from ledgerflow.llm import bpe, token_files
 from ledgerflow.llm.common import fresh_path
+from ledgerflow.llm.registry import QUERIES
 from tests.llm.words import prose
 
 POOL = ["<|endoftext|>", " ", "\n", "\t", "  ", "'s", "don't", "İ", "ǅ", "é", "e\u0301", "你好", "😀", "\xa0", "\x1c", "\0", "0", "123", "!!!", "a", "The", " the", "zzzqqq", "\u200b", "ß", "A.", "b,", "Ω", "<|startoftext|>"]
@@ -51,6 +52,28 @@ def test_token_files(spark, documents, clashing):
     assert np.array_equal(np.cumsum([0] + [s["n_tokens"] for s in manifest])[:-1], [s["base"] for s in manifest])
 
 
+def test_token_files_of_any_tokenizer(spark, documents):
+    """A tokenizer that looks across white space gets whole texts."""
+    where, path = fresh_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json")
+    assert token_files.by_words(public_tokenizers.path("word_bpe_49k.json")) and not token_files.by_words(path)
+    manifest = token_files.write(documents(*enumerate(TEXTS)).repartition(3), path, where, end_id=50_256)
+    got = {r["key"]: (r["n_tokens"], r["ids_crc32"]) for r in token_files.read(spark, where, manifest).collect()}
+    assert got == {i: (len(x) + 1, zlib.crc32(raw([*x, 50_256]))) for i, x in enumerate(library("byte_bpe_50k.json", TEXTS))}
+    with pytest.raises(TypeError):
+        token_files.write(documents((1, "a")).selectExpr("string(doc_id) AS doc_id", "text"), path, where)
+
+
+def test_token_query_by_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    got, start = {r["doc_id"]: r for r in QUERIES["op1_token_files"](spark, sf).collect()}, 0
+    assert len(got) == len(docs)
+    for (i, _), ids in zip(docs, library("word_bpe_49k.json", [t for _, t in docs]), strict=True):
+        ids = [*ids, 2]
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(raw(ids)))
+        start += len(ids)
+
+
 def test_token_files_wide_and_empty(spark, documents):
     where = fresh_path(spark, "tokens")
     path = public_tokenizers.path("word_bpe_49k.json")
