@@ -63,7 +63,23 @@ def stored(df: DataFrame, name: str, rows: int | None = None, codec: str | None
     out = df if rows is None else df.coalesce(rows // NARROW + 1)
     writer = out.write.option("compression", codec) if codec else out.write
     writer.parquet(path := fresh_path(spark, name))
-    return spark.read.schema(df.schema).parquet(path)
+    table_ = spark.read.schema(df.schema).parquet(path)
+    table_._stored_at = path
+    return table_
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing needs any more."""
+    for df in tables:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Deletes all that the operators have left in the shared folder, of all sessions that share it; no result that still
+    reads from there can be used afterwards."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/ledgerflow")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").select(F.col("lo").alias("x"), "m").union(least.select("hi", "m"))
-        links = stored(small.filter("x != m").select(F.col("x").alias("hi"), F.col("m").alias("lo")).distinct(), "links", 2 * n)
+        before, links = links, stored(small.filter("x != m").select(F.col("x").alias("hi"), F.col("m").alias("lo")).distinct(), "links", 2 * n)
+        discard(before, large)
     else:
         raise RuntimeError("components didn't settle")
     tops = links.select(F.col("lo").alias("node")).distinct()

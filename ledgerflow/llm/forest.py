@@ -11,7 +11,7 @@ from pyarrow import compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import integral, stored, table, tidy
+from .common import discard, integral, stored, table, tidy
 from .components import components
 
 #: Vectors that the splits are fitted on, at most; a leaf's aim; rows of a side of a comparison, at most.
@@ -204,6 +204,7 @@ def _linked(classes: DataFrame, size: int, least: float, trees: int, seed: int,
         return pa.table({"a": pa.array(np.concatenate([who[own], u[apart]]), pa.int64()), "b": pa.array(np.concatenate([np.zeros(own.sum(), np.int64), v[apart]]), pa.int64(), mask=np.concatenate([np.ones(own.sum(), bool), np.zeros(apart.sum(), bool)])), "n": pa.array(np.concatenate([links[own], np.zeros(apart.sum(), np.int64)]).astype(np.int64))})
 
     told = stored(each.groupBy("leaf", "i", "j").applyInArrow(compare, "a long, b long, n long"), "leaf-links")
+    discard(places)
     return told.filter("b IS NULL").select(F.col("a").alias("id"), "n"), told.filter("b IS NOT NULL").select("a", "b")
 
 

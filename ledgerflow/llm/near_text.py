@@ -11,7 +11,7 @@ from pyarrow import compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import integral, mix64, sliced, stored, table, tidy, utf8_bytes, word_hashes, words
+from .common import discard, integral, mix64, sliced, stored, table, tidy, utf8_bytes, word_hashes, words
 from .components import components
 
 #: Words of a shingle; least weighted Jaccard similarity; bands and rows of a band.
@@ -374,9 +374,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     bucket = F.xxhash64("band", "value")
     places = each.select("band", bucket.alias("bucket"), "id")
     full = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    places = stored(places.join(full, "bucket"), "buckets", BANDS * n)
-    centre = places.groupBy("id").agg(F.sum("n").alias("centre"))
-    places = stored(places.select("band", "bucket", "id").join(centre, "id"), "places", BANDS * n)
+    buckets = stored(places.join(full, "bucket"), "buckets", BANDS * n)
+    centre = stored(buckets.groupBy("id").agg(F.sum("n").alias("centre")), "centres", n)
+    places = stored(buckets.select("band", "bucket", "id").join(centre, "id"), "places", BANDS * n)
+    discard(buckets)
     several = copies.groupBy("id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     several = copies.join(several, "id").filter("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
     first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least).union(several), "links")
@@ -393,9 +394,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs")
     second = _verified(more, own, idf, least)
     hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    parts = stored(components(hung(parts).union(second)), "parts", n)
+    earlier, parts = parts, stored(components(hung(parts).union(second)), "parts", n)
+    discard(first, more, earlier, centre)
 
     third = stored(_rest(places, parts, samples, own, idf, least), "links")
+    discard(places, samples)
     whole = parts if third.isEmpty() else components(hung(parts).union(third))
     out = copies.select("id", "rep").join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     return out.union(plain.filter("id IS NULL").select("id", F.lit(None).cast("long").alias("class_id")))
