@@ -22,6 +22,8 @@ STRETCH, SHARD = 6, 1_000_000
 COMMON, SHARE = 3, 0.5
 #: A block within articles is boilerplate if so many different articles of a host, and this share of them, have it.
 ARTICLES, NEARLY_ALL = 5, 0.9
+#: So many numbers of pages and blocks may be broadcast.
+FEW = 100_000
 #: Tokens of running text: of a block, and of a text that outweighs what is left of a page.
 RUNNING, LONG_TEXT = 10, 25
 
@@ -364,8 +366,9 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
     articles = names.select("host", "article").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("articles"))
     common = names.select("host", "article", "block").distinct().groupBy("host", "block").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= ARTICLES)
     common = common.join(articles, "host").filter(F.col("n") >= F.col("articles") * NEARLY_ALL).select("host", "block")
-    gone = names.select("host", "row", "block").distinct().join(common, ["host", "block"]).groupBy("row").agg(F.collect_list("block").alias("gone"))
-    settled = settled.join(gone, "row", "left")
+    gone = stored(names.select("host", "row", "block").distinct().join(common, ["host", "block"]).groupBy("row").agg(F.collect_list("block").alias("gone")), "common-blocks")
+    # few pages mostly: then they go to the others' tasks, which need no shuffle
+    settled = settled.join(F.broadcast(gone) if (gone.agg(F.sum(F.size("gone") + 1)).first()[0] or 0) <= FEW else gone, "row", "left")
     whole = F.array_join("own", "\n\n")
     rest = F.array_join(F.filter("own", lambda x: ~F.array_contains("gone", F.xxhash64(x))), "\n\n")
     settled = settled.select("key", "url", F.when(F.col("gone").isNull() | (F.length(rest) * 2 < F.length(whole)), whole).otherwise(rest).alias("text"))
