@@ -60,7 +60,7 @@ def stored(df: DataFrame, name: str, rows: int | None = None, codec: str | None
     keeps it to few files (every file is some calls to the file system, whatever it holds). codec: where whole texts are
     stored, gzip makes them smaller than the default does."""
     spark = df.sparkSession
-    out = df if rows is None else df.coalesce(rows // NARROW + 1)
+    out = df if rows is None else df.repartition(rows // NARROW + 1)
     writer = out.write.option("compression", codec) if codec else out.write
     writer.parquet(path := fresh_path(spark, name))
     table_ = spark.read.schema(df.schema).parquet(path)

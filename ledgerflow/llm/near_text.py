@@ -255,7 +255,7 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[apart], nodes[top[apart]]
 
 
-def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFrame, idf: np.ndarray, least: float, n: int) -> DataFrame:
     """Links (a, b) that connect all texts of a similarity of `least` or more that share a bucket of places (band, bucket,
     id), but no component of parts (node, component).
 
@@ -325,7 +325,7 @@ def _rest(places: DataFrame, parts: DataFrame, samples: DataFrame, docs: DataFra
         a, b = _spanning(*(np.concatenate(z) for z in zip(*links, strict=True)))
         return pa.table({"a": a, "b": b})
 
-    found = stored(members.groupBy("bucket", "i", "j").applyInArrow(picked, "bucket long, a long, b long"), "picked")
+    found = stored(members.groupBy("bucket", "i", "j").applyInArrow(picked, "bucket long, a long, b long"), "picked", n)
     pairs = _verified(found.filter("bucket IS NULL").select("a", "b").distinct(), docs, idf, least)
     crowded = found.filter("bucket IS NOT NULL").select("bucket", F.col("a").cast("int").alias("i"), F.col("b").cast("int").alias("j"))
     crowded = members.join(crowded, ["bucket", "i", "j"], "left_semi").join(docs, "id")
@@ -380,7 +380,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     discard(buckets)
     several = copies.groupBy("id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     several = copies.join(several, "id").filter("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least).union(several), "links")
+    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least).union(several), "links", n)
     parts = stored(components(first), "parts", n)
 
     near = samples.join(centre, "id").select("id", "centre", "bands")
@@ -391,13 +391,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     at = parts.select("node", "component")
     more = more.join(at.select(F.col("node").alias("a"), F.col("component").alias("part_a")), "a", "left").join(at.select(F.col("node").alias("b"), F.col("component").alias("part_b")), "b", "left")
     more = more.filter(~F.coalesce(F.col("part_a") == F.col("part_b"), F.lit(False))).select("a", "b")
-    more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs")
+    more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs", n)
     second = _verified(more, own, idf, least)
     hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     earlier, parts = parts, stored(components(hung(parts).union(second)), "parts", n)
     discard(first, more, earlier, centre)
 
-    third = stored(_rest(places, parts, samples, own, idf, least), "links")
+    third = stored(_rest(places, parts, samples, own, idf, least, n), "links", n)
     discard(places, samples)
     whole = parts if third.isEmpty() else components(hung(parts).union(third))
     out = copies.select("id", "rep").join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))

@@ -18,7 +18,9 @@ from .ann import kmeans, nearest as closest
 from .common import laid, quoted, sliced, table, tidy
 
 #: Labelled rows that a model is fitted on, at most; examples of a block; neighbours that vote.
-EXAMPLES, BLOCK, NEIGHBOURS, TEXTS = 8192, 32, 50, 256
+EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
+#: Texts that are searched for together, and postings of rare terms that they may have in all, at most.
+TEXTS, POSTINGS = 256, 2_500_000
 #: Examples that the calibration scores, each without itself, at most.
 CALIBRATED = 2048
 #: How many examples, shared out by the labels' shares, a term is taken to have been in besides those it is in.
@@ -40,7 +42,7 @@ def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     token = lists.flatten().dictionary_encode()
     names = token.dictionary.to_pylist()
-    if len(numbers) > 400_000:
+    if len(numbers) > 150_000:
         numbers.clear()
     own = []
     for w in names:
@@ -165,21 +167,21 @@ class Index:
         which = np.zeros((n, blocks), bool)
         np.put_along_axis(which, np.argpartition(-bound, some - 1, axis=1)[:, :some], True, 1)
         open_(which)
-        seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -1.0)
-        best = -np.partition(-seen, k - 1, axis=1)[:, k - 1]
+        best = -np.partition(np.where(np.repeat(opened, BLOCK, axis=1), -score, 1.0), k - 1, axis=1)[:, k - 1]
         open_((bound > np.maximum(best, 0)[:, None] * (1 - 1e-12)) & ~opened)
-        seen = np.where(np.repeat(opened, BLOCK, axis=1), score, -1.0)
-        top = np.argpartition(-seen, k - 1, axis=1)[:, :k]
-        near = np.maximum(np.take_along_axis(seen, top, 1), 0)
+        np.negative(score, out=score)
+        score.reshape(n, blocks, BLOCK)[~opened] = 1
+        top = np.argpartition(score, k - 1, axis=1)[:, :k]
+        near = np.maximum(-np.take_along_axis(score, top, 1), 0)
         order = np.lexsort((top, -np.round(near, 12)), axis=1)
         return np.take_along_axis(top, order, 1), np.take_along_axis(near, order, 1)
 
     def searched(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """nearest for any number of texts, some at a time: 256, and less where their postings are long."""
+        """nearest for any number of texts, some at a time."""
         cost = np.cumsum(np.bincount(row, self.at[term + 1] - self.at[term], n)) if n else np.zeros(0)
         out, a = [], 0
         while a < n:
-            z = min(a + TEXTS, max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + 4_000_000, side="right"))))
+            z = min(a + TEXTS, max(a + 1, int(np.searchsorted(cost, (cost[a - 1] if a else 0) + POSTINGS, side="right"))))
             lo, hi = np.searchsorted(row, (a, z))
             out.append(self.nearest(row[lo:hi] - a, term[lo:hi], count[lo:hi], z - a, but=None if but is None else but[a:z]))
             a = z
