@@ -15,6 +15,7 @@ DEFAULTS: dict = {
     "files_per_batch": None,
     "history_path": None,
     "current_path": None,
+    "letters_path": None,
     "checkpoint": None,
     "buckets": None,
 }

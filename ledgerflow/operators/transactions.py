@@ -61,12 +61,15 @@ def pending(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, **option
     return transactions(events, entities, **options).filter("NOT complete").withColumn("progress", F.concat_ws(", ", *lines))
 
 
-def denormalised(changes: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False) -> DataFrame:
+def denormalised(changes: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False, spread: bool = False) -> DataFrame:
     """One row per transaction and order from rows with xid, csn, entity, pos, before, after: an array for each entity,
-    empty where the transaction has none, in the order of pos. Events without an after image (deletes) make no row."""
+    empty where the transaction has none, in the order of pos. Events without an after image (deletes) make no row.
+    spread: rows are dealt by transaction and order, however they lie (else Spark leaves them dealt by transaction where a
+    join has done that)."""
     root = entities[0].fields[0]
     number = F.element_at("after", root.wire).try_cast(root.exact if exact else root.type)
     rows = changes.filter(F.col("after").isNotNull() & F.col("entity").isin([e.table for e in entities])).withColumn(root.name, number)
+    rows = rows.repartition(*KEY, root.name) if spread else rows
     lists = []
     for e in entities:
         own = F.when(F.col("entity") == e.table, F.struct("pos", row_of(e, F.col("before"), F.col("after"), exact).alias("row")))
@@ -76,15 +79,15 @@ def denormalised(changes: DataFrame, entities: tuple[Entity, ...] = ENTITIES, pr
     return grouped.select(*KEY, "dwhProcessedTs", root.name, *(e.array for e in entities))
 
 
-def history(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False, spread: bool = False, **options) -> DataFrame:
-    """Denormalised rows of all complete transactions: one shuffle, by (xid, csn).
+def history(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processed: Column | None = None, exact: bool = False, spread: bool = True, **options) -> DataFrame:
+    """Denormalised rows of all complete transactions.
 
-    spread: for feeds with bulk transactions, of which one may hold a large part of all events. Transactions are counted
-    by an aggregate, events join the complete ones (a join whose large keys Spark can split) and are dealt by order, so
-    no task holds a whole transaction; that takes three shuffles."""
+    Transactions are counted by an aggregate, events join the complete ones (a join whose large keys Spark can split) and
+    are dealt by order, so no task holds a whole transaction, of which one may be a large part of all events. Where none
+    is, spread=False does it by one shuffle and a window over (xid, csn), with the same result."""
     if not spread:
         return denormalised(with_progress(events, entities, **options).filter("complete"), entities, processed, exact)
     done = transactions(events, entities, **options).filter("complete").select(*KEY, "tx_ts")
     events = _distinct_events(events) if options.get("dedup") else events
     changes = with_transaction(events).filter("event_type <> 'METADATA'").withColumn("entity", normalised(F.col("table")))
-    return denormalised(changes.join(done, list(KEY)), entities, processed, exact)
+    return denormalised(changes.join(done, list(KEY)), entities, processed, exact, spread=True)

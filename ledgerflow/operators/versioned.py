@@ -13,15 +13,15 @@ COLUMNS = [f.name for f in current_type()]
 
 
 def flattened(rows: DataFrame) -> DataFrame:
-    """A history row as one of the current state: its newest order and detail, its items as they are. The order is bound
-    once, so that its fields don't repeat the search."""
-    bound = rows.select(*STAMPS, "orderId", first_newest(F.col("orders"), "orderId").alias("_order"), first_newest(F.col("orderDetails"), "orderId").alias("orderDetails"), "lineItems")
+    """A history row as one of the current state: its newest order and detail, the newest of its items (an item without a
+    version is none). The order is bound once, so that its fields don't repeat the search."""
+    bound = rows.select(*STAMPS, "orderId", first_newest(F.col("orders"), "orderId").alias("_order"), first_newest(F.col("orderDetails"), "orderId").alias("orderDetails"), newest(F.col("lineItems"), ITEM.key).alias("lineItems"))
     return bound.select(*STAMPS, "orderId", *(F.col("_order")[c].alias(c) for c in FIELDS), F.col("_order.before").alias("orderBefore"), "orderDetails", "lineItems")
 
 
 def combined(rows: DataFrame, dedupe_ties: bool = False) -> DataFrame:
     """One row per order of a batch of history rows: the order row of the greatest version (then the latest), the detail
-    of the greatest version, and the newest of all line items. One aggregate and one shuffle, by orderId; rows without an
+    of the greatest version, and the newest of all rows' newest line items. One aggregate and one shuffle, by orderId; rows without an
     orderId have no place in the current state and are left out."""
     flat = flattened(rows).filter(F.col("orderId").isNotNull())
     head = [*STAMPS, *FIELDS, "orderBefore"]
@@ -41,16 +41,17 @@ def bootstrapped(batch: DataFrame, guard: bool = True) -> DataFrame:
     return batch.filter(F.col("version").isNotNull()) if guard else batch
 
 
-def upserted(target: DataFrame, batch: DataFrame, null_version: float | None = None) -> DataFrame:
+def upserted(target: DataFrame, batch: DataFrame, null_version: float | None = None, guard: bool = True) -> DataFrame:
     """The target with a combined batch merged in, by one full outer join on orderId.
 
     Matched: an order of greater version replaces the order's fields; children merge by their own versions either way,
-    and the stamps are always the batch's. Not matched: batch rows with an order version are added, others are not.
-    Target rows without a match stay as they are."""
+    and the stamps are always the batch's. Not matched: batch rows with an order version are added, others are not;
+    guard=False adds them too: an order whose children come first is parked in the table, without a version, until its own
+    row comes, so the state doesn't depend on how transactions are cut to batches. Target rows without a match stay."""
     t = target.select(F.struct(*COLUMNS).alias("t"), F.col("orderId").alias("t_id"))
     s = batch.select(F.struct(*COLUMNS).alias("s"), F.col("orderId").alias("s_id"))
     both = t.join(s, F.col("t_id") == F.col("s_id"), "full_outer")
-    both = both.filter(F.col("t").isNotNull() | F.col("s.version").isNotNull())
+    both = both.filter(F.col("t").isNotNull() | F.col("s.version").isNotNull()) if guard else both
     take = F.col("t").isNull() | newer(F.col("s.version"), F.col("t.version"))
     there, came = F.col("t").isNotNull(), F.col("s").isNotNull()
     out = {c: F.when(came, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in STAMPS}
@@ -65,7 +66,7 @@ def folded(batches: list[DataFrame], guard: bool = True) -> DataFrame:
     """The current state after batches of history rows in turn."""
     state = bootstrapped(combined(batches[0]), guard)
     for b in batches[1:]:
-        state = upserted(state, combined(b))
+        state = upserted(state, combined(b), guard=guard)
     return state
 
 

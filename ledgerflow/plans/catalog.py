@@ -8,16 +8,16 @@ from ..functions.specs import current_type, history_type
 
 VIEWS = {
     "order_stream_current": """
-        SELECT xid, csn, dwhProcessedTs, orderId, o.orderRef, o.version, o.orderDate, o.orderStatus, o.orderType, o.totalAmount, o.currency, o.customerId,
+        SELECT orderId, xid, csn, dwhProcessedTs, o.orderRef, o.orderStatus, o.totalAmount, o.currency, o.orderDate, o.version AS orderVersion,
             size(orderDetails) AS detail_count, size(lineItems) AS line_item_count
         FROM (SELECT *, get(orders, 0) AS o FROM {order_stream})""",
     "order_stream_changes": """
-        SELECT xid, csn, orderId, CASE WHEN o.before IS NOT NULL THEN 'UPDATED' ELSE 'INSERTED' END AS change_type, o.before.orderStatus AS old_status,
-            o.orderStatus AS new_status, o.before.totalAmount AS old_amount, o.totalAmount AS new_amount, o.before.version AS old_version, o.version AS new_version
+        SELECT orderId, xid, csn, dwhProcessedTs, o.orderRef, o.orderStatus, o.totalAmount, o.version AS orderVersion, o.before.totalAmount AS previous_total_amount,
+            o.before.orderStatus AS previous_status, o.before.version AS previous_version, CASE WHEN o.before IS NOT NULL THEN 'UPDATED' ELSE 'INSERTED' END AS change_type
         FROM {order_stream} LATERAL VIEW explode(orders) AS o WHERE o.before IS NOT NULL""",
     "orders_current_view": """
-        SELECT orderId, orderRef, version, orderDate, orderStatus, orderType, totalAmount, currency, customerId, orderDetails.carrier AS carrier,
-            orderDetails.deliveryStatus AS delivery_status, orderDetails.version AS detail_version, CAST(size(lineItems) AS DOUBLE) AS line_item_count
+        SELECT orderId, orderRef, orderStatus, totalAmount, currency, orderDate, version AS orderVersion, dwhProcessedTs, orderDetails.shippingMethod, orderDetails.carrier,
+            orderDetails.deliveryStatus, size(lineItems) AS line_item_count
         FROM {orders_current}""",
 }
 

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.parsing import parse_events, parse_metadata, unified
 from ..functions.specs import current_type, history_type
 from ..operators.transactions import history
-from ..operators.versioned import bootstrapped, combined, upserted
 from ..session import shared_dir
 from ..sources.derived import raw_feeds
 from ..sources.store import Table
+from ..streaming.pipelines import merge_batch
 
 FEEDS = ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS", "METADATA")
 _built: dict[tuple, object] = {}
@@ -47,7 +47,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_table(spark: SparkSession, sf_dir: str) -> Table:
     def make(path: str) -> Table:
         rows = history(events(spark, sf_dir), processed=F.col("tx_ts"))
-        table = Table(spark, path).create(history_type())
+        table = Table(spark, path)
         wave = F.substring_index("xid", ".", -1).cast("int")
         rows = rows.withColumn("wave", wave).persist()
         for w in range(1, 1 + (rows.agg(F.max("wave")).first()[0] or 0)):  # a commit for each wave
@@ -64,12 +64,8 @@ def current_table(spark: SparkSession, sf_dir: str) -> Table:
     def make(path: str) -> Table:
         source, table = history_table(spark, sf_dir), Table(spark, path).create(current_type())
         for v in source.versions():
-            before = source.commit_at(v - 1).folders if v else []
-            new = [f for f in source.commit_at(v).folders if f not in before]
-            if not new:
-                continue
-            batch = combined(spark.read.schema(history_type()).parquet(*map(source._at, new)))
-            table.merge(upserted(table.read(), batch) if table.commit_at().folders else bootstrapped(batch), batch_id=v)
+            new = source.commit_at(v).added
+            merge_batch(table, spark.read.schema(history_type()).parquet(*map(source._at, new)), v)
         return table
 
     return once(spark, sf_dir, "current", make)

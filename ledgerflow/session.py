@@ -25,9 +25,11 @@ def get_session(config: dict | None = None) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where the session has none."""
+    """spark.checkpoint.dir; a temporary folder only where the session has none and runs on one machine."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_ledgerflow_tables", None)
     if not where:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir isn't set: driver and executors share no folder")
         where = sc._ledgerflow_tables = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
     return where.rstrip("/")

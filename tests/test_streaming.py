@@ -34,12 +34,12 @@ def test_pipelines_restart_and_agree_with_batch(spark, tmp_path):
     put(at[DETAIL], 1, event("x1", DETAIL, "2", ORDER_ID=1, VERSION=1))
     put(at[ITEM], 1, event("x1", ITEM, "4", LINE_ITEM_ID=12, ORDER_ID=1, VERSION=1), "no json")
     put(at["METADATA"], 1, meta("x1", orders=1, details=1, items=2), meta("x9", orders=1))
-    table, current = Table(spark, f"file://{tmp_path}/history"), Table(spark, f"file://{tmp_path}/current")
+    table, current, letters = (Table(spark, f"file://{tmp_path}/{n}") for n in ("history", "current", "letters"))
 
     def run():
         sources = feeds(spark, {"feeds": at, "files_per_batch": 1})
-        history_pipeline(spark, sources, table, f"{tmp_path}/c1", once=True, processed=F.col("tx_ts")).awaitTermination()
-        current_pipeline(spark, table, current, f"{tmp_path}/c2", once=True, files_per_batch=1).awaitTermination()
+        history_pipeline(spark, sources, table, f"{tmp_path}/c1", once=True, processed=F.col("tx_ts"), letters=letters).awaitTermination()
+        current_pipeline(spark, table, current, f"{tmp_path}/c2", once=True, commits_per_batch=1).awaitTermination()
 
     run()
     assert table.read().count() == 0  # x1 lacks an item, x2 its metadata
@@ -49,6 +49,7 @@ def test_pipelines_restart_and_agree_with_batch(spark, tmp_path):
     put(at["METADATA"], 3, meta("x3", orders=1))
     run()  # from the checkpoint: what was buffered is still there
     run()  # nothing new
+    assert [(r["kind"], r["xid"], r["events"]) for r in letters.read().collect()] == [("UNREADABLE", None, ["no json"])]
     rows = {(r["xid"], r["orderId"]): r for r in table.read().collect()}
     assert set(rows) == {("x1", 1.0), ("x2", 2.0), ("x3", 1.0)}
     assert [i["lineItemId"] for i in rows["x1", 1.0]["lineItems"]] == [11.0, 12.0] and rows["x1", 1.0]["dwhProcessedTs"] == "tsx1"
@@ -105,3 +106,74 @@ def test_dedup_and_before_complete(spark, tmp_path):
         df = buffered(unified([parse_events(src[ORDER], ORDER)], parse_metadata(src["METADATA"])), dedup=dedup)
         df.writeStream.foreachBatch(lambda b, _, got=got: got.update(r["xid"] for r in b.collect())).option("checkpointLocation", f"{tmp_path}/c{dedup}").trigger(availableNow=True).start().awaitTermination()
     assert out == {False: {"x1", "x2"}, True: {"x2"}}
+
+
+def test_expired_transactions_are_kept_aside(spark, tmp_path):
+    """The pipeline writes them to the table of letters, with their events, and nothing of them to the history."""
+    import time
+
+    at = {n: f"{tmp_path}/{n}" for n in (ORDER, "METADATA")}
+    put(at[ORDER], 1, event("x1", ORDER, "1", ORDER_ID=1), event("x2", ORDER, "1", ORDER_ID=2))
+    put(at["METADATA"], 1, meta("x1", orders=1), meta("x2", orders=2))
+    table, letters = Table(spark, f"file://{tmp_path}/history"), Table(spark, f"file://{tmp_path}/letters")
+    query = history_pipeline(spark, {n: json_lines(spark, p) for n, p in at.items()}, table, f"{tmp_path}/c", interval="100 milliseconds", expire_ms=1, letters=letters)
+    try:
+        until, n = time.time() + 90, 0
+        while not letters.read().count() and time.time() < until and query.isActive:
+            n += 1
+            put(at[ORDER], 1 + n, event(f"y{n}", ORDER, "1"))  # timers need input
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    lost = [r for r in letters.read().collect() if r["xid"] == "x2"]
+    assert len(lost) == 1 and lost[0]["kind"] == "EXPIRED" and len(lost[0]["events"]) == 1 and "ORDER_ID" in lost[0]["events"][0]
+    assert {r["xid"] for r in table.read().collect()} == {"x1"}
+
+
+def test_a_transaction_over_many_batches(spark, tmp_path):
+    """Counters in the state: events that come one by one, the metadata in the middle, are emitted once and whole."""
+    at = {n: f"{tmp_path}/{n}" for n in (ORDER, ITEM, "METADATA")}
+    put(at[ORDER], 1, event("x1", ORDER, "1", ORDER_ID=1, VERSION=1))
+    for i in range(6):
+        put(at[ITEM], 1 + i, event("x1", ITEM, f"{2 + i}", LINE_ITEM_ID=i, ORDER_ID=1 + i % 2, VERSION=1))
+    put(at["METADATA"], 1, "{}")
+    put(at["METADATA"], 2, "{}")
+    put(at["METADATA"], 3, meta("x1", orders=1, items=6))
+    table = Table(spark, f"file://{tmp_path}/history")
+    history_pipeline(spark, feeds(spark, {"feeds": at, "files_per_batch": 1}), table, f"{tmp_path}/c", once=True).awaitTermination()
+    got = {r["orderId"]: (len(r["orders"]), [i["lineItemId"] for i in r["lineItems"]]) for r in table.read().collect()}
+    assert got == {1.0: (1, [0.0, 2.0, 4.0]), 2.0: (0, [1.0, 3.0, 5.0])}
+
+
+def test_kafka_options(spark):
+    """What the reader is told; the connector itself isn't here."""
+    from ledgerflow.sources import feeds as module
+
+    class Reader:
+        def __init__(self):
+            self.told = {}
+
+        def format(self, name):
+            self.told["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.told[key] = value
+            return self
+
+        def options(self, **more):
+            self.told |= more
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(bytearray(b"{}"),)], "value binary")
+
+    class Session:
+        readStream = Reader()  # noqa: N815  the interface's name
+
+    out = module.kafka(Session, "h:1,h:2", "topic", starting="latest", fail_on_data_loss=True, maxOffsetsPerTrigger="100")
+    assert Session.readStream.told == {"format": "kafka", "kafka.bootstrap.servers": "h:1,h:2", "subscribe": "topic", "startingOffsets": "latest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "100"}
+    assert [r["value"] for r in out.collect()] == ["{}"]
+    Session.readStream = Reader()
+    found = module.feeds(Session, {"servers": "h:1", "feeds": {"A": "t.a", "B": "t.b"}})
+    assert set(found) == {"A", "B"} and Session.readStream.told["failOnDataLoss"] == "false" and Session.readStream.told["startingOffsets"] == "earliest"

@@ -1,4 +1,5 @@
 import json
+import re
 
 from ledgerflow.functions.parsing import parse_events, parse_metadata, unified
 from ledgerflow.operators.transactions import history, pending, transactions
@@ -46,8 +47,11 @@ def test_pending(spark):
     assert p == {"b": "orders: 1/1, orderDetails: 0/1, lineItems: 0/0", "c": "orders: 1/?, orderDetails: 0/?, lineItems: 0/?"}
 
 
-def test_one_shuffle(spark):
+def test_shuffles(spark):
+    """By transaction alone, or so that a bulk transaction's rows are dealt by order."""
     plan = history(feed(spark, EVENTS, METAS))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(xid#\d+, csn#\d+, orderId#\d+", plan)
+    plan = history(feed(spark, EVENTS, METAS), spread=False)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(") == 1
 
 
@@ -60,7 +64,7 @@ def test_spread_history_is_the_same(spark):
 
     text = lambda df: sorted(r[0] for r in df.select(F.to_json(F.struct(*df.columns))).collect())
     for options in ({}, {"dedup": True}, {"count_deletes": False}):
-        a = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), **options)
+        a = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), spread=False, **options)
         b = history(feed(spark, EVENTS, METAS), processed=F.col("tx_ts"), spread=True, **options)
         assert text(a) == text(b)
 

@@ -90,3 +90,21 @@ def test_any_split_of_versions_ends_alike(spark):
     whole = state(folded([rows(spark, *data)]))
     cut = 11 + len(later) // 2
     assert state(folded([rows(spark, *data[:11]), rows(spark, *data[11:cut]), rows(spark, *data[cut:])])) == whole
+
+
+def test_a_null_version_hides_no_other_row(spark):
+    """Items are chosen within each row first, then over the batch's rows: an item without a version is none in its own."""
+    batch = rows(spark, (1, 1, [order(1, 1)], [], [item(10, 1, None), item(11, 1, 1)]), (2, 1, [], [], [item(10, 1, 2)]), (3, 2, [order(2, 1)], [], [item(20, 2, None)]))
+    got = {r["orderId"]: sorted((i["lineItemId"], i["version"]) for i in r["lineItems"] or []) for r in combined(batch).collect()}
+    assert got == {1.0: [(10.0, 2.0), (11.0, 1.0)], 2.0: []}
+
+
+def test_parked_orders(spark):
+    """Children before their order: dropped by the guard, kept without it, in whatever batches they come."""
+    child, parent = rows(spark, (1, 5, [], [], [item(50, 5, 1)])), rows(spark, (2, 5, [order(5, 1)], [], []))
+    first = rows(spark, (0, 1, [order(1, 1)], [], []))
+    for guard, items in ((True, 0), (False, 1)):
+        out = {r["orderId"]: (r["version"], len(r["lineItems"] or [])) for r in folded([first, child, parent], guard=guard).collect()}
+        assert out == {1.0: (1.0, 0), 5.0: (1.0, items)}
+    waiting = {r["orderId"]: r["version"] for r in folded([first, child], guard=False).collect()}
+    assert waiting == {1.0: 1.0, 5.0: None}
