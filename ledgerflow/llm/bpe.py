@@ -16,7 +16,7 @@ import regex
 from pyarrow import compute as pc, fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import fresh_path, laid, sliced, stored, table, tidy
+from .common import fresh_path, laid, sliced, spread, stored, table, tidy
 
 #: Words of the lexicon, and different words that a task counts at a time.
 LEXICON_WORDS, COUNTED_WORDS = 1 << 15, 1 << 17
@@ -391,4 +391,4 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, docs = public_tokenizers.path("byte_bpe_50k.json"), table(spark, sf_dir, "documents")
-    return encode_column(docs, path, fit_lexicon(docs, path, fresh_path(spark, "lexicon")), keep=())
+    return encode_column(spread(docs), path, fit_lexicon(docs, path, fresh_path(spark, "lexicon")), keep=())

@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for a costly task: dealt over all cores where its files make fewer parts than there are (a small table in one
+    row group). Large tables stay as they lie."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def quoted(name: str) -> Column:
     """A column by its whole name, dots and all."""
     return F.col(f"`{name.replace('`', '``')}`")

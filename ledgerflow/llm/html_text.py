@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .common import mix64, sliced, stored, table, tidy
+from .common import mix64, sliced, spread, stored, table, tidy
 from .urls import host_of
 
 #: Tokens of the shortest repeated stretch; tokens of one host's pages that a task sorts together, about.
@@ -376,4 +376,4 @@ def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", text: st
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extracted(table(spark, sf_dir, "pages"))
+    return extracted(spread(table(spark, sf_dir, "pages")))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from .ann import kmeans, nearest as closest
-from .common import laid, quoted, sliced, table, tidy
+from .common import laid, quoted, sliced, spread, table, tidy
 
 #: Labelled rows that a model is fitted on, at most; examples of a block; neighbours that vote.
 EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
@@ -307,5 +307,5 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit(docs, table(spark, sf_dir, "labels"))
-    out = scored(docs, model)
+    out = scored(spread(docs), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("tox_score").alias("score"), F.col("tox_predicted").alias("predicted"), F.col("tox_evidence").alias("evidence"))
