@@ -9,9 +9,9 @@ from .specs import COLLECTIONS, ENTITIES, ENVELOPE, METADATA, Entity
 EVENT_COLUMNS = ["xid", "csn", "table", "op_type", "op_ts", "current_ts", "pos", "before", "after", "event_type"]
 
 
-def normalised(table: Column) -> Column:
-    """The table's name without its first qualifier: A.B becomes B, A.B.C becomes B.C."""
-    return F.regexp_replace(table, r"^[^.]*\.", "")
+def normalised(table: Column, last: bool = False) -> Column:
+    """The table's name without its first qualifier: A.B becomes B, A.B.C becomes B.C; last: without any, C."""
+    return F.regexp_replace(table, r"^.*\." if last else r"^[^.]*\.", "")
 
 
 def is_insert(op: Column) -> Column:

@@ -16,18 +16,19 @@ def _distinct_events(events: DataFrame) -> DataFrame:
     return changes.unionByName(events.filter("event_type = 'METADATA'"))
 
 
-def with_progress(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, dedup: bool = False, count_deletes: bool = True) -> DataFrame:
+def with_progress(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, dedup: bool = False, count_deletes: bool = True, strict: bool = False, last: bool = False) -> DataFrame:
     """Every row of a transaction with have_<table>, want_<table>, announced (metadata is there) and complete.
 
     A transaction is complete when its metadata is there and every table has at least the announced number of events;
     of several metadata rows the latest counts. One window over (xid, csn), whose partitioning the assembly reuses.
-    dedup drops redelivered events (same table and pos); count_deletes=False doesn't count deletes."""
+    dedup drops redelivered events (same table and pos); count_deletes=False doesn't count deletes; strict: exactly the
+    announced number, after dedup; last: a table's name is what follows its last dot."""
     events = with_transaction(events)
-    if dedup:
+    if dedup or strict:
         events = _distinct_events(events)
     over = W.partitionBy(*KEY)
     change = F.col("event_type") != "METADATA"
-    name = normalised(F.col("table"))
+    name = normalised(F.col("table"), last)
     told = F.max(F.when(~change, F.struct("op_ts", *(expected(F.col("data_collections"), e.table).alias(e.table) for e in entities)))).over(over)
     counted = change if count_deletes else change & (F.col("op_type") != "D")
     out = events.withColumn("entity", name).withColumn("_told", told)
@@ -35,23 +36,23 @@ def with_progress(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, de
     out = out.select("*", *(F.col("_told")[e.table].alias(f"want_{e.table}") for e in entities), F.col("_told").isNotNull().alias("announced"), F.col("_told.op_ts").alias("tx_ts")).drop("_told")
     done = F.col("announced")
     for e in entities:
-        done = done & (F.col(f"have_{e.table}") >= F.col(f"want_{e.table}"))
+        done = done & (F.col(f"have_{e.table}") == F.col(f"want_{e.table}") if strict else F.col(f"have_{e.table}") >= F.col(f"want_{e.table}"))
     return out.withColumn("complete", F.coalesce(done, F.lit(False)))
 
 
-def transactions(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, dedup: bool = False, count_deletes: bool = True) -> DataFrame:
+def transactions(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, dedup: bool = False, count_deletes: bool = True, strict: bool = False, last: bool = False) -> DataFrame:
     """One row per transaction: its counts, whether its metadata is there and whether it is complete. Counted on the map
     side first, so a transaction with a large part of all events is no task of its own."""
     events = with_transaction(events)
-    if dedup:
+    if dedup or strict:
         events = _distinct_events(events)
-    change, name = F.col("event_type") != "METADATA", normalised(F.col("table"))
+    change, name = F.col("event_type") != "METADATA", normalised(F.col("table"), last)
     counted = change if count_deletes else change & (F.col("op_type") != "D")
     told = F.max(F.when(~change, F.struct("op_ts", *(expected(F.col("data_collections"), e.table).alias(e.table) for e in entities))))
     out = events.groupBy(*KEY).agg(*(F.count_if(counted & (name == e.table)).alias(f"have_{e.table}") for e in entities), told.alias("_told"))
     done = F.col("_told").isNotNull()
     for e in entities:
-        done = done & (F.col(f"have_{e.table}") >= F.col("_told")[e.table])
+        done = done & (F.col(f"have_{e.table}") == F.col("_told")[e.table] if strict else F.col(f"have_{e.table}") >= F.col("_told")[e.table])
     return out.select(*KEY, *(f"have_{e.table}" for e in entities), *(F.col("_told")[e.table].alias(f"want_{e.table}") for e in entities), F.col("_told").isNotNull().alias("announced"), F.col("_told.op_ts").alias("tx_ts"), F.coalesce(done, F.lit(False)).alias("complete"))
 
 
@@ -88,6 +89,7 @@ def history(events: DataFrame, entities: tuple[Entity, ...] = ENTITIES, processe
     if not spread:
         return denormalised(with_progress(events, entities, **options).filter("complete"), entities, processed, exact)
     done = transactions(events, entities, **options).filter("complete").select(*KEY, "tx_ts")
-    events = _distinct_events(events) if options.get("dedup") else events
-    changes = with_transaction(events).filter("event_type <> 'METADATA'").withColumn("entity", normalised(F.col("table")))
+    events = with_transaction(events)
+    events = _distinct_events(events) if options.get("dedup") or options.get("strict") else events
+    changes = events.filter("event_type <> 'METADATA'").withColumn("entity", normalised(F.col("table"), options.get("last", False)))
     return denormalised(changes.join(done, list(KEY)), entities, processed, exact, spread=True)

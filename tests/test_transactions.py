@@ -88,3 +88,14 @@ def test_bulk_transaction(spark):
             assert (r["d"], r["n"], r["qty"]) == (1, 2 + i % 4, 1000 + 10 * i) and r["amount"] == r["o"]["totalAmount"] == (1000 + 10 * i) * (25 + i / 2)
     short = unified([parse_events(feeds[n], n) for n in names[:2]], parse_metadata(feeds["METADATA"]))
     assert history(short).count() == 0
+
+
+def test_strict_and_last_names(spark):
+    """Exactly the announced number; names after the last dot."""
+    more = [("g", ORDER, "I", "1", {"ORDER_ID": 7}), ("g", ORDER, "I", "2", {"ORDER_ID": 8}), ("h", f"S.{ORDER}", "I", "1", {"ORDER_ID": 9})]
+    metas = [*METAS, ("g", want(1)), ("h", want(1))]
+    complete = lambda **o: {r["xid"] for r in transactions(feed(spark, EVENTS + more, metas), **o).filter("complete").collect()}
+    assert complete() == {"a", "d", "e", "f", "g"} and complete(strict=True) == {"a", "d", "f"} and "h" in complete(last=True)
+    for spread in (True, False):
+        got = {r["orderId"] for r in history(feed(spark, EVENTS + more, metas), spread=spread, strict=True, last=True).collect()}
+        assert got == {1.0, 4.0, 9.0}
