@@ -378,9 +378,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     centre = stored(buckets.groupBy("id").agg(F.sum("n").alias("centre")), "centres", n)
     places = stored(buckets.select("band", "bucket", "id").join(centre, "id"), "places", BANDS * n)
     discard(buckets)
+    texts = stored(own.join(centre.select("id"), "id", "left_semi"), "texts")  # of all that may be in a pair; the others aren't moved again
     several = copies.groupBy("id").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     several = copies.join(several, "id").filter("rep != least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), own, idf, least).union(several), "links", n)
+    first = stored(_verified(_stars(places.select("bucket", "id", "centre")).distinct(), texts, idf, least).union(several), "links", n)
     parts = stored(components(first), "parts", n)
 
     near = samples.join(centre, "id").select("id", "centre", "bands")
@@ -392,13 +393,13 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     more = more.join(at.select(F.col("node").alias("a"), F.col("component").alias("part_a")), "a", "left").join(at.select(F.col("node").alias("b"), F.col("component").alias("part_b")), "b", "left")
     more = more.filter(~F.coalesce(F.col("part_a") == F.col("part_b"), F.lit(False))).select("a", "b")
     more = stored(_agreeing(more, samples, least - 3 * math.sqrt(least * (1 - least) / (BANDS * ROWS)) - 0.03), "more-pairs", n)
-    second = _verified(more, own, idf, least)
+    second = _verified(more, texts, idf, least)
     hung = lambda p: p.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     earlier, parts = parts, stored(components(hung(parts).union(second)), "parts", n)
     discard(first, more, earlier, centre)
 
-    third = stored(_rest(places, parts, samples, own, idf, least, n), "links", n)
-    discard(places, samples)
+    third = stored(_rest(places, parts, samples, texts, idf, least, n), "links", n)
+    discard(places, samples, texts)
     whole = parts if third.isEmpty() else components(hung(parts).union(third))
     out = copies.select("id", "rep").join(whole.select(F.col("node").alias("rep"), "component"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("component", "rep")).alias("class_id"))
     return out.union(plain.filter("id IS NULL").select("id", F.lit(None).cast("long").alias("class_id")))
