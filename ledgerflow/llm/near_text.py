@@ -360,9 +360,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", least: flo
     classes of its texts are one. An empty table gives no rows. Other columns are ignored."""
     plain = docs.select(integral(docs, key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     same = stored(plain.filter("id IS NOT NULL").select("id", F.md5(F.col("text").cast("binary")).alias("digest")).distinct(), "digests")
-    groups = same.groupBy("digest").agg(F.min("id").alias("rep"))
     n = max(1, same.count())
-    copies = stored(same.join(groups, "digest").select("id", "rep", "digest"), "copies", n)
+    # the groups alone are written first, so that a large group is no task of its own in the join
+    groups = stored(same.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "rep"), "groups", n)
+    copies = stored(same.join(groups, "digest", "left").select("id", F.coalesce("rep", "id").alias("rep"), "digest"), "copies", n)
+    discard(same, groups)
     firsts = copies.filter("id = rep").select("id", "digest")
     digest = F.md5(F.col("text").cast("binary"))
     # rows that agree in key and text are one; a key's several first texts are sampled one by one
