@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_ledgerflow_tables", None)
     if not where:
-        if not sc.master.startswith("local["):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir isn't set: driver and executors share no folder")
         where = sc._ledgerflow_tables = "file://" + tempfile.mkdtemp(prefix="ledgerflow-")
     return where.rstrip("/")
