@@ -23,8 +23,19 @@ def _text(**fields: Column) -> Column:
     return F.struct(*(c.cast("string").alias(k) for k, c in fields.items()))
 
 
-def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+def slice_of(key: Column, slices: int) -> Column:
+    """The slice of an order, 0 to slices - 1, by a hash of its key as the double that the history has. A transaction is of
+    one order, so it lies whole in one slice. slices: a power of two."""
+    return F.coalesce(F.pmod(F.xxhash64(key.cast("double")), F.lit(slices)).cast("int"), F.lit(0))
+
+
+def _source(spark: SparkSession, sf_dir: str, name: str, key: str, part: tuple[int, int] | None) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows if part is None else rows.filter(slice_of(F.col(key), part[1]) == part[0])
+
+
+def _items(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
+    li = _source(spark, sf_dir, "lineitem", "l_orderkey", part).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     order = W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey", "l_suppkey")
     image = _text(LINE_ITEM_ID=F.col("l_orderkey") * 10 + F.col("l_linenumber"), ORDER_ID=F.col("l_orderkey"), VERSION=F.col("wave"), PRODUCT_ID=F.concat(F.lit("P"), F.col("l_partkey")), ITEM_QTY=F.col("l_quantity"), ITEM_PRICE=F.col("l_extendedprice"), ITEM_AMOUNT=F.col("l_quantity") * F.col("l_extendedprice"), ITEM_CURRENCY=_pick(CURRENCIES, F.col("l_orderkey")))
     out = li.withColumn("wave", F.row_number().over(order)).withColumn("image", image).withColumn("before", F.lag("image").over(order))
@@ -50,10 +61,11 @@ def _order_images(orders: DataFrame) -> DataFrame:
     return orders.select(k.alias("o"), F.explode(F.array_compact(changes)).alias("c")).select("o", "c.wave", "c.name", "c.at", "c.before", "c.after")
 
 
-def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All changes: o, wave, name, at, op_type, before, after (JSON text), real (announced in the metadata)."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    items = _items(spark, sf_dir).select("o", "wave", "name", "at", F.to_json("before").alias("before"), F.to_json("after").alias("after"))
+def changes(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
+    """All changes: o, wave, name, at, op_type, before, after (JSON text), real (announced in the metadata). part: those of
+    slice i of n only, (i, n)."""
+    orders = _source(spark, sf_dir, "orders", "o_orderkey", part)
+    items = _items(spark, sf_dir, part).select("o", "wave", "name", "at", F.to_json("before").alias("before"), F.to_json("after").alias("after"))
     own = _order_images(orders).unionByName(items).withColumn("op_type", F.when(F.col("before").isNull(), "I").otherwise("U")).withColumn("real", F.lit(True))
     k = F.col("o_orderkey")
     none = F.lit(None).cast("string")
@@ -68,10 +80,10 @@ def _ids(o: Column, wave: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("1."), o.cast("string"), F.lit("."), wave.cast("string")), F.lpad((o * 10 + wave).cast("string"), 12, "0")
 
 
-def raw_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_feeds(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> dict[str, DataFrame]:
     """The four feeds as JSON text in a column value: ORDERS, ORDER_DETAILS, ORDER_LINE_ITEMS and METADATA. Events of
-    unknown tables and without xid come with ORDERS."""
-    rows = changes(spark, sf_dir)
+    unknown tables and without xid come with ORDERS. part: as for `changes`."""
+    rows = changes(spark, sf_dir, part)
     xid, csn = _ids(F.col("o"), F.col("wave"))
     ts = F.concat(F.lit("2025-07-07 23:33:"), F.lpad((F.col("wave") % 60).cast("string"), 2, "0"))
     head = F.to_json(F.struct(F.concat(F.lit(f"{SCHEMA}."), F.when(F.col("name") == "NO_XID", "ORDERS").otherwise(F.col("name"))).alias("table"), "op_type", ts.alias("op_ts"), ts.alias("current_ts"), F.lpad(F.col("at").cast("string"), 8, "0").alias("pos"), csn.alias("csn"), F.when(F.col("name") != "NO_XID", xid).alias("xid")))
