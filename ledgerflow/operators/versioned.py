@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from ..functions.specs import DETAIL, ITEM, ORDER, current_type
 from ..functions.versions import distinct_ties, first_newest, merge_array, merge_struct, newer, newest
@@ -12,28 +13,29 @@ FIELDS = [c for c in ORDER.columns if c != "orderId"]
 COLUMNS = [f.name for f in current_type()]
 
 
-def flattened(rows: DataFrame) -> DataFrame:
+def flattened(rows: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """A history row as one of the current state: its newest order and detail, the newest of its items (an item without a
-    version is none). The order is bound once, so that its fields don't repeat the search."""
-    bound = rows.select(*STAMPS, "orderId", first_newest(F.col("orders"), "orderId").alias("_order"), first_newest(F.col("orderDetails"), "orderId").alias("orderDetails"), newest(F.col("lineItems"), ITEM.key).alias("lineItems"))
-    return bound.select(*STAMPS, "orderId", *(F.col("_order")[c].alias(c) for c in FIELDS), F.col("_order.before").alias("orderBefore"), "orderDetails", "lineItems")
+    version is none). The order is bound once, so that its fields don't repeat the search.
+    also: columns that stay."""
+    bound = rows.select(*also, *STAMPS, "orderId", first_newest(F.col("orders"), "orderId").alias("_order"), first_newest(F.col("orderDetails"), "orderId").alias("orderDetails"), newest(F.col("lineItems"), ITEM.key).alias("lineItems"))
+    return bound.select(*also, *STAMPS, "orderId", *(F.col("_order")[c].alias(c) for c in FIELDS), F.col("_order.before").alias("orderBefore"), "orderDetails", "lineItems")
 
 
-def combined(rows: DataFrame, dedupe_ties: bool = False) -> DataFrame:
+def combined(rows: DataFrame, dedupe_ties: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
     """One row per order of a batch of history rows: the order row of the greatest version (then the latest), the detail
     of the greatest version, and the newest of all rows' newest line items. One aggregate and one shuffle, by orderId; rows without an
-    orderId have no place in the current state and are left out."""
-    flat = flattened(rows).filter(F.col("orderId").isNotNull())
+    orderId have no place in the current state and are left out. also: columns that tell batches apart, each combined by itself."""
+    flat = flattened(rows, also).filter(F.col("orderId").isNotNull())
     head = [*STAMPS, *FIELDS, "orderBefore"]
     best = F.max_by(F.struct(*head), F.struct("version", "dwhProcessedTs", "csn", "xid")).alias("_best")
     detail = F.max_by("orderDetails", F.when(F.col("orderDetails").isNotNull(), F.struct("orderDetails.version", "dwhProcessedTs", "csn", "xid"))).alias("orderDetails")
     some = F.when(F.col("lineItems").isNotNull() & (F.size("lineItems") > 0), F.struct("csn", "xid", "lineItems"))
     items = F.flatten(F.transform(F.array_sort(F.collect_list(some)), lambda x: x["lineItems"])).alias("lineItems")
-    out = flat.groupBy("orderId").agg(best, detail, items)
+    out = flat.groupBy("orderId", *also).agg(best, detail, items)
     own = newest(F.col("lineItems"), ITEM.key)
     own = distinct_ties(own, ITEM.key) if dedupe_ties else own
     out = out.withColumn("lineItems", own)
-    return out.select(*(F.col("_best")[c].alias(c) for c in STAMPS), "orderId", *(F.col("_best")[c].alias(c) for c in FIELDS), F.col("_best.orderBefore").alias("orderBefore"), "orderDetails", F.when(F.size("lineItems") > 0, F.col("lineItems")).alias("lineItems"))
+    return out.select(*also, *(F.col("_best")[c].alias(c) for c in STAMPS), "orderId", *(F.col("_best")[c].alias(c) for c in FIELDS), F.col("_best.orderBefore").alias("orderBefore"), "orderDetails", F.when(F.size("lineItems") > 0, F.col("lineItems")).alias("lineItems"))
 
 
 def bootstrapped(batch: DataFrame, guard: bool = True) -> DataFrame:
@@ -52,16 +54,41 @@ def upserted(target: DataFrame, batch: DataFrame, null_version: float | None = N
     s = batch.select(F.struct(*COLUMNS).alias("s"), F.col("orderId").alias("s_id"))
     both = t.join(s, F.col("t_id") == F.col("s_id"), "full_outer")
     both = both.filter(F.col("t").isNotNull() | F.col("s.version").isNotNull()) if guard else both
-    take = F.col("t").isNull() | newer(F.col("s.version"), F.col("t.version"))
-    there, came = F.col("t").isNotNull(), F.col("s").isNotNull()
-    out = {c: F.when(came, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in STAMPS}
-    out["orderId"] = F.coalesce("t_id", "s_id")
-    out |= {c: F.when(came & take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) for c in [*FIELDS, "orderBefore"]}
-    out["orderDetails"] = F.when(~came, F.col("t.orderDetails")).when(~there, F.col("s.orderDetails")).otherwise(merge_struct(F.col("s.orderDetails"), F.col("t.orderDetails")))
-    out["lineItems"] = F.when(~came, F.col("t.lineItems")).when(~there, F.col("s.lineItems")).otherwise(merge_array(F.col("s.lineItems"), F.col("t.lineItems"), ITEM.key, null_version))
+    out = _merged(F.col("t"), F.col("s"), null_version)
     return both.select(*(out[c].alias(c) for c in COLUMNS))
 
 
+def _merged(t: Column, s: Column, null_version: float | None = None) -> dict[str, Column]:
+    """The columns of a target row and a batch's row merged; either may be null."""
+    take = t.isNull() | newer(s["version"], t["version"])
+    there, came = t.isNotNull(), s.isNotNull()
+    out = {c: F.when(came, s[c]).otherwise(t[c]) for c in STAMPS}
+    out["orderId"] = F.coalesce(t["orderId"], s["orderId"])
+    out |= {c: F.when(came & take, s[c]).otherwise(t[c]) for c in [*FIELDS, "orderBefore"]}
+    out["orderDetails"] = F.when(~came, t["orderDetails"]).when(~there, s["orderDetails"]).otherwise(merge_struct(s["orderDetails"], t["orderDetails"]))
+    out["lineItems"] = F.when(~came, t["lineItems"]).when(~there, s["lineItems"]).otherwise(merge_array(s["lineItems"], t["lineItems"], ITEM.key, null_version))
+    return out
+
+
+def states(rows: DataFrame, batch: str, guard: bool = True) -> DataFrame:
+    """Every state that an order takes when batches of history rows (column batch: a number) are merged one after the other,
+    as by `combined` and `upserted`: since and until, the numbers of the batches that made it and replaced it (null: none
+    did), and the columns of the current state. One shuffle by orderId for all batches; an order's own rows are folded."""
+    each = combined(rows.repartition("orderId"), also=(batch,))
+    own = each.groupBy("orderId").agg(F.array_sort(F.collect_list(F.struct(F.col(batch).cast("long").alias("since"), F.struct(*COLUMNS).alias("s")))).alias("own"))
+    kind = StructType([StructField("since", LongType()), StructField("t", current_type())])
+
+    def step(done: Column, came: Column) -> Column:
+        t, s = F.get(done, F.size(done) - 1)["t"], came["s"]
+        whole = F.struct(*(c.alias(n) for n, c in ((n, out[n]) for out in [_merged(t, s)] for n in COLUMNS)))
+        state = F.when(t.isNotNull() | s["version"].isNotNull(), whole) if guard else whole
+        return F.concat(done, F.array(F.struct(came["since"].alias("since"), state.alias("t"))))
+
+    folded_ = own.select(F.aggregate("own", F.array().cast(ArrayType(kind)), step).alias("x"))
+    ends = F.transform("x", lambda e, i: F.struct(e["since"].alias("since"), F.get("x", i + 1)["since"].alias("until"), e["t"].alias("t")))
+    return folded_.select(F.explode(ends).alias("e")).filter("e.t IS NOT NULL").select("e.since", "e.until", "e.t.*")
+
+
 def folded(batches: list[DataFrame], guard: bool = True) -> DataFrame:
     """The current state after batches of history rows in turn."""
     state = bootstrapped(combined(batches[0]), guard)
@@ -70,4 +97,4 @@ def folded(batches: list[DataFrame], guard: bool = True) -> DataFrame:
     return state
 
 
-__all__ = ["COLUMNS", "DETAIL", "bootstrapped", "combined", "flattened", "folded", "upserted"]
+__all__ = ["COLUMNS", "DETAIL", "bootstrapped", "combined", "flattened", "folded", "states", "upserted"]
