@@ -21,6 +21,8 @@ from .common import laid, quoted, sliced, spread, table, tidy
 EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
 #: Texts that are searched for together, and postings of rare terms that they may have in all, at most.
 TEXTS, POSTINGS = 256, 2_500_000
+#: Texts of these whose scores are ranked at once.
+ROWS = 32
 #: Examples that the calibration scores, each without itself, at most.
 CALIBRATED = 2048
 #: How many examples, shared out by the labels' shares, a term is taken to have been in besides those it is in.
@@ -38,17 +40,16 @@ def terms_of(token: str) -> list[int]:
 
 
 def counted(texts: pa.Array, numbers: dict[str, list[int]], number_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, count) of the texts; numbers remembers the terms of the tokens met before."""
+    """(row, term, count) of the texts; numbers remembers the terms of the tokens met before. number_of: the terms' numbers
+    of several tokens at once, from their hashes."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     token = lists.flatten().dictionary_encode()
     names = token.dictionary.to_pylist()
     if len(numbers) > 150_000:
         numbers.clear()
-    own = []
-    for w in names:
-        if (x := numbers.get(w)) is None:
-            x = numbers[w] = number_of(terms_of(w))
-        own.append(x)
+    new = [w for w in names if w not in numbers]
+    numbers.update(zip(new, number_of([terms_of(w) for w in new]), strict=True))
+    own = [numbers[w] for w in names]
     n = np.fromiter(map(len, own), np.int64, len(own))
     flat = np.fromiter((t for x in own for t in x), np.int64, int(n.sum()))
     begin, code = np.cumsum(n) - n, token.indices.to_numpy(zero_copy_only=False)
@@ -82,7 +83,6 @@ class Index:
     peak: np.ndarray
     prior: float
     line: tuple[float, float] = (1.0, 0.0)
-    known: dict[int, int] | None = None  # a term's number by its hash, made where it is needed
 
     @classmethod
     def build(cls, names: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray) -> Index:
@@ -120,14 +120,17 @@ class Index:
         peak = often.reshape(len(common), blocks, BLOCK).max(axis=2)
         return cls(names, idf, ids[order], labels[order], at, slot[row[rare]].astype(np.int32), weight[rare], place, often, peak, float(labels.mean()))
 
-    def numbers(self, hashes: list[int]) -> list[int]:
-        """Numbers of the terms with these hashes, without those that no example has."""
-        if self.known is None:
-            self.known = dict(zip(self.names.tolist(), range(len(self.names)), strict=True))
-        return [i for h in hashes if (i := self.known.get(h)) is not None]
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": None}
+    def numbers(self, tokens: list[list[int]]) -> list[list[int]]:
+        """Numbers of each token's terms, from their hashes, without those that no example has. Found in the sorted names: a
+        table of them would take each worker many times their size."""
+        hashes = np.fromiter((h for t in tokens for h in t), np.uint64)
+        at = np.minimum(np.searchsorted(self.names, hashes), max(0, len(self.names) - 1))
+        found = np.where(self.names[at] == hashes, at, -1).tolist() if len(self.names) else [-1] * len(hashes)
+        out, upto = [], 0
+        for t in tokens:
+            out.append([i for i in found[upto : upto + len(t)] if i >= 0])
+            upto += len(t)
+        return out
 
     def nearest(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, n: int, k: int = NEIGHBOURS, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Slots and cosines (n by k, nearest first; cosine 0 where there are no more) of the nearest examples of n texts.
@@ -167,11 +170,14 @@ class Index:
         which = np.zeros((n, blocks), bool)
         np.put_along_axis(which, np.argpartition(-bound, some - 1, axis=1)[:, :some], True, 1)
         open_(which)
-        best = -np.partition(np.where(np.repeat(opened, BLOCK, axis=1), -score, 1.0), k - 1, axis=1)[:, k - 1]
+        best = np.empty(n)
+        for a in range(0, n, ROWS):  # some rows at a time: these copies are as large as score
+            some = slice(a, a + ROWS)
+            best[some] = -np.partition(np.where(np.repeat(opened[some], BLOCK, axis=1), -score[some], 1.0), k - 1, axis=1)[:, k - 1]
         open_((bound > np.maximum(best, 0)[:, None] * (1 - 1e-12)) & ~opened)
         np.negative(score, out=score)
         score.reshape(n, blocks, BLOCK)[~opened] = 1
-        top = np.argpartition(score, k - 1, axis=1)[:, :k]
+        top = np.concatenate([np.argpartition(score[a : a + ROWS], k - 1, axis=1)[:, :k] for a in range(0, n, ROWS)])
         near = np.maximum(-np.take_along_axis(score, top, 1), 0)
         order = np.lexsort((top, -np.round(near, 12)), axis=1)
         return np.take_along_axis(top, order, 1), np.take_along_axis(near, order, 1)
@@ -236,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index |
         for batch in batches:
             for part in sliced(batch, "text", 4 << 20):
                 number: dict[int, int] = {}
-                row, term, count = counted(part.column("text"), {}, lambda own: [number.setdefault(t, len(number)) for t in own])
+                row, term, count = counted(part.column("text"), {}, lambda own: [[number.setdefault(h, len(number)) for h in t] for t in own])
                 off = pa.array(np.searchsorted(row, np.arange(len(part) + 1)), pa.int32())
                 names = np.fromiter(number, np.uint64, len(number)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id").cast(pa.int64()), part.column("l_toxic").cast(pa.int64()), pa.ListArray.from_arrays(off, pa.array(names[term])), pa.ListArray.from_arrays(off, pa.array(count.astype(np.int32)))], ["id", "toxic", "terms", "counts"])
