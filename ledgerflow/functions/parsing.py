@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .specs import COLLECTIONS, ENTITIES, ENVELOPE, METADATA, Entity
 
@@ -26,15 +27,23 @@ def is_delete(op: Column) -> Column:
     return op == "D"
 
 
-def parse_events(raw: DataFrame, event_type: str, value: str = "value") -> DataFrame:
-    """Change events of one feed; text that isn't one gives nulls, which `with_transaction` drops."""
-    data = raw.select(F.from_json(F.col(value).cast("string"), ENVELOPE).alias("data"))
-    return data.select("data.*", F.lit(event_type).alias("event_type"))
+def _parsed(value: Column, kind: StructType) -> Column:
+    """The fields of a JSON text, as columns. A generator, which filters on them aren't moved below: each would parse the
+    text (and make it, where it is made) once more."""
+    return F.inline(F.array(F.from_json(value.cast("string"), kind)))
+
+
+def parse_events(raw: DataFrame, event_type: str | Column, value: str = "value") -> DataFrame:
+    """Change events of one feed, or of several whose name is in a column; text that isn't one gives nulls, which
+    `with_transaction` drops."""
+    name = event_type if isinstance(event_type, Column) else F.lit(event_type)
+    data = raw.select(name.alias("event_type"), _parsed(F.col(value), ENVELOPE))
+    return data.select(*ENVELOPE.names, "event_type")
 
 
 def parse_metadata(raw: DataFrame, value: str = "value") -> DataFrame:
-    data = raw.select(F.from_json(F.col(value).cast("string"), METADATA).alias("data"))
-    return data.select("data.xid", "data.csn", F.col("data.tx_ts").alias("op_ts"), F.lit("METADATA").alias("event_type"), F.col("data.event_count").alias("expected_count"), "data.data_collections")
+    data = raw.select(_parsed(F.col(value), METADATA))
+    return data.select("xid", "csn", F.col("tx_ts").alias("op_ts"), F.lit("METADATA").alias("event_type"), F.col("event_count").alias("expected_count"), "data_collections")
 
 
 def unified(events: list[DataFrame], metadata: DataFrame | None = None) -> DataFrame:

@@ -31,7 +31,8 @@ def slice_of(key: Column, slices: int) -> Column:
 
 def _source(spark: SparkSession, sf_dir: str, name: str, key: str, part: tuple[int, int] | None) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return rows if part is None else rows.filter(slice_of(F.col(key), part[1]) == part[0])
+    # compared as text, which generated code has by reference: so all slices share their compiled code
+    return rows if part is None else rows.filter(slice_of(F.col(key), part[1]).cast("string") == str(part[0]))
 
 
 def _items(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
@@ -80,9 +81,9 @@ def _ids(o: Column, wave: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("1."), o.cast("string"), F.lit("."), wave.cast("string")), F.lpad((o * 10 + wave).cast("string"), 12, "0")
 
 
-def raw_feeds(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> dict[str, DataFrame]:
-    """The four feeds as JSON text in a column value: ORDERS, ORDER_DETAILS, ORDER_LINE_ITEMS and METADATA. Events of
-    unknown tables and without xid come with ORDERS. part: as for `changes`."""
+def raw_events(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """JSON text in a column value: the events of all three tables (column feed: in which feed they come), and METADATA.
+    Events of unknown tables and without xid come with ORDERS. part: as for `changes`."""
     rows = changes(spark, sf_dir, part)
     xid, csn = _ids(F.col("o"), F.col("wave"))
     ts = F.concat(F.lit("2025-07-07 23:33:"), F.lpad((F.col("wave") % 60).cast("string"), 2, "0"))
@@ -96,4 +97,10 @@ def raw_feeds(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = N
     told = told.filter("o % 11 = 0 OR o % 13 <> 0").withColumn("ORDER_DETAILS", F.col("ORDER_DETAILS") + (F.col("o") % 11 == 0).cast("int"))
     counts = F.array(*(F.struct(F.lit(n).alias("data_collection"), F.col(n).alias("event_count")) for n in names))
     metadata = told.select(F.to_json(F.struct(xid.alias("xid"), csn.alias("csn"), ts.alias("tx_ts"), sum(map(F.col, names[1:]), F.col(names[0])).alias("event_count"), counts.alias("data_collections"))).alias("value"))
-    return {n: events.filter(F.col("feed") == n).select("value") for n in names} | {"METADATA": metadata}
+    return events, metadata
+
+
+def raw_feeds(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+    """The four feeds as JSON text in a column value: ORDERS, ORDER_DETAILS, ORDER_LINE_ITEMS and METADATA."""
+    events, metadata = raw_events(spark, sf_dir, part)
+    return {n: events.filter(F.col("feed") == n).select("value") for n in ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS")} | {"METADATA": metadata}
