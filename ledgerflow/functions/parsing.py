@@ -33,21 +33,21 @@ def _parsed(value: Column, kind: StructType) -> Column:
     return F.inline(F.array(F.from_json(value.cast("string"), kind)))
 
 
-def parse_events(raw: DataFrame, event_type: str | Column, value: str = "value") -> DataFrame:
+def parse_events(raw: DataFrame, event_type: str | Column, value: str = "value", also: tuple[str, ...] = ()) -> DataFrame:
     """Change events of one feed, or of several whose name is in a column; text that isn't one gives nulls, which
-    `with_transaction` drops."""
+    `with_transaction` drops. also: columns that stay."""
     name = event_type if isinstance(event_type, Column) else F.lit(event_type)
-    data = raw.select(name.alias("event_type"), _parsed(F.col(value), ENVELOPE))
-    return data.select(*ENVELOPE.names, "event_type")
+    data = raw.select(*also, name.alias("event_type"), _parsed(F.col(value), ENVELOPE))
+    return data.select(*also, *ENVELOPE.names, "event_type")
 
 
-def parse_metadata(raw: DataFrame, value: str = "value") -> DataFrame:
-    data = raw.select(_parsed(F.col(value), METADATA))
-    return data.select("xid", "csn", F.col("tx_ts").alias("op_ts"), F.lit("METADATA").alias("event_type"), F.col("event_count").alias("expected_count"), "data_collections")
+def parse_metadata(raw: DataFrame, value: str = "value", also: tuple[str, ...] = ()) -> DataFrame:
+    data = raw.select(*also, _parsed(F.col(value), METADATA))
+    return data.select(*also, "xid", "csn", F.col("tx_ts").alias("op_ts"), F.lit("METADATA").alias("event_type"), F.col("event_count").alias("expected_count"), "data_collections")
 
 
-def unified(events: list[DataFrame], metadata: DataFrame | None = None) -> DataFrame:
-    """All feeds in one, with nulls where a feed has no such column."""
+def unified(events: list[DataFrame], metadata: DataFrame | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """All feeds in one, with nulls where a feed has no such column. also: columns that stay."""
     out = events[0]
     for e in events[1:]:
         out = out.unionByName(e)
@@ -55,7 +55,7 @@ def unified(events: list[DataFrame], metadata: DataFrame | None = None) -> DataF
         out = out.unionByName(metadata, allowMissingColumns=True)
     else:
         out = out.withColumn("expected_count", F.lit(None).cast("int")).withColumn("data_collections", F.lit(None).cast(COLLECTIONS))
-    return out.select(*EVENT_COLUMNS, "expected_count", "data_collections")
+    return out.select(*also, *EVENT_COLUMNS, "expected_count", "data_collections")
 
 
 def with_transaction(events: DataFrame) -> DataFrame:

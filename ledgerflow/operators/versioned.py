@@ -70,12 +70,13 @@ def _merged(t: Column, s: Column, null_version: float | None = None) -> dict[str
     return out
 
 
-def states(rows: DataFrame, batch: str, guard: bool = True) -> DataFrame:
+def states(rows: DataFrame, batch: str, guard: bool = True, dealt: tuple[str, ...] = ()) -> DataFrame:
     """Every state that an order takes when batches of history rows (column batch: a number) are merged one after the other,
     as by `combined` and `upserted`: since and until, the numbers of the batches that made it and replaced it (null: none
-    did), and the columns of the current state. One shuffle by orderId for all batches; an order's own rows are folded."""
-    each = combined(rows.repartition("orderId"), also=(batch,))
-    own = each.groupBy("orderId").agg(F.array_sort(F.collect_list(F.struct(F.col(batch).cast("long").alias("since"), F.struct(*COLUMNS).alias("s")))).alias("own"))
+    did), and the columns of the current state. One shuffle by orderId for all batches; an order's own rows are folded.
+    dealt: columns that are equal in all rows of an order, by which the rows are dealt already: no shuffle."""
+    each = combined(rows if dealt else rows.repartition("orderId"), also=(*dealt, batch))
+    own = each.groupBy(*dealt, "orderId").agg(F.array_sort(F.collect_list(F.struct(F.col(batch).cast("long").alias("since"), F.struct(*COLUMNS).alias("s")))).alias("own"))
     kind = StructType([StructField("since", LongType()), StructField("t", current_type())])
 
     def step(done: Column, came: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 METHODS, CARRIERS, CURRENCIES = ("STANDARD", "EXPRESS", "OVERNIGHT", "PICKUP"), ("FEDEX", "UPS", "DHL", "USPS"), ("USD", "EUR", "GBP")
 SCHEMA = "APPUSER"
+_found: dict[int, list[int]] = {}
 
 
 def _pick(values: tuple[str, ...], number: Column) -> Column:
@@ -29,18 +30,32 @@ def slice_of(key: Column, slices: int) -> Column:
     return F.coalesce(F.pmod(F.xxhash64(key.cast("double")), F.lit(slices)).cast("int"), F.lit(0))
 
 
-def _source(spark: SparkSession, sf_dir: str, name: str, key: str, part: tuple[int, int] | None) -> DataFrame:
+def _seats(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a number that is dealt to it: a union keeps only partitionings by a hash."""
+    if n not in _found:
+        at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(n))
+        _found[n] = [r[1] for r in spark.range(100 * n).groupBy(at.alias("at")).agg(F.min("id")).orderBy("at").collect()]
+    return _found[n]
+
+
+def _source(spark: SparkSession, sf_dir: str, name: str, key: str, part: tuple[int, int] | None, dealt: int | None) -> DataFrame:
+    """Rows of a table, with their place (null unless they are dealt)."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     # compared as text, which generated code has by reference: so all slices share their compiled code
-    return rows if part is None else rows.filter(slice_of(F.col(key), part[1]).cast("string") == str(part[0]))
+    rows = rows if part is None else rows.filter(slice_of(F.col(key), part[1]).cast("string") == str(part[0]))
+    if dealt is None:
+        return rows.withColumn("place", F.lit(None).cast("int"))
+    n = part[1] if part else 1
+    at = (slice_of(F.col(key), n * dealt) / n).cast("int")
+    return rows.withColumn("place", F.element_at(F.array(*map(F.lit, _seats(spark, dealt))), at + 1)).repartition(dealt, "place")
 
 
-def _items(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
-    li = _source(spark, sf_dir, "lineitem", "l_orderkey", part).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-    order = W.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey", "l_suppkey")
+def _items(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None, dealt: int | None = None) -> DataFrame:
+    li = _source(spark, sf_dir, "lineitem", "l_orderkey", part, dealt).select("place", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
+    order = W.partitionBy("place", "l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey", "l_suppkey")
     image = _text(LINE_ITEM_ID=F.col("l_orderkey") * 10 + F.col("l_linenumber"), ORDER_ID=F.col("l_orderkey"), VERSION=F.col("wave"), PRODUCT_ID=F.concat(F.lit("P"), F.col("l_partkey")), ITEM_QTY=F.col("l_quantity"), ITEM_PRICE=F.col("l_extendedprice"), ITEM_AMOUNT=F.col("l_quantity") * F.col("l_extendedprice"), ITEM_CURRENCY=_pick(CURRENCIES, F.col("l_orderkey")))
-    out = li.withColumn("wave", F.row_number().over(order)).withColumn("image", image).withColumn("before", F.lag("image").over(order))
-    return out.select(F.col("l_orderkey").alias("o"), "wave", F.lit("ORDER_LINE_ITEMS").alias("name"), (F.lit(300) + F.col("l_linenumber")).alias("at"), "before", F.col("image").alias("after"))
+    out = li.withColumn("wave", F.row_number().over(order)).withColumn("image", F.to_json(image)).withColumn("before", F.lag("image").over(order))
+    return out.select("place", F.col("l_orderkey").alias("o"), "wave", F.lit("ORDER_LINE_ITEMS").alias("name"), (F.lit(300) + F.col("l_linenumber")).alias("at"), "before", F.col("image").alias("after"))
 
 
 def _order_images(orders: DataFrame) -> DataFrame:
@@ -59,21 +74,21 @@ def _order_images(orders: DataFrame) -> DataFrame:
 
     k = F.col("o_orderkey")
     changes = F.array(change("ORDERS", 100, order, 1), change("ORDER_DETAILS", 200, detail, 1), F.when(k % 3 == 0, change("ORDERS", 100, order, 2)), F.when(k % 5 == 0, change("ORDER_DETAILS", 200, detail, 2)))
-    return orders.select(k.alias("o"), F.explode(F.array_compact(changes)).alias("c")).select("o", "c.wave", "c.name", "c.at", "c.before", "c.after")
+    return orders.select("place", k.alias("o"), F.explode(F.array_compact(changes)).alias("c")).select("place", "o", "c.wave", "c.name", "c.at", "c.before", "c.after")
 
 
-def changes(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
+def changes(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None, dealt: int | None = None) -> DataFrame:
     """All changes: o, wave, name, at, op_type, before, after (JSON text), real (announced in the metadata). part: those of
-    slice i of n only, (i, n)."""
-    orders = _source(spark, sf_dir, "orders", "o_orderkey", part)
-    items = _items(spark, sf_dir, part).select("o", "wave", "name", "at", F.to_json("before").alias("before"), F.to_json("after").alias("after"))
-    own = _order_images(orders).unionByName(items).withColumn("op_type", F.when(F.col("before").isNull(), "I").otherwise("U")).withColumn("real", F.lit(True))
+    slice i of n only, (i, n). dealt: the sources' rows are dealt into so many partitions (a power of two), each with
+    a number in the column place: a slice's orders as `slice_of` has them in n times as many slices."""
+    orders = _source(spark, sf_dir, "orders", "o_orderkey", part, dealt)
+    own = _order_images(orders).unionByName(_items(spark, sf_dir, part, dealt)).withColumn("op_type", F.when(F.col("before").isNull(), "I").otherwise("U")).withColumn("real", F.lit(True))
     k = F.col("o_orderkey")
     none = F.lit(None).cast("string")
     extra = lambda name, op, before, after: F.struct(F.lit(name).alias("name"), F.lit(op).alias("op_type"), before.alias("before"), after.alias("after"))
     image = F.concat(F.lit('{"ORDER_ID":'), k, F.lit("}"))
     odd = F.array_compact(F.array(F.when(k % 17 == 0, extra("ORDER_LINE_ITEMS", "D", image, none)), F.when(k % 19 == 0, extra("NO_XID", "I", none, image)), F.when(k % 23 == 0, extra("AUDIT_LOG", "I", none, image))))
-    odd = orders.select(k.alias("o"), F.explode(odd).alias("c")).select("o", F.lit(1).alias("wave"), "c.name", F.lit(900).alias("at"), "c.before", "c.after", "c.op_type", F.lit(False).alias("real"))
+    odd = orders.select("place", k.alias("o"), F.explode(odd).alias("c")).select("place", "o", F.lit(1).alias("wave"), "c.name", F.lit(900).alias("at"), "c.before", "c.after", "c.op_type", F.lit(False).alias("real"))
     return own.unionByName(odd)
 
 
@@ -81,26 +96,26 @@ def _ids(o: Column, wave: Column) -> tuple[Column, Column]:
     return F.concat(F.lit("1."), o.cast("string"), F.lit("."), wave.cast("string")), F.lpad((o * 10 + wave).cast("string"), 12, "0")
 
 
-def raw_events(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+def raw_events(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None, dealt: int | None = None) -> tuple[DataFrame, DataFrame]:
     """JSON text in a column value: the events of all three tables (column feed: in which feed they come), and METADATA.
-    Events of unknown tables and without xid come with ORDERS. part: as for `changes`."""
-    rows = changes(spark, sf_dir, part)
+    Events of unknown tables and without xid come with ORDERS. part, dealt and the column place: as for `changes`."""
+    rows = changes(spark, sf_dir, part, dealt)
     xid, csn = _ids(F.col("o"), F.col("wave"))
     ts = F.concat(F.lit("2025-07-07 23:33:"), F.lpad((F.col("wave") % 60).cast("string"), 2, "0"))
     head = F.to_json(F.struct(F.concat(F.lit(f"{SCHEMA}."), F.when(F.col("name") == "NO_XID", "ORDERS").otherwise(F.col("name"))).alias("table"), "op_type", ts.alias("op_ts"), ts.alias("current_ts"), F.lpad(F.col("at").cast("string"), 8, "0").alias("pos"), csn.alias("csn"), F.when(F.col("name") != "NO_XID", xid).alias("xid")))
     null = F.lit("null")
     value = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"before":'), F.coalesce("before", null), F.lit(',"after":'), F.coalesce("after", null), F.lit("}"))
     feed = F.when(F.col("name").isin("ORDER_DETAILS", "ORDER_LINE_ITEMS"), F.col("name")).otherwise("ORDERS")
-    events = rows.select(feed.alias("feed"), value.alias("value"))
+    events = rows.select("place", feed.alias("feed"), value.alias("value"))
     names = ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS")
-    told = rows.filter("real").groupBy("o", "wave").agg(*(F.count_if(F.col("name") == n).cast("int").alias(n) for n in names))
+    told = rows.filter("real").groupBy("place", "o", "wave").agg(*(F.count_if(F.col("name") == n).cast("int").alias(n) for n in names))
     told = told.filter("o % 11 = 0 OR o % 13 <> 0").withColumn("ORDER_DETAILS", F.col("ORDER_DETAILS") + (F.col("o") % 11 == 0).cast("int"))
     counts = F.array(*(F.struct(F.lit(n).alias("data_collection"), F.col(n).alias("event_count")) for n in names))
-    metadata = told.select(F.to_json(F.struct(xid.alias("xid"), csn.alias("csn"), ts.alias("tx_ts"), sum(map(F.col, names[1:]), F.col(names[0])).alias("event_count"), counts.alias("data_collections"))).alias("value"))
+    metadata = told.select("place", F.to_json(F.struct(xid.alias("xid"), csn.alias("csn"), ts.alias("tx_ts"), sum(map(F.col, names[1:]), F.col(names[0])).alias("event_count"), counts.alias("data_collections"))).alias("value"))
     return events, metadata
 
 
 def raw_feeds(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> dict[str, DataFrame]:
     """The four feeds as JSON text in a column value: ORDERS, ORDER_DETAILS, ORDER_LINE_ITEMS and METADATA."""
     events, metadata = raw_events(spark, sf_dir, part)
-    return {n: events.filter(F.col("feed") == n).select("value") for n in ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS")} | {"METADATA": metadata}
+    return {n: events.filter(F.col("feed") == n).select("value") for n in ("ORDERS", "ORDER_DETAILS", "ORDER_LINE_ITEMS")} | {"METADATA": metadata.select("value")}
