@@ -89,6 +89,13 @@ def clean_up(spark: SparkSession) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def give_back() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A task that gives freed memory back when it ends: workers wait for their next task, several to an executor."""
 
@@ -97,9 +104,7 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
         try:
             yield from task(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+            give_back()
 
     return run
 

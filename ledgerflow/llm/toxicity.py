@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -10,12 +11,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyarrow import compute as pc
+from pyarrow import compute as pc, fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from .ann import kmeans, nearest as closest
-from .common import laid, quoted, sliced, spread, table, tidy
+from .common import fresh_path, give_back, laid, quoted, sliced, spread, table, tidy
 
 #: Labelled rows that a model is fitted on, at most; examples of a block; neighbours that vote.
 EXAMPLES, BLOCK, NEIGHBOURS = 8192, 32, 50
@@ -120,6 +121,35 @@ class Index:
         peak = often.reshape(len(common), blocks, BLOCK).max(axis=2)
         return cls(names, idf, ids[order], labels[order], at, slot[row[rare]].astype(np.int32), weight[rare], place, often, peak, float(labels.mean()))
 
+    def save(self, where: str) -> str:
+        """One file, in parts of whole eights of bytes: the length of its head, the head (JSON), then the arrays."""
+        there, path = fs.FileSystem.from_uri(where)
+        there.create_dir(path.rpartition("/")[0], recursive=True)
+        arrays = {n: np.ascontiguousarray(v) for n, v in vars(self).items() if isinstance(v, np.ndarray)}
+        head = json.dumps({"arrays": [(n, v.dtype.str, v.shape) for n, v in arrays.items()], "prior": self.prior, "line": self.line}).encode()
+        with there.open_output_stream(path) as f:
+            for part in (np.array([len(head)], "<i8"), np.frombuffer(head, np.uint8), *arrays.values()):
+                f.write(memoryview(part.reshape(-1).view(np.uint8)))
+                f.write(bytes(-part.nbytes % 8))
+        return where
+
+    @classmethod
+    def load(cls, where: str) -> Index:
+        """A saved index; on a local disk its arrays are the mapped file, which all workers of a machine share."""
+        there, path = fs.FileSystem.from_uri(where)
+        if isinstance(there, fs.LocalFileSystem):
+            data = np.asarray(np.memmap(path, np.uint8, "r"))
+        else:
+            with there.open_input_file(path) as f:
+                data = np.frombuffer(f.read(), np.uint8)
+        size = int(data[:8].view("<i8")[0])
+        head, at, arrays = json.loads(data[8 : 8 + size].tobytes()), 8 + size + -size % 8, {}
+        for name, kind, shape in head["arrays"]:
+            n = math.prod(shape) * np.dtype(kind).itemsize
+            arrays[name] = data[at : at + n].view(kind).reshape(shape)
+            at += n + -n % 8
+        return cls(**arrays, prior=head["prior"], line=tuple(head["line"]))
+
     def numbers(self, tokens: list[list[int]]) -> list[list[int]]:
         """Numbers of each token's terms, from their hashes, without those that no example has. Found in the sorted names: a
         table of them would take each worker many times their size."""
@@ -272,9 +302,22 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index |
     own[some] = np.arange(len(some))
     in_ = own[row] >= 0
     index.calibrate(own[row[in_]], term[in_], count[in_], slot[some])
+    del hashes, row, term, count, by, in_, digest
+    give_back()  # what this took besides the model would stay with the driver
     return index
 
 
+_models: dict[str, Index] = {}
+
+
+def model_at(where: str) -> Index:
+    """This worker's model, kept from task to task; the last one only."""
+    if where not in _models:
+        _models.clear()
+        _models[where] = Index.load(where)
+    return _models[where]
+
+
 EVIDENCE = ArrayType(StructType([StructField("doc_id", LongType()), StructField("toxic", IntegerType()), StructField("cosine", DoubleType())]))
 
 
@@ -290,9 +333,10 @@ def scored(docs: DataFrame, model: Index | None, threshold: float = 0.3, evidenc
     rows = docs.select(F.struct(*map(quoted, rest)).alias("rest") if rest else F.lit(0).alias("rest"), "text")
     schema = StructType([*rows.schema.fields, StructField("tox_score", DoubleType()), StructField("tox_predicted", IntegerType()), StructField("tox_evidence", EVIDENCE)])
     item = pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])
+    where = model.save(fresh_path(docs.sparkSession, "toxicity")) if model else None  # in the task it would be twice in each worker
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
+        model, known = model_at(where) if where else None, {}
         for batch in batches:
             for part in sliced(batch, "text", 4 << 20):
                 n = len(part)
