@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours: an inverted file of coarse centroids with product-quantised residuals."""
+"""Nearest neighbours: an inverted file of coarse centroids with product-quantised residuals, and an exact check of its lists."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .common import integral, mix64, stored, table, tidy
+from .common import discard, integral, mix64, stored, table, tidy
 from .forest import matrix, sampled, usable
 
 #: Vectors that the index is fitted on, at most; lists at most (they grow with the root of the vectors until there); rows of
@@ -18,6 +18,8 @@ from .forest import matrix, sampled, usable
 SAMPLE, LISTS, SHARE, ASKED, CODED = 65_536, 4096, 4096, 2048, 16_384
 #: How many vectors may be ranked exactly for a query.
 DEEP = (128, 256, 512, 1024)
+#: The exact check: components of a share of its vectors, at most; products at once; shares of a small table, about.
+HELD, PRODUCTS, CHECKS = 1 << 22, 1 << 21, 24
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -120,6 +122,45 @@ def scanned(index: Index, q: np.ndarray, lists: list[np.ndarray], at: np.ndarray
     return tuple(np.concatenate(o) if o else z for o, z in zip(out, none, strict=True))
 
 
+def unfound(q: np.ndarray, least: np.ndarray, x: np.ndarray, reps: np.ndarray, known: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score): exactly, for each query the k + 1 best of the rows that have its `least` or more, ties to the
+    smaller rep, without those it knows. Products of matrices find them, their scores are summed as everywhere."""
+    out: tuple[list, list, list] = ([], [], [])
+    off, flat = known.value_lengths().to_numpy().cumsum(), known.flatten().to_numpy()
+    place = np.minimum(np.searchsorted(reps, flat), len(reps) - 1)
+    owner, held = np.repeat(np.arange(len(q)), np.diff(off, prepend=0)), reps[place] == flat
+    owner, place = owner[held], place[held]
+    # how much a product of matrices may differ from the sum
+    slack = 4 * x.shape[1] * np.finfo(float).eps * np.sqrt((q * q).sum(axis=1)) * np.sqrt((x * x).sum(axis=1)).max()
+    step = max(1, PRODUCTS // len(x))
+    for lo in range(0, len(q), step):
+        part, near = q[lo : lo + step], slack[lo : lo + step, None]
+        score = part @ x.T
+        hit = ~(score < least[lo : lo + step, None] - near)
+        mine = slice(*np.searchsorted(owner, (lo, lo + len(part))))
+        hit[owner[mine] - lo, place[mine]] = False
+        many = np.flatnonzero(hit.sum(axis=1) > k + 1)
+        if len(many):
+            nth = np.partition(np.where(hit[many], score[many], -np.inf), len(x) - k - 1, axis=1)[:, len(x) - k - 1, None]
+            hit[many] &= ~(score[many] < nth - 2 * near[many])
+        i, j = np.nonzero(hit)
+        cut = max(1, PRODUCTS // x.shape[1])
+        score = np.concatenate([np.zeros(0), *((part[i[at : at + cut]] * x[j[at : at + cut]]).sum(axis=1) for at in range(0, len(i), cut))])
+        order = np.lexsort((j, -score, i))  # rows are in the order of rep
+        i, j, score = i[order], j[order], score[order]
+        took = (np.arange(len(i)) - np.searchsorted(i, i) <= k) & ~(score < least[lo + i])
+        for o, v in zip(out, (i + lo, j, score), strict=True):
+            o.append(v[took])
+    none = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+    return tuple(np.concatenate([z, *o]) for o, z in zip(out, none, strict=True))
+
+
+def binaries(x: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    x = np.ascontiguousarray(x)
+    return pa.Array.from_buffers(pa.binary(x.shape[1] * x.itemsize), len(x), [None, pa.py_buffer(x)]).cast(pa.binary())
+
+
 def _packed(index: Index, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """A list's first share and how many it has. Lists that are near each other share shares, so a query meets few."""
     groups = kmeans(index.coarse, math.isqrt(len(index.coarse)), np.random.default_rng(0))
@@ -148,6 +189,12 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     share's codes meet the queries that look in it, ASKED at a time. Only codes move there, and of each share and query
     the index's `deep` best; of all shares the `deep` best get their vectors, and exact products rank them.
 
+    An exact check follows, for which what was found is the bound: whatever a list holds is at most as near as its centroid
+    and its radius, or its longest vector, allow. Queries meet the vectors of all lists that can reach their (k + 1)th
+    score, and what reaches it and wasn't found joins the rest. So the answers are those of a comparison of all with all,
+    whatever the vectors; where they have no structure, that is the check's work too. Its shares lie by lists, of HELD
+    components at most, and each vector moves once.
+
     Keys are integers. Vectors that are null, zero, hold null or non-finite components or have another length than most take
     no part. Rows that agree in key and vector are one; empty tables give no rows; other columns are ignored. A query with
     fewer candidates in the whole table than k gets those (rows with its own key and other vectors may take their places)."""
@@ -166,6 +213,8 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     good, ask = good.filter(F.size("vector") == sizes["size"]), ask.filter(F.size("vector") == sizes["size"])
     by_id = W.partitionBy("h1", "h2").orderBy("id")
     few = good.dropDuplicates(["id", "h1", "h2"]).withColumn("nth", F.row_number().over(by_id)).filter(F.col("nth") <= k + 1)
+    single = all(df.schema[vector].dataType.elementType.typeName() == "float" for df in (rows, queries))
+    kind = np.float32 if single else np.float64  # in which vectors move, without loss
     vectors = stored(few.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.sort_array(F.collect_list("id")).alias("ids"), F.first("vector").alias("vector")), "vectors")
     n = vectors.count()
     lists = max(1, min(LISTS, math.isqrt(n), sample // 16))
@@ -174,22 +223,28 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, codes = index.encode(matrix(batch.column("vector")))
-            raw = pa.Array.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(np.ascontiguousarray(codes))]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(at.astype(np.int32)), raw], ["rep", "list", "code"])
-
-    inverted = stored(vectors.select("rep", "vector").mapInArrow(tidy(coded), "rep long, list int, code binary"), "inverted-file")
-    size = np.zeros(len(index.coarse), np.int64)
-    for r in inverted.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():  # LISTS rows at most
-        size[r["list"]] = r["n"]
+            x = matrix(batch.column("vector"))
+            at, codes = index.encode(x)
+            far, norm = (np.sqrt((y * y).sum(axis=1)) for y in (x - index.coarse[at], x))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at.astype(np.int32)), binaries(codes), pa.array(far), pa.array(norm)], [*batch.schema.names, "list", "code", "far", "norm"])
+
+    told_of = "rep long, ids array<long>, vector array<double>, list int, code binary, far double, norm double"
+    inverted = stored(vectors.select("rep", "ids", "vector").mapInArrow(tidy(coded), told_of), "inverted-file")
+    discard(vectors)
+    size, radius, longest = np.zeros(len(index.coarse), np.int64), np.zeros(len(index.coarse)), np.zeros(len(index.coarse))
+    for r in inverted.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm")).collect():  # LISTS rows at most
+        size[r["list"]], radius[r["list"]], longest[r["list"]] = r["n"], r["far"], r["norm"]
     first, over = _packed(index, size, min(SHARE, max(256, n // 64)))
     least = 4 * (k + 1)
 
-    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            where = batch.column("list").to_numpy()
-            own = first[where] + (mix64(batch.column("rep").to_numpy()) % over[where].astype(np.uint64)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "share"])
+    def sharing(first: np.ndarray, over: np.ndarray):
+        def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                where = batch.column("list").to_numpy()
+                own = first[where] + (mix64(batch.column("rep").to_numpy()) % over[where].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "share"])
+
+        return tidy(shares)
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +263,7 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     once = stored(ask.groupBy("h1", "h2").agg(F.min("id").alias("q"), F.first("vector").alias("vector")), "queries")
     want = stored(once.select("q", "vector").mapInArrow(tidy(asked), "q long, vector array<double>, share long, lists array<int>"), "asked")
     deals = want.groupBy("share").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("deals"))
-    own = inverted.mapInArrow(tidy(shares), "rep long, list int, code binary, share long").join(deals, "share").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    own = inverted.select("rep", "list", "code").mapInArrow(sharing(first, over), "rep long, list int, code binary, share long").join(deals, "share").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
     want = want.join(deals, "share").withColumn("deal", F.pmod(F.xxhash64("q"), F.col("deals")).cast("int"))
 
     def compare(q: pa.Table, r: pa.Table) -> pa.Table:
@@ -221,19 +276,78 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
 
     near = want.select("q", "vector", "lists", "share", "deal").groupBy("share", "deal").cogroup(own.select("rep", "list", "code", "share", "deal").groupBy("share", "deal")).applyInArrow(compare, "q long, rep long, near float")
     best = near.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("near").desc(), "rep"))).filter(F.col("nth") <= index.deep).select("q", "rep")
-    pairs = best.join(once.select("q", F.col("vector").alias("asks")), "q").join(vectors.select("rep", "ids", "vector"), "rep")
+    pairs = best.join(once.select("q", F.col("vector").alias("asks")), "q").join(inverted.select("rep", "ids", "vector"), "rep")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = (matrix(batch.column("asks")) * matrix(batch.column("vector"))).sum(axis=1) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("ids"), pa.array(score)], ["q", "ids", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("rep"), batch.column("ids"), pa.array(score)], ["q", "rep", "ids", "score"])
 
-    scores = pairs.select("q", "ids", "asks", "vector").mapInArrow(tidy(exact), "q long, ids array<long>, score double")
-    ranked = scores.select("q", F.explode("ids").alias("vec_id"), "score")
-    ranked = ranked.withColumn("nth", F.row_number().over(W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id"))).filter(F.col("nth") <= k + 1)
+    def best_of(scores: DataFrame) -> DataFrame:
+        order = W.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+        return scores.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k + 1).drop("nth")
+
+    scores = pairs.select("q", "rep", "ids", "asks", "vector").mapInArrow(tidy(exact), "q long, rep long, ids array<long>, score double")
+    ranked = stored(best_of(scores.select("q", "rep", F.explode("ids").alias("vec_id"), "score")), "ranked")
+    to, parts = _packed(index, size, max(1, min(max(256, n // CHECKS), HELD // sizes["size"])))
+    total = int((to + parts).max())
+
+    def reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 512):
+                some = batch.slice(lo, 512)
+                x = matrix(some.column("vector"))
+                norm = np.sqrt((x * x).sum(axis=1))[:, None]
+                bound = np.minimum(x @ index.coarse.T + norm * radius, norm * longest) + 1e-9 * norm * (radius + longest)
+                i, at = np.nonzero(~(bound < some.column("least").to_numpy()[:, None]) & (size > 0))
+                n = parts[at]
+                share = np.repeat(to[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                i, share = np.divmod(np.unique(np.repeat(i, n) * total + share), total)
+                raw = binaries(x.astype(kind))
+                for begin in range(0, len(i), 16_384):
+                    who = pa.array(i[begin : begin + 16_384])
+                    columns = [some.column("q"), raw, some.column("least"), some.column("known")]
+                    yield pa.RecordBatch.from_arrays([c.take(who) for c in columns] + [pa.array(share[begin : begin + 16_384])], ["id", "raw", "least", "known", "share"])
+
+    def raws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("list"), binaries(matrix(batch.column("vector")).astype(kind))], ["rep", "list", "raw"])
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, lines, x, reps = None, [], [], None, None
+        rows_of = lambda raw: np.frombuffer(b"".join(raw), kind).reshape(len(raw), -1).astype(np.float64)
+        for batch in batches:
+            share, asks = batch.column("share").to_numpy(), batch.column("asks").to_numpy()
+            ends = np.append(np.flatnonzero(np.diff(share * 2 + asks)) + 1, len(share))
+            for lo, hi in zip(np.append(0, ends), ends):  # noqa: B905
+                some = batch.slice(lo, hi - lo)
+                if not len(some):
+                    continue
+                if share[lo] != now:
+                    now, ids, lines, x = share[lo], [], [], None
+                if not asks[lo]:  # a share's vectors come before its queries
+                    ids.append(some.column("id").to_numpy())
+                    lines += some.column("raw").to_pylist()
+                    continue
+                if x is None and lines:
+                    reps, x = np.concatenate(ids), rows_of(lines)
+                    order = np.argsort(reps)
+                    reps, x, ids, lines = reps[order], x[order], [], []
+                if x is not None:
+                    i, j, score = unfound(rows_of(some.column("raw").to_pylist()), some.column("least").to_numpy(), x, reps, some.column("known"), k)
+                    yield pa.RecordBatch.from_arrays([some.column("id").take(pa.array(i)), pa.array(reps[j]), pa.array(score)], ["q", "rep", "score"])
+
+    found = ranked.groupBy("q").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("least"), F.collect_set("rep").alias("known"))
+    asks = once.select("q", "vector").join(found, "q", "left").select("q", "vector", F.coalesce("least", F.lit(float("-inf"))).alias("least"), F.coalesce("known", F.array().cast("array<long>")).alias("known"))
+    asks = asks.mapInArrow(tidy(reaching), "id long, raw binary, least double, known array<long>, share long")
+    held = inverted.select("rep", "list", "vector").mapInArrow(tidy(raws), "rep long, list int, raw binary").mapInArrow(sharing(to, parts), "rep long, list int, raw binary, share long")
+    held = held.select(F.col("rep").alias("id"), "raw", F.lit(0.0).alias("least"), F.array().cast("array<long>").alias("known"), "share", F.lit(0).alias("asks"))
+    meet = held.unionByName(asks.withColumn("asks", F.lit(1))).repartition(min(total, 4096), "share").sortWithinPartitions("share", "asks")
+    more = meet.mapInArrow(tidy(checked), "q long, rep long, score double").join(inverted.select("rep", "ids"), "rep")
+    ranked = best_of(ranked.unionByName(more.select("q", "rep", F.explode("ids").alias("vec_id"), "score")))
     # every query of the same vector gets these, but itself
     each = ask.select(F.col("id").alias("query_id"), "h1", "h2").distinct().join(once.select("q", "h1", "h2"), ["h1", "h2"]).select("query_id", "q")
-    found = each.join(ranked.drop("nth"), "q").filter("vec_id != query_id")
+    found = each.join(ranked.drop("rep"), "q").filter("vec_id != query_id")
     order = W.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
